@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from stridelake.llm import byte_bpe, quality_rules, sequence_packing
+from stridelake.llm import byte_bpe, media_columns, personal_data, quality_rules, sequence_packing
 
-_MODULES = (quality_rules, sequence_packing, byte_bpe)
+_MODULES = (quality_rules, media_columns, personal_data, sequence_packing, byte_bpe)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}

@@ -42,3 +42,14 @@ def block_count(df: DataFrame, column: str, block_bytes: int, least: int = 8) ->
     """How many blocks of about ``block_bytes`` the column's bytes make; one narrow scan."""
     total = df.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0
     return max(least, -(-int(total) // block_bytes))
+
+
+def spread_join(many: DataFrame, few: DataFrame, keys: list[str], spread: str, salts: int = 32, how: str = "inner") -> DataFrame:
+    """Equi-join whose hot keys on the side ``many`` are dealt over ``salts`` tasks.
+
+    ``spread`` is a column of ``many`` that varies inside a hot key.  Each row of ``few``
+    (one a key, and narrow) is repeated once a salt.
+    """
+    left = many.withColumn("_salt", block_of(F.col(spread), salts))
+    right = few.withColumn("_salt", F.explode(F.array(*map(F.lit, range(salts)))))
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
