@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from stridelake.llm import byte_bpe, html_extraction, language_id, media_columns, personal_data, quality_rules, sequence_packing
+from stridelake.llm import byte_bpe, html_extraction, language_id, media_columns, personal_data, quality_rules, sequence_packing, suffix_dedup
 
-_MODULES = (quality_rules, language_id, media_columns, personal_data, html_extraction, sequence_packing, byte_bpe)
+_MODULES = (suffix_dedup, quality_rules, language_id, media_columns, personal_data, html_extraction, sequence_packing, byte_bpe)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
