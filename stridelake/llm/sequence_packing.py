@@ -20,6 +20,7 @@ Other input columns are not carried.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_left, insort
@@ -36,7 +37,7 @@ from stridelake.llm import tables
 
 CAPACITY, END_ID, SALTS = 2048, 0, 64
 #: Words whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
@@ -44,36 +45,92 @@ class WordIds(dict):
     """Ids of white-space separated words, as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of
-    its words in a row.
+    its words in a row.  New words of Latin letters are merged in bulk: a byte-pair library
+    that ranks tokens gets the same merges, with END standing for the end of a piece.  All
+    other words, and words that hold END, go through the tokenizer itself.
     """
 
+    END = "\x01"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pieces = regex.compile(split)
+        self._bulk(spec["model"])
+
+    def _bulk(self, model: dict) -> None:
+        import tiktoken
+
+        # The byte alphabet: printable bytes stand for themselves, the others for 256 and on.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in set(printable)]
+        byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+        end = self.END.encode()
+
+        def raw(token: str) -> bytes:
+            suffix = model["end_of_word_suffix"]
+            last = token.endswith(suffix)
+            return bytes(byte_of[c] for c in (token[: -len(suffix)] if last else token)) + end * last
+
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b]) + end: 256 + b for b in range(256)}
+        for i, merge in enumerate(model["merges"]):
+            left, right = merge if isinstance(merge, list) else merge.split(" ")
+            ranks.setdefault(raw(left + right), 512 + i)
+        self.encoding = tiktoken.Encoding("words", pat_str=f"[^{self.END}]*{self.END}", mergeable_ranks=ranks, special_tokens={})
+        special = set(self.tokenizer.get_added_tokens_decoder())
+        known = {raw(t): i for t, i in model["vocab"].items() if i not in special}
+        self.id_of = np.zeros(max(ranks.values()) + 1, "<u4")
+        self.ends = np.zeros(max(ranks.values()) + 1, bool)
+        for token, rank in ranks.items():
+            self.id_of[rank] = known.get(token, 0)
+            self.ends[rank] = token.endswith(end)
 
     def learn(self, texts: list[list[str]]) -> None:
         if len(self) > REMEMBERED:
             self.clear()
-        new = list({w for words in texts for w in words if w not in self})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+        new = {w for words in texts for w in words if w not in self}
+        rare = [w for w in new if not w.isascii() and max(w) >= "\u0250" or self.END in w]
+        plain = list(new.difference(rare))
+        for w, e in zip(rare, self.tokenizer.encode_batch_fast(rare, add_special_tokens=False)):
+            self[w] = np.array(e.ids, "<u4").tobytes()
+        for at in range(0, len(plain), 20_000):
+            part = plain[at : at + 20_000]
+            pieces = [self.pieces.findall(w.lower()) for w in part]
+            joined = self.END.join(x for own in pieces for x in own) + self.END
+            ranks = np.array(self.encoding.encode_ordinary(joined), np.int64)
+            stop = np.concatenate(([0], np.flatnonzero(self.ends[ranks]) + 1))
+            edges = (stop[np.concatenate(([0], np.cumsum([len(own) for own in pieces])))] * 4).tolist()
+            ids = self.id_of[ranks].tobytes()
+            self.update((w, ids[a:b]) for w, a, b in zip(part, edges, edges[1:]))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+_known: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The worker's memory of a vocabulary; workers serve many tasks."""
+    if path not in _known:
+        _known[path] = WordIds(path)
+    return _known[path]
+
+
 #: Controls at which str.split() divides words although they are no white space to the tokenizer.
 _CONTROLS = str.maketrans("", "", "\x1c\x1d\x1e\x1f")
 
 
 def _pieces(vocabulary: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(vocabulary)
+        known = word_ids(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):

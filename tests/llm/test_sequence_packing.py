@@ -88,3 +88,16 @@ def test_pieces_and_places(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert sp.pack(sp.token_pieces(docs, PATH)).count() == 0
+
+
+def test_bulk_words_equal_the_tokenizer():
+    import duckdb
+
+    texts = [t or "" for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()]
+    words = sorted({w for t in texts for w in t.split()})[::3] + ["É's", "ẞtraße", "İx", "漢字ab", "a\x01b", "don't've", "x1_2y", "ΣΑΣ", "é́"]
+    known = sp.WordIds(PATH)
+    known.learn([words])
+    t = tokenizers.Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    for w, e in zip(words, t.encode_batch_fast(words, add_special_tokens=False)):
+        assert np.frombuffer(known[w], "<u4").tolist() == e.ids, w
