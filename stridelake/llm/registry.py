@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from stridelake.llm import byte_bpe, html_extraction, jaccard_join, language_id, media_columns, personal_data, quality_rules, sequence_packing, suffix_dedup
+import corpus_pipeline
+from stridelake.llm import byte_bpe, chain_dedup, html_extraction, jaccard_join, language_id, media_columns, personal_data, quality_rules, sequence_packing, suffix_dedup
 
-_MODULES = (suffix_dedup, quality_rules, jaccard_join, language_id, media_columns, personal_data, html_extraction, sequence_packing, byte_bpe)
+_MODULES = (suffix_dedup, quality_rules, jaccard_join, language_id, chain_dedup, media_columns, personal_data, html_extraction, sequence_packing, byte_bpe)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

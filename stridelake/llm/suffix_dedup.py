@@ -281,9 +281,9 @@ def _occurrences(f: Fragments, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.repeat(np.arange(len(own)), times[own]), by[textbytes.ragged(at[own], times[own])]
 
 
-def _finish(width: int, seed: int, buckets: int, with_kept: bool):
+def _finish(width: int, seed: int, buckets: int, with_kept: bool, carry: tuple[str, ...]):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
-        docs, data, offsets, _ = _block(table)
+        docs, data, offsets, order = _block(table)
         f = Fragments(docs, data, offsets, width, seed, buckets)
         own, offset, size, first, _ = _told(told, f)
         each, occurrence = _occurrences(f, own)
@@ -306,7 +306,8 @@ def _finish(width: int, seed: int, buckets: int, with_kept: bool):
         kept = [kept_data[a:b] for a, b in zip([0, *ends], ends)]
         columns = (docs, np.diff(offsets), removed, spans, [hashlib.sha256(k).hexdigest() for k in kept], kept if with_kept else [None] * len(kept))
         types = (*(pa.int64(),) * 4, pa.string(), pa.binary())
-        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=[x.split()[0] for x in RESULT.split(", ")])
+        other = [table.column(c).take(pa.array(order)) for c in carry]
+        return pa.table([*(pa.array(c, t) for c, t in zip(columns, types)), *other], names=[*(x.split()[0] for x in RESULT.split(", ")), *carry])
 
     return run
 
@@ -325,8 +326,8 @@ def _list(width: int, seed: int, buckets: int):
     return run
 
 
-def _run(docs: DataFrame, key: str, text: str, width: int, seed: int, block_bytes: int, finish, schema: str, every: bool) -> DataFrame:
-    own = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc_id"), F.col(text).alias("text"))
+def _run(docs: DataFrame, key: str, text: str, width: int, seed: int, block_bytes: int, finish, schema: str, every: bool, carry: dict[str, str] = {}) -> DataFrame:  # noqa: B006
+    own = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc_id"), F.col(text).alias("text"), *(F.col(c).alias(f"_{i}") for i, c in enumerate(carry)))
     n = tables.block_count(own, "text", block_bytes)
     blocks = own.withColumn("block", tables.block_of(F.col("doc_id"), n))
     buckets = n * BUCKETS_A_BLOCK
@@ -336,9 +337,24 @@ def _run(docs: DataFrame, key: str, text: str, width: int, seed: int, block_byte
     return done.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))
 
 
+def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
+    """``docs`` with the same columns, repeats removed from ``text``.
+
+    A character that is cut through by a removed string goes as a whole.
+    """
+    carry = {f.name: f.dataType.simpleString() for f in docs.schema.fields if f.name not in (key, text)}
+    names = tuple(f"_{i}" for i in range(len(carry)))
+    schema = RESULT + "".join(f", {n} {t}" for n, t in zip(names, carry.values()))
+    done = _run(docs, key, text, min_bytes, SEED, BLOCK_BYTES, lambda b: _finish(min_bytes, SEED, b, True, names), schema, False, carry)
+    whole = F.expr("try_validate_utf8(cast(kept AS string))")
+    text_ = F.coalesce(whole, F.regexp_replace(F.expr("make_valid_utf8(cast(kept AS string))"), "\ufffd", ""))
+    out = {key: F.col("doc_id"), text: F.when(F.col("n_removed") >= 0, text_)} | {c: F.col(n) for c, n in zip(carry, names)}
+    return done.select(*(out[f.name].cast(f.dataType).alias(f.name) for f in docs.schema.fields))
+
+
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = MIN_BYTES, seed: int = SEED, block_bytes: int = BLOCK_BYTES, with_kept: bool = True) -> DataFrame:
     """Per document: lengths, removed spans, and the remaining bytes with their digest."""
-    return _run(docs, key, text, min_bytes, seed, block_bytes, lambda b: _finish(min_bytes, seed, b, with_kept), RESULT, False)
+    return _run(docs, key, text, min_bytes, seed, block_bytes, lambda b: _finish(min_bytes, seed, b, with_kept, ()), RESULT, False)
 
 
 def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = MIN_BYTES, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:

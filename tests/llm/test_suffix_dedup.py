@@ -80,3 +80,12 @@ def test_groups_list_all_occurrences(spark):
 
 def test_interval_tree():
     assert sorted(sd.interval_tree([0, 3, 5, 5, 2, 0, 4], 2)) == [(2, 0, 5), (3, 0, 4), (4, 5, 7), (5, 1, 4)]
+
+
+def test_cleaned_keeps_columns_and_whole_characters(spark):
+    text = "é" * 24 + "abcdefgh" * 6
+    docs = spark.createDataFrame([("en", 1, text + "tail", 5), ("fr", 2, "©" + text[1:] + " own", 6), ("x", None, None, None)], "lang string, doc_id int, text string, doc int")
+    out = sd.cleaned(docs)
+    assert out.dtypes == docs.dtypes
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert got[1] == text + "tail" and got[None] == "" and got[2] == " own"
