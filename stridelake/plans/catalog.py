@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from stridelake.plans.register import ORACLE_SQL, QUERIES  # noqa: F401
+from stridelake.plans import range_queries, window_queries, geometry_queries, join_queries, aggregate_queries, record_queries, signal_queries  # noqa: E402,F401,I001
