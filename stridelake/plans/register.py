@@ -49,13 +49,13 @@ S = """WITH s AS (SELECT user_id AS session_id, row_number() OVER (PARTITION BY
 
 
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as steps: block_id, step, side (LF, RF, null), force, accel, at (micros)."""
+    """Line items as steps: block_id, step, side (LF, RF, null), force, accel, at_us."""
     side = F.when(F.col("l_returnflag") == "A", "LF").when(F.col("l_returnflag") == "R", "RF")
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("block_id"), F.col("l_linenumber").alias("step"), side.alias("side"), F.col("l_quantity").alias("force"), F.col("l_extendedprice").alias("accel"),
-        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"), F.col("l_linestatus").alias("status"), F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("at"),
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"), F.col("l_linestatus").alias("status"), F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("at_us"),
     )
 
 
 T = """WITH t AS (SELECT l_orderkey AS block_id, l_linenumber AS step, CASE l_returnflag WHEN 'A' THEN 'LF' WHEN 'R' THEN 'RF' END AS side, l_quantity AS force, l_extendedprice AS accel,
-  l_discount AS discount, l_tax AS tax, l_linestatus AS status, epoch_us(l_shipdate) AS at FROM lineitem)"""
+  l_discount AS discount, l_tax AS tax, l_linestatus AS status, epoch_us(l_shipdate) AS at_us FROM lineitem)"""
