@@ -69,11 +69,11 @@ def peak_totals(spark, sf_dir):
     return k.groupBy("session_id").agg(F.round(F.sum("signal"), 6).alias("total"), F.round(F.avg("signal"), 6).alias("mean"), p95.alias("peak95"))
 
 
-@query(T + """, g AS (SELECT block_id, max(force) AS peak, count(*) AS n, max(force) - min_by(force, step) AS rise, arg_max(step, force * 1000 - step) AS place FROM t GROUP BY block_id)
+@query(T + """, g AS (SELECT block_id, max(force) AS peak, count(*) AS n, max(force) - min_by(force, step * 1000000 + accel) AS rise, arg_max(step, force * 1000 - step) AS place FROM t GROUP BY block_id)
 SELECT block_id, peak / n AS per_contact, CASE WHEN rise > 0.1 THEN rise / place END AS per_impact, CASE WHEN rise > 0.1 THEN rise / (CAST(place AS DOUBLE) / n) END AS per_share FROM g""")
 def force_ratios(spark, sf_dir):
     """Peak and rise against contact and impact time; the highest peak counts, the first on ties."""
-    g = steps(spark, sf_dir).groupBy("block_id").agg(F.max("force").alias("peak"), F.count("*").alias("n"), (F.max("force") - F.min_by("force", "step")).alias("rise"), F.max_by("step", F.struct("force", -F.col("step"))).alias("place"))
+    g = steps(spark, sf_dir).groupBy("block_id").agg(F.max("force").alias("peak"), F.count("*").alias("n"), (F.max("force") - F.min_by("force", F.col("step") * 1000000 + F.col("accel"))).alias("rise"), F.max_by("step", F.struct("force", -F.col("step"))).alias("place"))
     rises = F.col("rise") > 0.1
     return g.select("block_id", (F.col("peak") / F.col("n")).alias("per_contact"), F.when(rises, F.col("rise") / F.col("place")).alias("per_impact"), F.when(rises, F.col("rise") / (F.col("place") / F.col("n"))).alias("per_share"))
 

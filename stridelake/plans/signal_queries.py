@@ -1 +1,85 @@
-"""Queries."""
+"""Signal operators over sessions; SQL cannot express them, tests hold them against analytic signals."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from stridelake.operators import signal as G
+from stridelake.plans.register import query, samples, steps
+
+
+def _session(spark, sf_dir):
+    return samples(spark, sf_dir).select("session_id", "seq", "signal", "active")
+
+
+def _own(c, **columns):
+    return {"session_id": c["session_id"], "seq": c["seq"], **columns}
+
+
+@query()
+def lowpass_filter(spark, sf_dir):
+    """zero-phase low-pass; sessions too short for the extension are left out."""
+
+    def run(c):
+        x = c["signal"]
+        return _own(c, filtered=G.filter_data(x, "low", high=10.0)) if len(x) > 15 else {"session_id": x[:0].astype(int), "seq": x[:0].astype(int), "filtered": x[:0]}
+
+    return G.per_session(_session(spark, sf_dir), run, "session_id long, seq long, filtered double")
+
+
+@query()
+def peaks_apart(spark, sf_dir):
+    """peaks of a least height and distance."""
+
+    def run(c):
+        at = G.detect_peaks(c["signal"], 20.0, 6)
+        return {"session_id": c["session_id"][at], "seq": c["seq"][at], "height": c["signal"][at]}
+
+    return G.per_session(_session(spark, sf_dir), run, "session_id long, seq long, height double")
+
+
+@query()
+def fft_spectrum(spark, sf_dir):
+    """the strongest frequency of each session and its magnitude."""
+
+    def run(c):
+        frequency, magnitude = G.spectrum(c["signal"] - c["signal"].mean(), 100.0)
+        k = int(np.argmax(magnitude))
+        return {"session_id": c["session_id"][:1], "frequency": frequency[k : k + 1], "magnitude": magnitude[k : k + 1]}
+
+    return G.per_session(_session(spark, sf_dir), run, "session_id long, frequency double, magnitude double")
+
+
+@query()
+def cadence_zones(spark, sf_dir):
+    """cadence zones with their hysteresis."""
+
+    def run(c):
+        return _own(c, zone=G.cadence_zones(np.ones(len(c["seq"])), c["signal"] / 100, hold=10) if len(c["seq"]) > 27 else np.zeros(len(c["seq"]), int))
+
+    return G.per_session(_session(spark, sf_dir), run, "session_id long, seq long, zone long")
+
+
+@query()
+def adf_test(spark, sf_dir):
+    """H4: unit-root test of each session."""
+
+    def run(c):
+        statistic, critical = G.dickey_fuller(c["signal"])
+        return {"session_id": c["session_id"][:1], "statistic": [statistic], "critical": [critical]}
+
+    return G.per_session(_session(spark, sf_dir), run, "session_id long, statistic double, critical double")
+
+
+@query()
+def symmetry_density(spark, sf_dir):
+    """agreement of left and right densities, by block of orders."""
+    t = steps(spark, sf_dir).where("side IS NOT NULL").select(F.floor(F.col("block_id") / 100).alias("session_id"), F.xxhash64("block_id", "step").alias("seq"), "force", (F.col("side") == "LF").alias("left"))
+
+    def run(c):
+        left = c["left"].astype(bool)
+        score = float(G.density_symmetry(c["force"][left], c["force"][~left]).mean()) if left.any() and (~left).any() else float("nan")
+        return {"session_id": c["session_id"][:1], "score": [score]}
+
+    return G.per_session(t, run, "session_id long, score double")

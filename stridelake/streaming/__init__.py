@@ -1,0 +1 @@
+"""Structured Streaming counterparts: ingest, change events, sessionization and online ranges."""
