@@ -5,8 +5,11 @@ Every string of ``min_bytes`` bytes that also starts in a document with a smalle
 The corpus is dealt in blocks of whole documents.  A block cuts its texts into fragments:
 runs of windows (strings of ``min_bytes``) that share their smallest k-mer hash.  Equal
 windows have equal smallest hashes, so they meet in the bucket of that hash whatever
-document they stand in.  A block sends each distinct fragment once, with its smallest
-document: a passage that a third of all documents repeat reaches its bucket once a block.
+document they stand in.  Blocks first announce their hashes, and the buckets answer with a
+bit for each that another block has too.  Only fragments of such hashes (or of a hash that
+the block itself has in several fragments) are sent, each distinct one once, with its
+smallest document: a passage that a third of all documents repeat reaches its bucket once a
+block.
 
 A bucket builds the suffix array of the windows that occur in two fragments or more, with
 the lengths of common prefixes, and scans it with a stack for the tree of common-prefix
@@ -15,7 +18,7 @@ is a maximal repeat: it is told to all blocks that hold an occurrence, with its
 its first document.  Windows that are always preceded by the same byte are left out before
 the sort, since their repeats extend to the left.  Blocks then mark the bytes.
 
-The texts are shuffled once (both passes read the same exchange).  All passes are
+The texts are shuffled once (all passes read the same exchange).  All passes are
 deterministic, so lost executors only cost their tasks.
 
 Edge cases: a null text counts as empty.  Matches never cross documents; rows with one id
@@ -37,43 +40,51 @@ from stridelake.llm import tables, textbytes
 from stridelake.llm.textbytes import U64
 
 MIN_BYTES, SEED = 50, 20
-BLOCK_BYTES, BUCKETS_A_BLOCK, MAX_WINDOWS = 4 << 20, 4, 64
+BLOCK_BYTES, BUCKETS_A_BLOCK, MAX_WINDOWS = 2 << 20, 2, 64
 LAST = 2**63 - 1
-SENT = "bucket int, block int, lens binary, docs binary, content binary"
+HEARD = "bucket int, block int, names binary"
+SHARED = "block int, bucket int, bits binary"
+SENT = "bucket int, block int, at binary, lens binary, docs binary, content binary"
 TOLD = "block int, bucket int, place binary, offset binary, size binary, first binary, repeat binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 OCCURRENCES = "repeat_id long, doc_id long, start long, length long, first_doc_id long"
 
 
+def runs(data: np.ndarray, offsets: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, number of windows and smallest hash of the runs of windows that share it."""
+    n = max(len(data) - width + 1, 0)
+    low = textbytes.sliding_min(textbytes.rolling(data, seed), width - seed + 1)[:n]
+    valid = np.zeros(n + 1, np.int32)
+    whole = np.diff(offsets) >= width
+    np.add.at(valid, offsets[:-1][whole], 1)
+    np.add.at(valid, offsets[1:][whole] - width + 1, -1)
+    valid = np.cumsum(valid[:-1]) > 0
+    begins = valid.copy()
+    begins[1:] &= ~(valid[:-1] & (low[1:] == low[:-1]))
+    cuts = offsets[1:-1]
+    cuts = cuts[cuts < n]
+    begins[cuts] = valid[cuts]
+    start = np.flatnonzero(begins)
+    if not len(start):
+        return start, start, low[:0]
+    stops = np.concatenate((np.flatnonzero(valid & ~np.concatenate((valid[1:], [False]))) + 1, cuts))
+    edges = np.unique(np.concatenate((start, stops)))
+    count = edges[np.minimum(np.searchsorted(edges, start, "right"), len(edges) - 1)] - start
+    return start, count, low[start]
+
+
 class Fragments:
     """Distinct fragments of a block and all their occurrences."""
 
     def __init__(self, docs: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int, seed: int, buckets: int):
-        n = max(len(data) - width + 1, 0)
-        low = textbytes.sliding_min(textbytes.rolling(data, seed), width - seed + 1)[:n]
-        valid = np.zeros(n + 1, np.int32)
-        whole = np.diff(offsets) >= width
-        np.add.at(valid, offsets[:-1][whole], 1)
-        np.add.at(valid, offsets[1:][whole] - width + 1, -1)
-        valid = np.cumsum(valid[:-1]) > 0
-        begins = valid.copy()
-        begins[1:] &= ~(valid[:-1] & (low[1:] == low[:-1]))
-        cuts = offsets[1:-1]
-        cuts = cuts[cuts < n]
-        begins[cuts] = valid[cuts]
-        start = np.flatnonzero(begins)
-        stops = np.concatenate((np.flatnonzero(valid & ~np.concatenate((valid[1:], [False]))) + 1, cuts)) if n else np.zeros(0, np.int64)
-        edges = np.unique(np.concatenate((start, stops)))
-        count = edges[np.minimum(np.searchsorted(edges, start, "right"), len(edges) - 1)] - start if len(start) else start
+        start, count, low = runs(data, offsets, width, seed)
         # Long runs (periodic text) are cut; which bucket a window meets in does not change.
         parts = -(-count // MAX_WINDOWS)
         shift = textbytes.ragged(np.zeros(len(start), np.int64), parts)
         rest = np.repeat(count, parts) - shift * MAX_WINDOWS
         self.start = np.repeat(start, parts) + shift * MAX_WINDOWS
-        windows = np.minimum(rest, MAX_WINDOWS)
-        self.size = windows + width - 1
-        row = np.searchsorted(offsets, self.start, "right") - 1
-        self.doc = docs[row]
+        self.size = np.minimum(rest, MAX_WINDOWS) + width - 1
+        self.doc = docs[np.searchsorted(offsets, self.start, "right") - 1]
         prefix, inverse = textbytes.prefix_sums(data)
         names = textbytes.range_hash(prefix, inverse, self.start, self.start + self.size)
         _, first, which = np.unique(names, return_index=True, return_inverse=True)
@@ -82,37 +93,75 @@ class Fragments:
         rank[order] = np.arange(len(order))
         self.which = rank[which]
         self.first = first[order]  # index of the first occurrence; documents are sorted
-        bucket = (low[self.start[self.first]] % U64(buckets)).astype(np.int32) if len(self.first) else np.zeros(0, np.int32)
+        self.low = np.repeat(low, parts)[self.first]
+        bucket = (self.low % U64(buckets)).astype(np.int32)
         self.order = np.argsort(bucket, kind="stable")  # distinct fragments by bucket
         self.bucket = bucket[self.order]
 
 
-def _block(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _hash_names(low: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes as (bucket, 32 bits of the rest), sorted."""
+    low = np.unique(low)
+    bucket, name = (low % U64(buckets)).astype(np.int64), (low // U64(buckets) & U64(0xFFFFFFFF)).astype(np.int64)
+    both = np.unique((bucket << 32) | name)
+    return both >> 32, both & 0xFFFFFFFF
+
+
+def _block(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Documents of a block in order of their ids: ids, bytes, offsets."""
-    docs = table.column("doc_id").to_numpy()
-    order = np.argsort(docs, kind="stable")
-    data, offsets = textbytes.buffer_of(table.column("text").take(pa.array(order)))
-    return docs[order], data, offsets, order
+    order = textbytes.in_order(table)
+    data, offsets = textbytes.buffer_of(table.column("text").take(order))
+    return table.column("doc_id").take(order).to_numpy(), data, offsets, order
 
 
-def _send(width: int, seed: int, buckets: int):
+def _announce(width: int, seed: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
+        _, data, offsets, _ = _block(table)
+        bucket, name = _hash_names(runs(data, offsets, width, seed)[2], buckets)
+        cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else []
+        block = table.column("block")[0].as_py()
+        rows = [(int(bucket[a]), block, name[a:b].astype("<u4").tobytes()) for a, b in zip(cuts, cuts[1:])]
+        columns = list(zip(*rows)) or [()] * 3
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "block", "names"])
+
+    return run
+
+
+def _common(table: pa.Table) -> pa.Table:
+    """A bit for each announced hash: does another block have it too?"""
+    names = [np.frombuffer(x.as_py(), "<u4") for x in table.column("names")]
+    _, which, times = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
+    bits = np.split(times[which] > 1, np.cumsum([len(x) for x in names])[:-1])
+    return pa.table([table.column("block"), table.column("bucket"), pa.array([np.packbits(x).tobytes() for x in bits], pa.binary())], names=["block", "bucket", "bits"])
+
+
+def _send(width: int, seed: int, buckets: int):
+    def run(table: pa.Table, shared: pa.Table) -> pa.Table:
         import zstandard
 
         press = zstandard.ZstdCompressor(level=3).compress
         docs, data, offsets, _ = _block(table)
         f = Fragments(docs, data, offsets, width, seed, buckets)
-        own = f.first[f.order]
-        at = np.flatnonzero(np.concatenate(([True], f.bucket[1:] != f.bucket[:-1]))) if len(own) else []
-        ends = [*at[1:], len(own)]
+        bucket, name = _hash_names(f.low, buckets)
+        order = np.argsort(shared.column("bucket").to_numpy(), kind="stable").tolist()
+        bits = shared.column("bits").to_pylist()
+        counts = np.bincount(bucket, minlength=buckets)
+        told = [np.unpackbits(np.frombuffer(bits[i], np.uint8), count=int(counts[shared.column("bucket")[i].as_py()])) for i in order]
+        known = np.concatenate(told).astype(bool) if told else np.zeros(0, bool)
+        mine = (f.low[f.order] // U64(buckets) & U64(0xFFFFFFFF)).astype(np.int64) | (f.bucket.astype(np.int64) << 32)
+        at = np.searchsorted((bucket << 32) | name, mine)
+        times = np.bincount(at, minlength=len(name))
+        begin = np.searchsorted(f.bucket, np.arange(buckets + 1))
         rows: list[tuple] = []
         block = table.column("block")[0].as_py()
-        for a, b in zip(at, ends):
-            x = own[a:b]
+        wanted = known[at] | (times[at] > 1) if len(at) else at.astype(bool)
+        for k in np.unique(f.bucket[wanted]):
+            place = np.flatnonzero(wanted[begin[k] : begin[k + 1]])
+            x = f.first[f.order[begin[k] + place]]
             content = data[textbytes.ragged(f.start[x], f.size[x])].tobytes()
-            rows.append((int(f.bucket[a]), block, f.size[x].astype(np.uint8).tobytes(), press(np.diff(f.doc[x], prepend=0).astype("<i8").tobytes()), press(content)))
-        columns = list(zip(*rows)) or [()] * 5
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "block", "lens", "docs", "content"])
+            rows.append((int(k), block, press(np.diff(place, prepend=0).astype("<i4").tobytes()), f.size[x].astype(np.uint8).tobytes(), press(np.diff(f.doc[x], prepend=0).astype("<i8").tobytes()), press(content)))
+        columns = list(zip(*rows)) or [()] * 6
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), *(pa.binary(),) * 4))], names=[x.split()[0] for x in SENT.split(", ")])
 
     return run
 
@@ -225,7 +274,7 @@ def _resolve(width: int, seed: int, every: bool):
         size = np.concatenate(lens)
         start = np.concatenate(([0], np.cumsum(size)[:-1]))
         source = np.repeat(np.arange(len(blocks)), counts)
-        place = textbytes.ragged(np.zeros(len(blocks), np.int64), counts)
+        place = np.concatenate([np.cumsum(np.frombuffer(open_(x.as_py()), "<i4").astype(np.int64)) for x in table.column("at")])
         # Equal fragments of different blocks are one, with their smallest document.
         prefix, inverse = textbytes.prefix_sums(data)
         names = textbytes.range_hash(prefix, inverse, start, start + size)
@@ -306,7 +355,7 @@ def _finish(width: int, seed: int, buckets: int, with_kept: bool, carry: tuple[s
         kept = [kept_data[a:b] for a, b in zip([0, *ends], ends)]
         columns = (docs, np.diff(offsets), removed, spans, [hashlib.sha256(k).hexdigest() for k in kept], kept if with_kept else [None] * len(kept))
         types = (*(pa.int64(),) * 4, pa.string(), pa.binary())
-        other = [table.column(c).take(pa.array(order)) for c in carry]
+        other = [table.column(c).take(order) for c in carry]
         return pa.table([*(pa.array(c, t) for c, t in zip(columns, types)), *other], names=[*(x.split()[0] for x in RESULT.split(", ")), *carry])
 
     return run
@@ -331,7 +380,9 @@ def _run(docs: DataFrame, key: str, text: str, width: int, seed: int, block_byte
     n = tables.block_count(own, "text", block_bytes)
     blocks = own.withColumn("block", tables.block_of(F.col("doc_id"), n))
     buckets = n * BUCKETS_A_BLOCK
-    sent = blocks.groupBy("block").applyInArrow(_send(width, seed, buckets), SENT)
+    heard = blocks.groupBy("block").applyInArrow(_announce(width, seed, buckets), HEARD)
+    shared = heard.groupBy("bucket").applyInArrow(_common, SHARED)
+    sent = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send(width, seed, buckets), SENT)
     told = sent.groupBy("bucket").applyInArrow(_resolve(width, seed, every), TOLD)
     done = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(finish(buckets), schema)
     return done.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))

@@ -201,3 +201,8 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     shift = np.repeat(starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
     return np.arange(total, dtype=np.int64) + shift
+
+
+def in_order(table: pa.Table) -> pa.Array:
+    """Row order of a block by id and then text, the same whatever order the rows came in."""
+    return pc.sort_indices(table.select(["doc_id", "text"]), [("doc_id", "ascending"), ("text", "ascending")])
