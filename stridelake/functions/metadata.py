@@ -12,9 +12,13 @@ FORMATS = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSSX", "yyyy-MM-dd'T'HH:mm:ss.SSSX", "yyyy-
 TRANSITIONS = (("CREATE_COMPLETE", "UPLOAD_IN_PROGRESS"), ("UPLOAD_IN_PROGRESS", "UPLOAD_COMPLETE"), ("CREATE_COMPLETE", "UPLOAD_COMPLETE"), ("CREATE_COMPLETE", "CREATE_COMPLETE"))
 
 
-def session_id(accessory: Column, sensors: Column, user: Column, date: Column) -> Column:
-    """Name-based UUID (version 5, URL namespace); a missing user prints as None."""
-    name = F.concat_ws("_", accessory, F.array_join(F.array_sort(sensors), "_"), F.coalesce(user, F.lit("None")), date)
+def session_id(accessory: Column, sensors: Column, user: Column, date: Column, prefix: str = "http://session.example.com/") -> Column:
+    """Name-based UUID (version 5, URL namespace) of the parts; a missing part prints as None.
+
+    ``prefix`` is the URL that the deployment puts before its names.
+    """
+    parts = (accessory, F.array_join(F.array_sort(sensors), ","), user, date)
+    name = F.concat(F.lit(prefix), F.concat_ws("_", *(F.coalesce(p, F.lit("None")) for p in parts)))
     h = F.sha1(F.concat(F.lit(uuid.NAMESPACE_URL.bytes), name.cast("binary")))
     variant = F.substring(F.lit("89ab"), (F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4) + 1, F.lit(1))
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))

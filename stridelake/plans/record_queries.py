@@ -66,7 +66,7 @@ def event_date_correction(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.unix_micros(fixed).alias("event_us"))
 
 
-@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, epoch_ms(ts) AS epoch_ms, json_extract_string(props, '$.k') AS k FROM events")
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, epoch_us(ts) // 1000 AS epoch_ms, json_extract_string(props, '$.k') AS k FROM events")
 def time_formats(spark, sf_dir):
     """Formats of times, and JSON fields."""
     ts = F.col("ts").cast("timestamp")
