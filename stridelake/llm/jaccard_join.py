@@ -41,8 +41,10 @@ from stridelake.llm.textbytes import U64
 
 WIDTH = 5
 #: Documents of one key up to which all its pairs are candidates at once.
-SMALL_GROUP = 32
-BATCH_BYTES, BUCKET_BYTES = 8 << 20, 1 << 20
+SMALL_GROUP = 16
+#: Pairs whose texts a task holds as arrays at the same time.
+VERIFIED_AT_ONCE = 200
+BATCH_BYTES, BUCKET_BYTES = 2 << 20, 1 << 20
 #: Ids up to which the documents to verify are picked by a broadcast (8 bytes each); beyond, by a shuffle.
 BROADCAST_IDS = 500_000
 KEYS = "bucket int, docs binary, sizes binary, owner binary, keys binary"
@@ -71,9 +73,11 @@ def _describe(width: int):
                 row, name = text_shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
                 n = j - i
                 x, y = np.zeros(n, U64), np.zeros(n, U64)
-                with np.errstate(over="ignore"):
-                    np.add.at(x, row, textbytes.mix(name + U64(1)))
-                    np.bitwise_xor.at(y, row, textbytes.mix(name + U64(2)))
+                if len(row):
+                    heads = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+                    with np.errstate(over="ignore"):
+                        x[row[heads]] = np.add.reduceat(textbytes.mix(name + U64(1)), heads)
+                        y[row[heads]] = np.add.reduceat(textbytes.mix(name + U64(2)), heads)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), pa.array(np.bincount(row, minlength=n)), pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["doc_id", "n_shingles", "x", "y"])
 
     return run
@@ -251,8 +255,8 @@ def _cross(table: pa.Table) -> pa.Table:
 def _verify(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for begin in range(0, whole.num_rows, 1000):
-                batch = whole.slice(begin, 1000)
+            for begin in range(0, whole.num_rows, VERIFIED_AT_ONCE):
+                batch = whole.slice(begin, VERIFIED_AT_ONCE)
                 ids = np.concatenate([batch.column(c).to_numpy() for c in ("a", "b")])
                 _, first, which = np.unique(ids, return_index=True, return_inverse=True)
                 texts = pa.concat_arrays([batch.column("ta"), batch.column("tb")]).take(pa.array(first))

@@ -55,7 +55,7 @@ def corpus(seed, n):
     return texts
 
 
-@pytest.mark.parametrize("seed,small", [(1, 32), (2, 3)])
+@pytest.mark.parametrize("seed,small", [(1, 16), (2, 3)])
 def test_components_equal_brute_force(spark, monkeypatch, seed, small):
     monkeypatch.setattr(jj, "SMALL_GROUP", small)
     texts = corpus(seed, 300)
