@@ -6,10 +6,15 @@ set meets its partners in its own band and the next.  For each band the universe
 shingles is hashed into more segments than two linked sets of the band can differ in, so
 that by the pigeonhole principle some segment is equal.  Allocation is by cost: every set
 indexes all its segments, but searches only through as many as the principle needs, the
-rarest ones (as counted in its batch; empty ones last).  Segments that hold just a common
+rarest ones (by their rarest shingle, as counted in its batch; empty ones last).  Segments that hold just a common
 passage are thereby indexed but hardly ever searched.  Bands of small sets use half as many
 segments with their one-deletion neighbourhoods instead.
 
+Pairs are first held against parity sketches: a bit for each of twice as many places as the
+set has shingles, flipped by every shingle that falls there.  Two sketches differ in at most
+as many bits as the sets differ in shingles, so a pair that differs in too many bits is no
+link for sure, and its texts need not be read.
+
 Keys travel in batches to their buckets, each with its document and a mark if it is
 searched.  Candidates of a key are the pairs of a searching and an indexed set of fitting
 sizes; of a large group, first the pairs with its first document.  Candidates are verified
@@ -65,6 +70,45 @@ def text_shingles(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) ->
     return textbytes.distinct_pairs(*textbytes.shingles(row, hashes, len(offsets) - 1, width))
 
 
+def parity_sketches(row: np.ndarray, name: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """A sketch for each row: 64 bits times a power of two, at least twice the set's size."""
+    bits = 64 << np.ceil(np.log2(np.maximum(size, 32) / 32)).astype(np.int64)
+    base = np.concatenate(([0], np.cumsum(bits)))
+    place = (textbytes.mix(name + U64(3)) & (bits[row] - 1).astype(U64)).astype(np.int64)
+    odd = np.bincount(base[row] + place, minlength=base[-1]) & 1
+    whole = np.packbits(odd.astype(np.uint8)).tobytes()
+    return [whole[a >> 3 : b >> 3] for a, b in zip(base, base[1:])]
+
+
+def fold(sketch: np.ndarray, width: int) -> np.ndarray:
+    """Rows of sketches (bytes) folded to ``width`` bytes; parity makes the halves add up."""
+    while sketch.shape[1] > width:
+        half = sketch.shape[1] // 2
+        sketch = sketch[:, :half] ^ sketch[:, half:]
+    return sketch
+
+
+def too_far(left: list[bytes], right: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Pairs whose sketches differ in more bits than linked sets of these sizes (summed) can."""
+    out = np.zeros(len(left), bool)
+    lw, rw = (np.array([len(x) for x in side]) for side in (left, right))
+    for a, b in {*zip(lw.tolist(), rw.tolist())}:
+        at = np.flatnonzero((lw == a) & (rw == b))
+        x = np.frombuffer(b"".join(left[i] for i in at), np.uint8).reshape(-1, a)
+        y = np.frombuffer(b"".join(right[i] for i in at), np.uint8).reshape(-1, b)
+        narrow = min(a, b)
+        out[at] = np.bitwise_count(fold(x, narrow) ^ fold(y, narrow)).sum(1, dtype=np.int64) * 7 > sizes[at]
+    return out
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, w) that their sketches (sa, sb) and sizes (na, nb) do not rule out."""
+    for batch in batches:
+        sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+        keep = ~too_far(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), sizes)
+        yield batch.select(["a", "b", "w"]).filter(pa.array(keep))
+
+
 def _describe(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,14 +122,15 @@ def _describe(width: int):
                     with np.errstate(over="ignore"):
                         x[row[heads]] = np.add.reduceat(textbytes.mix(name + U64(1)), heads)
                         y[row[heads]] = np.add.reduceat(textbytes.mix(name + U64(2)), heads)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), pa.array(np.bincount(row, minlength=n)), pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["doc_id", "n_shingles", "x", "y"])
+                size = np.bincount(row, minlength=n)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), pa.array(size), pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(parity_sketches(row, name, size), pa.binary())], ["doc_id", "n_shingles", "x", "y", "sketch"])
 
     return run
 
 
 def set_digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id, n_shingles`` and a 128-bit digest (``x``, ``y``) of the shingle set."""
-    return docs.mapInArrow(_describe(width), "doc_id long, n_shingles long, x long, y long")
+    """``doc_id, n_shingles``, a 128-bit digest (``x``, ``y``) and the parity sketch of the shingle set."""
+    return docs.mapInArrow(_describe(width), "doc_id long, n_shingles long, x long, y long, sketch binary")
 
 
 def signatures(row: np.ndarray, name: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,6 +139,8 @@ def signatures(row: np.ndarray, name: np.ndarray, n: int) -> tuple[np.ndarray, n
     edges = bands(int(size.max(initial=1)))
     band = np.searchsorted(edges, size, "right") - 1
     rows, keys, searched = [], [], []
+    _, which, times = np.unique(name, return_inverse=True, return_counts=True)
+    common = times[which]  # documents of the batch that have the shingle
     for lower in (0, 1):  # the own band's group, and the group of the band below
         group = band - lower
         use = (size > 0) & (group >= 0)
@@ -115,7 +162,6 @@ def signatures(row: np.ndarray, name: np.ndarray, n: int) -> tuple[np.ndarray, n
         total = np.zeros(base[-1], U64)
         with np.errstate(over="ignore"):
             np.add.at(total, cell, value)
-        held = np.bincount(cell, minlength=base[-1])
 
         def name_of(content: np.ndarray, own: np.ndarray, place: np.ndarray) -> np.ndarray:
             with np.errstate(over="ignore"):
@@ -133,9 +179,9 @@ def signatures(row: np.ndarray, name: np.ndarray, n: int) -> tuple[np.ndarray, n
         searched += [np.ones(int(small.sum()), bool), np.ones(len(mine), bool)]
         # Large bands: the rarest of the equal segments, as many as the pigeonhole principle needs.
         big = np.flatnonzero(~small)
-        _, which, times = np.unique(full[big], return_inverse=True, return_counts=True)
-        cost = np.where(held[big] > 0, times[which] if len(big) else times, len(row) + 1)
-        order = np.lexsort((full[big], cost, owner[big]))
+        rarest = np.full(base[-1], len(row) + 1)
+        np.minimum.at(rarest, cell, common[at])
+        order = np.lexsort((full[big], rarest[big], owner[big]))
         big = big[order]
         first = np.searchsorted(owner[big], owner[big], "left")
         search = np.arange(len(big)) - first <= differ[owner[big]]
@@ -237,17 +283,30 @@ def _candidates(table: pa.Table) -> pa.Table:
 
 
 def _cross(table: pa.Table) -> pa.Table:
-    """Pairs of a searching and an indexed member of a large group that lie in different components."""
+    """Pairs of a searching and an indexed member of a large group that lie in different components.
+
+    Pairs that the sketches rule out are left out.
+    """
     doc, size, comp, searched = (table.column(c).to_numpy() for c in ("doc", "size", "component", "searched"))
     out = []
     if len(np.unique(comp)) > 1:
         order = np.argsort(size, kind="stable")
         doc, size, comp, searched = doc[order], size[order], comp[order], searched[order]
+        raw = table.column("sketch").to_pylist()
+        raw = [raw[i] for i in order]
+        widths = np.array([len(x) for x in raw])
+        classes = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths)}  # runs, since sizes rise
+        matrix = {w: np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(-1, w) for w, at in classes.items()}
         for i in np.flatnonzero(searched):
             lo, hi = np.searchsorted(size * 4, size[i] * 3, "left"), np.searchsorted(size * 3, size[i] * 4, "right")
-            other = np.arange(lo, hi)
-            other = other[(comp[lo:hi] != comp[i]) & (~searched[lo:hi] | (doc[lo:hi] > doc[i]))]
-            out.append(np.stack((np.minimum(doc[other], doc[i]), np.maximum(doc[other], doc[i])), 1))
+            for w, at in classes.items():
+                other = at[(at >= lo) & (at < hi)]
+                other = other[(comp[other] != comp[i]) & (~searched[other] | (doc[other] > doc[i]))]
+                if len(other):
+                    narrow = min(w, int(widths[i]))
+                    apart = np.bitwise_count(fold(matrix[w][other - at[0]], narrow) ^ fold(np.frombuffer(raw[i], np.uint8)[None], narrow)).sum(1, dtype=np.int64)
+                    other = other[apart * 7 <= size[other] + size[i]]
+                    out.append(np.stack((np.minimum(doc[other], doc[i]), np.maximum(doc[other], doc[i])), 1))
     pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
     return pa.table([pa.array(pairs[:, 0].astype(np.int64)), pa.array(pairs[:, 1].astype(np.int64))], names=["a", "b"])
 
@@ -311,7 +370,12 @@ def similar(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame
 
     pairs = node(node(found.where("kind < 2").groupBy("a", "b").agg(F.sum("key").alias("w")), "a"), "b")
     pairs = pairs.where("a != b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("w").alias("w"))
-    pairs = tables.cut(pairs)
+    sketches = sets.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
+
+    def sketched(df: DataFrame, column: str, size: str, out: str) -> DataFrame:
+        return df.join(sketches.select(F.col("doc_id").alias(column), F.col("n_shingles").alias(size), F.col("sketch").alias(out)), column)
+
+    pairs = tables.cut(sketched(sketched(pairs, "a", "na", "sa"), "b", "nb", "sb").mapInArrow(_plausible, "a long, b long, w long"))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("w", -F.col("a"))).alias("a")).select("a", "b")
     first = verify(best, docs, percent, width)
     labels = components.components(first)
@@ -325,7 +389,8 @@ def similar(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame
     groups = groups.groupBy("key", "doc", "size").agg(F.max("searched").alias("searched")).withColumn("_spread", F.col("key"))
     labelled = component(groups, "doc", "component").select("key", "doc", "size", "component", "searched")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a != _b").select("key")
-    cross = labelled.join(mixed, "key").groupBy("key").applyInArrow(_cross, "a long, b long")
+    kept = labelled.join(mixed, "key").join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
+    cross = kept.groupBy("key").applyInArrow(_cross, "a long, b long")
     rest = open_pairs.unionByName(cross).distinct().join(best, ["a", "b"], "left_anti")
     second = verify(rest, docs, percent, width)
     final = components.components(first.unionByName(second))

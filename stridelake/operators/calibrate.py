@@ -96,7 +96,7 @@ def heading(march: np.ndarray, sensor: int) -> float:
     yaw, pitch = yaw_and_pitch(multiply(conjugate(march[:1]), march))
     degrees = np.degrees(yaw[np.degrees(pitch) > PITCH_LEAST])
     parts = []
-    for side in (degrees[degrees > 0], degrees[degrees < 0]):
+    for side in (degrees[degrees >= 0], degrees[degrees < 0]):
         if len(side) and side.std() >= YAW_STD:
             side = side[np.abs(side - np.median(side)) < YAW_TRIM]
         if len(side) and side.std() < YAW_STD:

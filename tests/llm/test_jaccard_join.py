@@ -90,3 +90,20 @@ def test_every_link_shares_a_searched_key():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jj.similar(docs).count() == 0
+
+
+def test_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(1)
+    for size in (1, 20, 33, 64, 65, 300):
+        for _ in range(20):
+            base = rng.integers(1, 2**62, size).astype(np.uint64)
+            other = np.unique(np.concatenate((base[int(size / 8) :], rng.integers(1, 2**62, int(rng.integers(0, size // 6 + 1))).astype(np.uint64))))
+            base = np.unique(base)
+            differ = len(np.setxor1d(base, other))
+            row = np.repeat([0, 1], [len(base), len(other)])
+            x, y = jj.parity_sketches(row, np.concatenate((base, other)), np.array([len(base), len(other)]))
+            far = jj.too_far([x], [y], np.array([7 * differ]))
+            assert not far[0]
+    far = rng.integers(1, 2**62, 400).astype(np.uint64)
+    x, y = jj.parity_sketches(np.repeat([0, 1], 200), far, np.array([200, 200]))
+    assert jj.too_far([x], [y], np.array([400]))[0]
