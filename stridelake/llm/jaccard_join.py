@@ -49,10 +49,10 @@ WIDTH = 5
 SMALL_GROUP = 16
 #: Pairs whose texts a task holds as arrays at the same time.
 VERIFIED_AT_ONCE = 200
-BATCH_BYTES, BUCKET_BYTES = 2 << 20, 1 << 20
+BATCH_BYTES, BUCKET_BYTES = 4 << 20, 6 << 20
 #: Ids up to which the documents to verify are picked by a broadcast (8 bytes each); beyond, by a shuffle.
 BROADCAST_IDS = 500_000
-KEYS = "bucket int, docs binary, sizes binary, owner binary, keys binary"
+KEYS = "bucket int, n int, owners binary, keys binary"
 PAIRS = "kind int, a long, b long, key long"
 
 
@@ -191,6 +191,17 @@ def signatures(row: np.ndarray, name: np.ndarray, n: int) -> tuple[np.ndarray, n
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(searched)
 
 
+def planes(numbers: np.ndarray, kind: str) -> bytes:
+    """The numbers' first bytes, then their second bytes and so on: high bytes compress to nothing."""
+    return np.ascontiguousarray(numbers.astype(kind)[:, None].view(np.uint8).T).tobytes()
+
+
+def of_planes(data: np.ndarray, kind: str) -> np.ndarray:
+    """The numbers that :func:`planes` was given."""
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(data.reshape(width, -1).T).view(kind).ravel()
+
+
 def _index(width: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -213,10 +224,11 @@ def _index(width: int, buckets: int):
                 rows = []
                 for a, b in zip(cuts, cuts[1:]):
                     own, place = np.unique(owner[a:b], return_inverse=True)
-                    code = (np.diff(place, prepend=0) * 2 + searched[a:b]).astype("<u2")
-                    rows.append((int(bucket[a]), np.diff(ids[i:j][own], prepend=0).astype("<i8").tobytes(), size[own].astype("<i4").tobytes(), press(code.tobytes()), (key[a:b] // U64(buckets) & U64(0xFFFFFFFF)).astype("<u4").tobytes()))
+                    code = np.diff(place, prepend=0) * 2 + searched[a:b]
+                    owners = planes(np.diff(ids[i:j][own], prepend=0), "<i8") + planes(size[own], "<i4") + planes(code, "<u2")
+                    rows.append((int(bucket[a]), len(own), press(owners), (key[a:b] // U64(buckets) & U64(0xFFFFFFFF)).astype("<u4").tobytes()))
                 columns = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), *(pa.binary(),) * 4))], [c.split()[0] for c in KEYS.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], [c.split()[0] for c in KEYS.split(", ")])
 
     return run
 
@@ -241,11 +253,12 @@ def _candidates(table: pa.Table) -> pa.Table:
     open_ = zstandard.ZstdDecompressor().decompress
     bucket = table.column("bucket")[0].as_py()
     doc, size, key, searched = [], [], [], []
-    for docs, sizes, owner, keys in zip(*(table.column(c) for c in ("docs", "sizes", "owner", "keys"))):
-        code = np.frombuffer(open_(owner.as_py()), "<u2").astype(np.int64)
+    for n, owners, keys in zip(*(table.column(c) for c in ("n", "owners", "keys"))):
+        n, whole = n.as_py(), np.frombuffer(open_(owners.as_py()), np.uint8)
+        ids, sizes, code = of_planes(whole[: 8 * n], "<i8"), of_planes(whole[8 * n : 12 * n], "<i4"), of_planes(whole[12 * n :], "<u2").astype(np.int64)
         place = np.cumsum(code >> 1)
-        doc.append(np.cumsum(np.frombuffer(docs.as_py(), "<i8"))[place])
-        size.append(np.frombuffer(sizes.as_py(), "<i4")[place])
+        doc.append(np.cumsum(ids)[place])
+        size.append(sizes[place])
         searched.append(code & 1 == 1)
         key.append(np.frombuffer(keys.as_py(), "<u4"))
     doc, size, key, searched = map(np.concatenate, (doc, size, key, searched))
