@@ -203,14 +203,22 @@ r AS (SELECT l.vec_id, l.i, m.label, rank() OVER (PARTITION BY l.vec_id, m.label
 c AS (SELECT vec_id, label, round(corr(rx, rm), 6) AS rho FROM r GROUP BY vec_id, label)
 SELECT vec_id, label, rho, row_number() OVER (PARTITION BY vec_id ORDER BY rho DESC, label) AS place FROM c""")
 def spearman_rank(spark, sf_dir):
-    """Conditions ranked by Spearman correlation with their mean profiles."""
+    """A25, T4 for the recordings of the SQL query set, every twentieth one: ``spearman_rank_all`` is the whole job."""
+    return spearman_rank_all(spark, sf_dir).where("vec_id % 20 = 0")
+
+
+@query()
+def spearman_rank_all(spark, sf_dir):
+    """Conditions ranked by Spearman correlation with their mean profiles, for every recording.
+
+    Each recording and each mean profile is ranked once; recordings meet the few profiles by place.
+    """
     from stridelake.operators.windows import average_rank
 
     e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
-    m = e.groupBy("label", "i").agg(F.avg("x").alias("m"))
-    met = e.where("vec_id % 20 = 0").drop("label").join(m, "i")
-    ranked = met.select("vec_id", "label", average_rank("x", "vec_id", "label").alias("rx"), average_rank("m", "vec_id", "label").alias("rm"))
-    c = ranked.groupBy("vec_id", "label").agg(F.round(F.corr("rx", "rm"), 6).alias("rho"))
+    m = e.groupBy("label", "i").agg(F.avg("x").alias("m")).select("label", "i", average_rank("m", "label").alias("rm"))
+    x = e.select("vec_id", "i", average_rank("x", "vec_id").alias("rx"))
+    c = x.join(m, "i").groupBy("vec_id", "label").agg(F.round(F.corr("rx", "rm"), 6).alias("rho"))
     return c.withColumn("place", F.row_number().over(Window.partitionBy("vec_id").orderBy(F.desc("rho"), "label")).cast("long"))
 
 
