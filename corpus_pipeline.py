@@ -48,8 +48,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def private_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
-    found = personal_data.find(docs.select("doc_id", "text")).dropDuplicates(["doc_id"])
-    return _counted(personal_data.redact(docs, found), docs.columns)
+    return _counted(personal_data.redacted(docs), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

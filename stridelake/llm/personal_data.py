@@ -9,10 +9,11 @@ its contexts together.  Contexts with a high score and enough distinct tokens ar
 and every token found in one is personal data, whether or not it was a seed.
 
 The graph holds hashes, never the values.  Its joins are salted, since one context may hold
-a third of all tokens.  Texts are read once; spans are joined back by document.
+a third of all tokens.  Texts are read once; found spans are joined back by a row number that
+the written scan holds, never by id.
 
-Edge cases: a null text counts as empty (no spans).  Repeated rows of one key must not occur
-in the spans' join; repeated texts give equal spans.  Found spans never overlap base spans.
+Edge cases: a null text counts as empty (no spans).  Null ids and repeated ids keep all their
+rows, each with the spans of its own text.  Found spans never overlap base spans.
 Very long texts are handled whole, in time linear in their length.  An empty table gives an
 empty result.  Input columns other than those named are not carried by ``find``.
 """
@@ -43,7 +44,7 @@ _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{6,}")
 _CONTEXT = re.compile(r"[^\W\d_]+|[=:\"']")
 _HEX = re.compile(r"[0-9a-fA-F]{32,}\Z")
-FOUND = "doc_id long, base array<struct<kind:string,start:int,end:int>>, seen array<struct<start:int,end:int,context:string,marked:boolean,token:string,seed:boolean>>"
+FOUND = "row long, doc_id long, base array<struct<kind:string,start:int,end:int>>, seen array<struct<start:int,end:int,context:string,marked:boolean,token:string,seed:boolean>>"
 
 
 def _luhn(digits: str) -> bool:
@@ -111,16 +112,16 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen_type = pa.list_(pa.struct(list(zip(seen_names, (pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.bool_())))))
     for batch in batches:
         base, seen = [], []
-        for text in batch.column(1).to_pylist():
+        for text in batch.column(2).to_pylist():
             own = base_entities(text or "")
             base.append([dict(zip(("kind", "start", "end"), x)) for x in own])
             seen.append([dict(zip(seen_names, x)) for x in identifiers(text or "", own)])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, base_type), pa.array(seen, seen_type)], ["doc_id", "base", "seen"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(base, base_type), pa.array(seen, seen_type)], ["row", "doc_id", "base", "seen"])
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Base entities and identifier-like tokens of each document; cut, for several uses."""
-    return tables.cut(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_find, FOUND))
+    """Base entities and identifier-like tokens of each row, numbered; cut, for several uses."""
+    return tables.cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text").mapInArrow(_find, FOUND))
 
 
 def patterns(seen: DataFrame) -> DataFrame:
@@ -140,18 +141,18 @@ def patterns(seen: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``base`` spans and ``found`` spans (arrays of kind, start, end)."""
+    """``doc_id``, ``base`` spans and ``found`` spans (arrays of kind, start, end), a row for each of ``docs``."""
     scanned = scan(docs)
-    seen = scanned.select("doc_id", F.explode("seen").alias("s")).select("doc_id", "s.*")
-    hits = tables.spread_join(seen, patterns(seen).select("context"), ["context"], "doc_id")
-    extra = hits.groupBy("doc_id").agg(F.collect_list(F.struct(F.lit("found").alias("kind"), "start", "end")).alias("_hits"))
-    joined = scanned.join(extra, "doc_id", "left")
+    seen = scanned.select("row", F.explode("seen").alias("s")).select("row", "s.*")
+    hits = tables.spread_join(seen, patterns(seen).select("context"), ["context"], "row")
+    extra = hits.groupBy("row").agg(F.collect_list(F.struct(F.lit("found").alias("kind"), "start", "end")).alias("_hits"))
+    joined = scanned.join(extra, "row", "left")
     apart = F.filter(F.coalesce("_hits", F.array()), lambda h: ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])))
     return joined.select("doc_id", "base", F.sort_array(apart).alias("found"))
 
 
 def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with each span of ``found`` replaced by its kind in brackets."""
+    """``docs`` with each span of ``found`` replaced by its kind in brackets; ``key`` must be unique and not null."""
     spans = found.select(F.col("doc_id").alias("_key"), F.concat("base", "found").alias("_spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,6 +165,12 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "
     return joined.mapInArrow(run, docs.schema)
 
 
+def redacted(docs: DataFrame) -> DataFrame:
+    """``docs`` with the personal data of each row replaced, whatever its ``doc_id``."""
+    numbered = tables.cut(docs.withColumn("_row", F.monotonically_increasing_id()))
+    return redact(numbered, find(numbered.select(F.col("_row").alias("doc_id"), "text")), "_row").drop("_row")
+
+
 def masked(text: str | None, spans: list[dict]) -> str | None:
     """The text with spans replaced; of overlapping spans the union is replaced by the first's kind."""
     if not text or not spans:

@@ -50,3 +50,20 @@ def test_context_finds_unseen_identifiers(spark, tmp_path):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pd_.find(docs).count() == 0
+
+
+def test_null_and_repeated_ids_are_masked(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    rows = [(i, f'some words here token = "{rng.randbytes(20).hex()}" and more', 1) for i in range(30)]
+    odd = [(None, "mail a.b@c.de now", "mail [EMAIL] now"), (None, 'a null token = "Zq81-unseen-77x" here', 'a null token = "[FOUND]" here'), (7, "call +1 (487) 555-7209 now", "call [PHONE] now"), (7, "x.y@z.org wrote", "[EMAIL] wrote"), (7, "x.y@z.org wrote", "[EMAIL] wrote"), (None, None, None)]
+    docs = spark.createDataFrame(rows + [(d, t, 1) for d, t, _ in odd], "doc_id long, text string, n_chars long").repartition(3)
+    key = lambda r: (str(r[0]), str(r[1]))
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.private_spans(spark, docs, "").collect()), key=key)
+    wanted = [(i, 'some words here token = "[FOUND]" and more') for i, _, _ in rows] + [(d, m) for d, _, m in odd]
+    assert got == sorted(wanted, key=key)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    told = [(r["doc_id"], r["spans"]) for r in pd_.op7_personal_data(spark, str(tmp_path)).collect()]
+    wanted = [(i, "found:25:65") for i, _, _ in rows] + [(None, "email:5:13"), (None, "found:16:31"), (7, "phone:5:22"), (7, "email:0:9"), (7, "email:0:9"), (None, "")]
+    assert sorted(told, key=key) == sorted(wanted, key=key)
