@@ -10,8 +10,9 @@ a boundary of a later chunk.  Pre-tokens are encoded one by one, as in the whole
 Texts of one chunk need no stitching and stay in their task; longer texts travel as chunks,
 so that a very long document is encoded by many tasks.
 
-Edge cases: a null text counts as empty (no ids).  Repeated rows give repeated results only
-as rows; rows of long texts must have unique keys.  An empty table gives an empty result.
+Edge cases: a null text counts as empty (no ids).  Null ids and repeated rows give a result
+for each row, at any length: rows of long texts are numbered and written before they are cut
+to chunks, and stitched by that number.  An empty table gives an empty result.
 Input columns other than the two named are not carried.
 """
 
@@ -144,11 +145,11 @@ def _chunked(path: str, pattern: str, chunk: int):
 
         codec, find = Codec(path, pattern), regex.compile(pattern)
         for batch in batches:
-            for doc, k, text, last in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for number, doc, k, text, last in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 starts, counts, ids = chunk_tokens(codec, find, text, last)
-                row = ([doc], [k], [text], [[s + k * chunk for s in starts]], [counts], [ids])
-                types = (pa.int64(), pa.int32(), pa.string(), *(pa.list_(pa.int32()),) * 3)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, types)], ["doc_id", "k", "slice", "starts", "counts", "ids"])
+                row = ([number], [doc], [k], [text], [[s + k * chunk for s in starts]], [counts], [ids])
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.string(), *(pa.list_(pa.int32()),) * 3)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, types)], ["row", "doc_id", "k", "slice", "starts", "counts", "ids"])
 
     return run
 
@@ -171,12 +172,13 @@ def _coded(docs: DataFrame, path: str, pattern: str, chunk: int, overlap: int, d
     size = F.coalesce(F.length("text"), F.lit(0))
     short = own.where(size <= chunk).mapInArrow(_direct(path, pattern, digest), schema)
     ks = F.explode(F.sequence(F.lit(0), ((F.length("text") - 1) / chunk).cast("int")))
-    slices = own.where(size > chunk).select("doc_id", ks.alias("k"), "text").select(
-        "doc_id", "k", F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("slice"), (F.length("text") <= F.col("k") * chunk + chunk + overlap).alias("last")
+    long = tables.cut(own.where(size > chunk).withColumn("row", F.monotonically_increasing_id()))
+    slices = long.select("row", "doc_id", ks.alias("k"), "text").select(
+        "row", "doc_id", "k", F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("slice"), (F.length("text") <= F.col("k") * chunk + chunk + overlap).alias("last")
     )
-    spread = slices.repartition("doc_id", "k")
-    parts = spread.mapInArrow(_chunked(path, pattern, chunk), "doc_id long, k int, slice string, starts array<int>, counts array<int>, ids array<int>")
-    return short.unionByName(parts.groupBy("doc_id").applyInArrow(_stitched(path, pattern, chunk, digest), schema))
+    spread = slices.repartition("row", "k")
+    parts = spread.mapInArrow(_chunked(path, pattern, chunk), "row long, doc_id long, k int, slice string, starts array<int>, counts array<int>, ids array<int>")
+    return short.unionByName(parts.groupBy("row").applyInArrow(_stitched(path, pattern, chunk, digest), schema))
 
 
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:

@@ -31,3 +31,12 @@ def test_digests_and_empty_table(spark):
     got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in byte_bpe.encode_digests(docs, PATH, chunk=128, overlap=32).collect()}
     assert got == {k: codec.digests(codec.encode(t or "")) for k, t in TEXTS.items()}
     assert byte_bpe.encode_digests(docs.where("false"), PATH).count() == 0
+
+
+def test_long_rows_with_null_and_repeated_ids(spark):
+    codec = byte_bpe.Codec(PATH, public_tokenizers.PATTERN)
+    rows = [(None, TEXTS[3]), (None, TEXTS[5]), (5, TEXTS[7]), (5, TEXTS[7]), (5, TEXTS[8]), (None, "short"), (None, "short"), (None, None)]
+    coded = byte_bpe.encode(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), PATH, chunk=64, overlap=16)
+    key = lambda r: (str(r[0]), r[1])
+    got = [(r["doc_id"], np.frombuffer(bytes(r["ids"]), "<u4").tolist()) for r in coded.collect()]
+    assert sorted(got, key=key) == sorted(((d, codec.encode(t or "")) for d, t in rows), key=key)
