@@ -14,8 +14,8 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
         near = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     else:
         near = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    met = tables.spread_join(near, least, ["u"], "v", salts=16)
+    least = tables.cut(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+    met = tables.skewed_join(near, least, ["u"])
     if not small:
         met = met.where("v > u")  # smaller neighbours keep their own stars
     out = met.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))

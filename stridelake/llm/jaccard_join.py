@@ -130,7 +130,7 @@ def _describe(width: int):
 
 def set_digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles``, a 128-bit digest (``x``, ``y``) and the parity sketch of the shingle set."""
-    return docs.mapInArrow(_describe(width), "doc_id long, n_shingles long, x long, y long, sketch binary")
+    return docs.mapInArrow(tables.lean_batches(_describe(width)), "doc_id long, n_shingles long, x long, y long, sketch binary")
 
 
 def signatures(row: np.ndarray, name: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -354,7 +354,7 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int, width: int = WIDTH)
     left = salted.select("a", "_salt").distinct().join(texts, F.col("a") == F.col("doc_id")).select("a", "_salt", F.col("text").alias("ta"))
     right = salted.join(texts, F.col("b") == F.col("doc_id")).select("a", "b", "_salt", F.col("text").alias("tb"))
     met = right.join(left, ["a", "_salt"]).select("a", "b", "ta", "tb")
-    found = met.mapInArrow(_verify(width), "a long, b long, shared long, together long")
+    found = met.mapInArrow(tables.lean_batches(_verify(width)), "a long, b long, shared long, together long")
     return tables.cut(found.where(F.col("shared") * 100 >= F.col("together") * percent).select("a", "b"))
 
 
@@ -369,13 +369,13 @@ def similar(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
     sets = tables.cut(set_digests(docs, width))
     digest = ["x", "y", "n_shingles"]
-    copies = sets.where("n_shingles > 0").groupBy(*digest).agg(F.min("doc_id").alias("set_id"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    members = tables.cut(tables.spread_join(sets, copies, digest, "doc_id", how="left").select("doc_id", "n_shingles", F.coalesce("set_id", "doc_id").alias("set_id")))
+    copies = tables.cut(sets.where("n_shingles > 0").groupBy(*digest).agg(F.min("doc_id").alias("set_id"), F.count("*").alias("_n")).where("_n > 1").drop("_n"))
+    members = tables.cut(tables.skewed_join(sets, copies, digest, how="left").select("doc_id", "n_shingles", F.coalesce("set_id", "doc_id").alias("set_id")))
     copy_of = members.where("doc_id != set_id").select("doc_id", "set_id").distinct()
 
     buckets = tables.block_count(docs, "text", BUCKET_BYTES)
-    keys = docs.mapInArrow(_index(width, buckets), KEYS)
-    found = tables.cut(keys.groupBy("bucket").applyInArrow(_candidates, PAIRS))
+    keys = docs.mapInArrow(tables.lean_batches(_index(width, buckets)), KEYS)
+    found = tables.cut(keys.groupBy("bucket").applyInArrow(tables.lean(_candidates), PAIRS))
 
     def node(df: DataFrame, column: str) -> DataFrame:
         met = df.join(copy_of.withColumnRenamed("doc_id", column), column, "left")
@@ -388,27 +388,27 @@ def similar(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame
     def sketched(df: DataFrame, column: str, size: str, out: str) -> DataFrame:
         return df.join(sketches.select(F.col("doc_id").alias(column), F.col("n_shingles").alias(size), F.col("sketch").alias(out)), column)
 
-    pairs = tables.cut(sketched(sketched(pairs, "a", "na", "sa"), "b", "nb", "sb").mapInArrow(_plausible, "a long, b long, w long"))
+    pairs = tables.cut(sketched(sketched(pairs, "a", "na", "sa"), "b", "nb", "sb").mapInArrow(tables.lean_batches(_plausible), "a long, b long, w long"))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("w", -F.col("a"))).alias("a")).select("a", "b")
     first = verify(best, docs, percent, width)
     labels = components.components(first)
 
     def component(df: DataFrame, column: str, out: str) -> DataFrame:
         named = labels.select(F.col("node").alias(column), F.col("component").alias(out))
-        return tables.spread_join(df, named, [column], "_spread", salts=8, how="left").withColumn(out, F.coalesce(out, column))
+        return tables.skewed_join(df, named, [column], how="left").withColumn(out, F.coalesce(out, column))
 
-    open_pairs = component(component(pairs.select("a", "b").withColumn("_spread", F.xxhash64("a", "b")), "a", "ca"), "b", "cb").where("ca != cb").select("a", "b")
+    open_pairs = component(component(pairs.select("a", "b"), "a", "ca"), "b", "cb").where("ca != cb").select("a", "b")
     groups = node(found.where("kind >= 2").select(F.col("a").alias("doc"), F.col("b").alias("size"), "key", (F.col("kind") == 3).alias("searched")), "doc")
-    groups = groups.groupBy("key", "doc", "size").agg(F.max("searched").alias("searched")).withColumn("_spread", F.col("key"))
+    groups = groups.groupBy("key", "doc", "size").agg(F.max("searched").alias("searched"))
     labelled = component(groups, "doc", "component").select("key", "doc", "size", "component", "searched")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a != _b").select("key")
     kept = labelled.join(mixed, "key").join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
-    cross = kept.groupBy("key").applyInArrow(_cross, "a long, b long")
+    cross = kept.groupBy("key").applyInArrow(tables.lean(_cross), "a long, b long")
     rest = open_pairs.unionByName(cross).distinct().join(best, ["a", "b"], "left_anti")
     second = verify(rest, docs, percent, width)
     final = components.components(first.unionByName(second))
     named = final.select(F.col("node").alias("set_id"), F.col("component").alias("component_id"))
-    return tables.spread_join(members, named, ["set_id"], "doc_id", how="left").withColumn("component_id", F.coalesce("component_id", "set_id")).select("doc_id", "n_shingles", "set_id", "component_id")
+    return tables.skewed_join(members, named, ["set_id"], how="left").withColumn("component_id", F.coalesce("component_id", "set_id")).select("doc_id", "n_shingles", "set_id", "component_id")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,8 @@ it in rounds: a context is as good as the mean score of its tokens, and a token
 its contexts together.  Contexts with a high score and enough distinct tokens are patterns,
 and every token found in one is personal data, whether or not it was a seed.
 
-The graph holds hashes, never the values.  Its joins are salted, since one context may hold
-a third of all tokens.  Texts are read once; found spans are joined back by a row number that
+The graph holds hashes, never the values.  One context may hold a third of all tokens: its
+joins are those that adaptive execution splits.  Texts are read once; found spans are joined back by a row number that
 the written scan holds, never by id.
 
 Edge cases: a null text counts as empty (no spans).  Null ids and repeated ids keep all their
@@ -121,7 +121,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan(docs: DataFrame) -> DataFrame:
     """Base entities and identifier-like tokens of each row, numbered; cut, for several uses."""
-    return tables.cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text").mapInArrow(_find, FOUND))
+    return tables.cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text").mapInArrow(tables.lean_batches(_find), FOUND))
 
 
 def patterns(seen: DataFrame) -> DataFrame:
@@ -130,11 +130,11 @@ def patterns(seen: DataFrame) -> DataFrame:
     tokens = edges.groupBy("token").agg(F.max("seed").alias("score"))
     enough = F.when(F.col("marked"), F.lit(SUPPORT_MARKED)).otherwise(F.lit(SUPPORT_PLAIN))
     for turn in range(ROUNDS):
-        scored = tables.spread_join(edges, tokens, ["token"], "context")
+        scored = tables.skewed_join(edges, tables.cut(tokens), ["token"])
         contexts = scored.groupBy("context", "marked").agg(F.avg("score").alias("confidence"), F.count("*").alias("support"))
         contexts = tables.cut(contexts.where(F.col("support") >= enough))
         if turn + 1 < ROUNDS:
-            met = tables.spread_join(edges, contexts.drop("marked"), ["context"], "token", how="left")
+            met = tables.skewed_join(edges, contexts.drop("marked"), ["context"], how="left")
             doubt = F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.99)))
             tokens = met.groupBy("token").agg(F.greatest(F.max("seed"), 1 - F.exp(F.sum(doubt))).alias("score"))
     return contexts.where(F.col("confidence") >= MIN_SCORE).select("context", F.col("confidence").alias("score"), "support")
@@ -144,7 +144,7 @@ def find(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``base`` spans and ``found`` spans (arrays of kind, start, end), a row for each of ``docs``."""
     scanned = scan(docs)
     seen = scanned.select("row", F.explode("seen").alias("s")).select("row", "s.*")
-    hits = tables.spread_join(seen, patterns(seen).select("context"), ["context"], "row")
+    hits = tables.skewed_join(seen, patterns(seen).select("context"), ["context"])
     extra = hits.groupBy("row").agg(F.collect_list(F.struct(F.lit("found").alias("kind"), "start", "end")).alias("_hits"))
     joined = scanned.join(extra, "row", "left")
     apart = F.filter(F.coalesce("_hits", F.array()), lambda h: ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])))
@@ -162,7 +162,7 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "
             yield batch.set_column(at, text, pa.array(new, pa.string())).drop_columns(["_spans"])
 
     joined = docs.join(spans, docs[key] == spans["_key"], "left").drop("_key")
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(tables.lean_batches(run), docs.schema)
 
 
 def redacted(docs: DataFrame) -> DataFrame:

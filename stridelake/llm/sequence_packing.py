@@ -28,16 +28,19 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stridelake.llm import tables
+from stridelake.llm import tables, textbytes
 
 CAPACITY, END_ID, SALTS = 2048, 0, 64
-#: Words whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers (about 200 bytes each); beyond that it forgets those not seen since.
+REMEMBERED = 150_000
+#: Bytes of text that are split to words at once (a longer text stands alone).
+SLICE_BYTES = 1 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
@@ -84,6 +87,7 @@ class WordIds(dict):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             ranks.setdefault(raw(left + right), 512 + i)
         self.encoding = tiktoken.Encoding("words", pat_str=f"[^{self.END}]*{self.END}", mergeable_ranks=ranks, special_tokens={})
+        self.old: dict[str, bytes] = {}
         special = set(self.tokenizer.get_added_tokens_decoder())
         known = {raw(t): i for t, i in model["vocab"].items() if i not in special}
         self.id_of = np.zeros(max(ranks.values()) + 1, "<u4")
@@ -92,10 +96,15 @@ class WordIds(dict):
             self.id_of[rank] = known.get(token, 0)
             self.ends[rank] = token.endswith(end)
 
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.old[word]
+        return ids
+
     def learn(self, texts: list[list[str]]) -> None:
-        if len(self) > REMEMBERED:
+        if len(self) > REMEMBERED // 2:
+            self.old = dict(self)
             self.clear()
-        new = {w for words in texts for w in words if w not in self}
+        new = {w for words in texts for w in words if w not in self and w not in self.old}
         rare = [w for w in new if not w.isascii() and max(w) >= "\u0250" or self.END in w]
         plain = list(new.difference(rare))
         for w, e in zip(rare, self.tokenizer.encode_batch_fast(rare, add_special_tokens=False)):
@@ -133,8 +142,9 @@ def _pieces(vocabulary: str, capacity: int, with_ids: bool):
         known = word_ids(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            edges = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())))
+            for first_row, stop in textbytes.pieces(edges, SLICE_BYTES):
+                part = batch.slice(first_row, stop - first_row)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 odd = [t if len(t.translate(_CONTROLS)) != len(t) else None for t in texts] if any(c in "".join(texts) for c in "\x1c\x1d\x1e\x1f") else [None] * len(texts)
                 split = [[] if o else t.split() for t, o in zip(texts, odd)]
@@ -153,7 +163,7 @@ def _pieces(vocabulary: str, capacity: int, with_ids: bool):
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
     """Pieces of at most ``capacity`` ids of each document (``doc_id``, ``text``)."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_pieces(vocabulary, capacity, with_ids), PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tables.lean_batches(_pieces(vocabulary, capacity, with_ids)), PIECES)
 
 
 def reduce_by_dominance(count: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -276,7 +286,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     columns = pieces.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
     ready = ranked.select(*columns, (F.col("_before") + F.col("_own")).alias("_rank"))
-    return ready.mapInArrow(_place(_slots(packing_plan(histogram, capacity))), schema)
+    return ready.mapInArrow(tables.lean_batches(_place(_slots(packing_plan(histogram, capacity)))), schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -85,8 +85,7 @@ class Fragments:
         self.start = np.repeat(start, parts) + shift * MAX_WINDOWS
         self.size = np.minimum(rest, MAX_WINDOWS) + width - 1
         self.doc = docs[np.searchsorted(offsets, self.start, "right") - 1]
-        prefix, inverse = textbytes.prefix_sums(data)
-        names = textbytes.range_hash(prefix, inverse, self.start, self.start + self.size)
+        names = textbytes.string_hashes(data, self.start, self.start + self.size)
         _, first, which = np.unique(names, return_index=True, return_inverse=True)
         order = np.argsort(first, kind="stable")  # distinct fragments in text order
         rank = np.empty(len(order), np.int64)
@@ -276,9 +275,7 @@ def _resolve(width: int, seed: int, every: bool):
         source = np.repeat(np.arange(len(blocks)), counts)
         place = np.concatenate([np.cumsum(np.frombuffer(open_(x.as_py()), "<i4").astype(np.int64)) for x in table.column("at")])
         # Equal fragments of different blocks are one, with their smallest document.
-        prefix, inverse = textbytes.prefix_sums(data)
-        names = textbytes.range_hash(prefix, inverse, start, start + size)
-        del prefix
+        names = textbytes.string_hashes(data, start, start + size)
         _, first, which, times = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
         least = np.full(len(first), LAST)
         np.minimum.at(least, which, docs)
@@ -380,11 +377,11 @@ def _run(docs: DataFrame, key: str, text: str, width: int, seed: int, block_byte
     n = tables.block_count(own, "text", block_bytes)
     blocks = own.withColumn("block", tables.block_of(F.col("doc_id"), n))
     buckets = n * BUCKETS_A_BLOCK
-    heard = blocks.groupBy("block").applyInArrow(_announce(width, seed, buckets), HEARD)
-    shared = heard.groupBy("bucket").applyInArrow(_common, SHARED)
-    sent = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send(width, seed, buckets), SENT)
-    told = sent.groupBy("bucket").applyInArrow(_resolve(width, seed, every), TOLD)
-    done = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(finish(buckets), schema)
+    heard = blocks.groupBy("block").applyInArrow(tables.lean(_announce(width, seed, buckets)), HEARD)
+    shared = heard.groupBy("bucket").applyInArrow(tables.lean(_common), SHARED)
+    sent = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(tables.lean(_send(width, seed, buckets)), SENT)
+    told = sent.groupBy("bucket").applyInArrow(tables.lean(_resolve(width, seed, every)), TOLD)
+    done = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(tables.lean(finish(buckets)), schema)
     return done.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +48,52 @@ def block_count(df: DataFrame, column: str, block_bytes: int, least: int = 8) ->
     return max(least, -(-int(total) // block_bytes))
 
 
-def spread_join(many: DataFrame, few: DataFrame, keys: list[str], spread: str, salts: int = 32, how: str = "inner") -> DataFrame:
-    """Equi-join whose hot keys on the side ``many`` are dealt over ``salts`` tasks.
+def skewed_join(many: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join of a side whose keys may be hot with a side of one row a key.
+
+    Adaptive execution splits the partitions of hot keys and repeats only the matching rows of
+    ``few`` there, at any size; nothing is salted in advance, so cold keys cost nothing more.
+    A sort-merge join is asked for, since only that join is split, and only where both sides
+    come straight from an exchange: an aggregate must be cut before it is ``few``.
+    """
+    return many.join(few.hint("merge"), keys, how)
+
+
+def give_back() -> None:
+    """Hands memory that a Python worker no longer uses back to the system.
 
-    ``spread`` is a column of ``many`` that varies inside a hot key.  Each row of ``few``
-    (one a key, and narrow) is repeated once a salt.
+    Workers are kept between tasks and stages, and their allocators would keep the peak.
     """
-    left = many.withColumn("_salt", block_of(F.col(spread), salts))
-    right = few.withColumn("_salt", F.explode(F.array(*map(F.lit, range(salts)))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):
+    _trim = None
+
+
+def lean(run: Callable) -> Callable:
+    """A function of one or two groups (Arrow tables) that gives unused memory back at its end."""
+
+    def after(*groups: pa.Table) -> pa.Table:
+        try:
+            return run(*groups)
+        finally:
+            give_back()
+
+    if run.__code__.co_argcount == 2:
+        return lambda left, right: after(left, right)
+    return lambda group: after(group)
+
+
+def lean_batches(run: Callable) -> Callable:
+    """As :func:`lean`, for a function of an iterator of batches."""
+
+    def after(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return after

@@ -106,21 +106,24 @@ def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return prefix, powers[1]
 
 
+#: Bytes whose prefix sums and powers are held at once (a longer string has its own).
+HASHED_AT_ONCE = 1 << 18
 _cache: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least n of each, kept."""
+    """Powers of the base and of its inverse modulo 2**64, at least n of each; the usual number is kept."""
     have = max(_cache, default=0)
     if have < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
+        size = max(HASHED_AT_ONCE + 1, n)
         inverse = U64(pow(int(_BASE), -1, 2**64))
         with np.errstate(over="ignore"):
             up, down = np.full(size, _BASE), np.full(size, inverse)
             up[0] = down[0] = 1
             np.cumprod(up, out=up)
             np.cumprod(down, out=down)
-        _cache.clear()
+        if size > HASHED_AT_ONCE + 1:
+            return up[:n], down[:n]
         _cache[size] = (up, down)
         have = size
     up, down = _cache[have]
@@ -133,6 +136,18 @@ def range_hash(prefix: np.ndarray, inverse: np.ndarray, start: np.ndarray, end:
         return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def string_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each string [start, end), wherever it stands; starts and ends rise."""
+    out, i = np.empty(len(start), U64), 0
+    while i < len(start):
+        base = int(start[i])
+        j = max(i + 1, int(np.searchsorted(end, base + HASHED_AT_ONCE, "right")))
+        prefix, inverse = prefix_sums(data[base : int(end[j - 1])])
+        out[i:j] = range_hash(prefix, inverse, start[i:j] - base, end[i:j] - base)
+        i = j
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and row numbers of the words; a row's end also ends a word."""
     if not len(data):
@@ -154,8 +169,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     start, end, row = words(data, offsets)
     if not len(start):
         return start, end, row, np.zeros(0, U64)
-    prefix, inverse = prefix_sums(LOWER[data] if lower else data)
-    return start, end, row, range_hash(prefix, inverse, start, end)
+    return start, end, row, string_hashes(LOWER[data] if lower else data, start, end)
 
 
 def shingles(row: np.ndarray, hashes: np.ndarray, n_rows: int, width: int) -> tuple[np.ndarray, np.ndarray]:
