@@ -10,8 +10,8 @@ rarest ones (by their rarest shingle, as counted in its batch; empty ones last).
 passage are thereby indexed but hardly ever searched.  Bands of small sets use half as many
 segments with their one-deletion neighbourhoods instead.
 
-Pairs are first held against parity sketches: a bit for each of twice as many places as the
-set has shingles, flipped by every shingle that falls there.  Two sketches differ in at most
+Pairs are first held against parity sketches: a bit for each of four times as many places as the
+set has shingles (eight times at most), flipped by every shingle that falls there.  Two sketches differ in at most
 as many bits as the sets differ in shingles, so a pair that differs in too many bits is no
 link for sure, and its texts need not be read.
 
@@ -49,6 +49,8 @@ WIDTH = 5
 SMALL_GROUP = 16
 #: Pairs whose texts a task holds as arrays at the same time.
 VERIFIED_AT_ONCE = 200
+#: Members of a key that a task compares with each other; a larger key is cut into cells of so many on either side.
+CELL = 4096
 BATCH_BYTES, BUCKET_BYTES = 4 << 20, 6 << 20
 #: Ids up to which the documents to verify are picked by a broadcast (8 bytes each); beyond, by a shuffle.
 BROADCAST_IDS = 500_000
@@ -71,8 +73,8 @@ def text_shingles(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) ->
 
 
 def parity_sketches(row: np.ndarray, name: np.ndarray, size: np.ndarray) -> list[bytes]:
-    """A sketch for each row: 64 bits times a power of two, at least twice the set's size."""
-    bits = 64 << np.ceil(np.log2(np.maximum(size, 32) / 32)).astype(np.int64)
+    """A sketch for each row: 128 bits times a power of two, at least four times the set's size."""
+    bits = 128 << np.ceil(np.log2(np.maximum(size, 32) / 32)).astype(np.int64)
     base = np.concatenate(([0], np.cumsum(bits)))
     place = (textbytes.mix(name + U64(3)) & (bits[row] - 1).astype(U64)).astype(np.int64)
     odd = np.bincount(base[row] + place, minlength=base[-1]) & 1
@@ -296,25 +298,25 @@ def _candidates(table: pa.Table) -> pa.Table:
 
 
 def _cross(table: pa.Table) -> pa.Table:
-    """Pairs of a searching and an indexed member of a large group that lie in different components.
+    """Pairs of a searching (``left``) and an indexed (``right``) member of a cell that lie in different components.
 
     Pairs that the sketches rule out are left out.
     """
-    doc, size, comp, searched = (table.column(c).to_numpy() for c in ("doc", "size", "component", "searched"))
+    doc, size, comp, searched, left, right = (table.column(c).to_numpy() for c in ("doc", "size", "component", "searched", "left", "right"))
     out = []
     if len(np.unique(comp)) > 1:
         order = np.argsort(size, kind="stable")
-        doc, size, comp, searched = doc[order], size[order], comp[order], searched[order]
+        doc, size, comp, searched, left, right = (x[order] for x in (doc, size, comp, searched, left, right))
         raw = table.column("sketch").to_pylist()
         raw = [raw[i] for i in order]
         widths = np.array([len(x) for x in raw])
         classes = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths)}  # runs, since sizes rise
         matrix = {w: np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(-1, w) for w, at in classes.items()}
-        for i in np.flatnonzero(searched):
+        for i in np.flatnonzero(left):
             lo, hi = np.searchsorted(size * 4, size[i] * 3, "left"), np.searchsorted(size * 3, size[i] * 4, "right")
             for w, at in classes.items():
                 other = at[(at >= lo) & (at < hi)]
-                other = other[(comp[other] != comp[i]) & (~searched[other] | (doc[other] > doc[i]))]
+                other = other[right[other] & (comp[other] != comp[i]) & (~searched[other] | (doc[other] > doc[i]))]
                 if len(other):
                     narrow = min(w, int(widths[i]))
                     apart = np.bitwise_count(fold(matrix[w][other - at[0]], narrow) ^ fold(np.frombuffer(raw[i], np.uint8)[None], narrow)).sum(1, dtype=np.int64)
@@ -401,9 +403,15 @@ def similar(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame
     groups = node(found.where("kind >= 2").select(F.col("a").alias("doc"), F.col("b").alias("size"), "key", (F.col("kind") == 3).alias("searched")), "doc")
     groups = groups.groupBy("key", "doc", "size").agg(F.max("searched").alias("searched"))
     labelled = component(groups, "doc", "component").select("key", "doc", "size", "component", "searched")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a != _b").select("key")
-    kept = labelled.join(mixed, "key").join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
-    cross = kept.groupBy("key").applyInArrow(tables.lean(_cross), "a long, b long")
+    cells = lambda n: F.greatest(F.lit(1), F.ceil(n / CELL)).cast("int")
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), cells(F.count("*")).alias("_j"), cells(F.count_if("searched")).alias("_i"))
+    mixed = tables.cut(mixed.where("_a != _b").select("key", "_i", "_j"))
+    cell = F.expr("""explode(CASE WHEN _j = 1 THEN array(struct(0 AS i, 0 AS j, searched AS left, true AS right)) ELSE concat(
+        transform(sequence(0, _i - 1), x -> struct(x AS i, cast(pmod(xxhash64(doc), _j) AS int) AS j, false AS left, true AS right)),
+        transform(IF(searched, sequence(0, _j - 1), array()), x -> struct(cast(pmod(xxhash64(doc, 1), _i) AS int) AS i, x AS j, true AS left, false AS right))) END)""")
+    kept = tables.skewed_join(labelled, mixed, ["key"]).select("key", "doc", "size", "component", "searched", cell.alias("cell")).select("key", "cell.*", "doc", "size", "component", "searched")
+    kept = kept.join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
+    cross = kept.groupBy("key", "i", "j").applyInArrow(tables.lean(_cross), "a long, b long")
     rest = open_pairs.unionByName(cross).distinct().join(best, ["a", "b"], "left_anti")
     second = verify(rest, docs, percent, width)
     final = components.components(first.unionByName(second))

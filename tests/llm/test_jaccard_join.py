@@ -55,9 +55,10 @@ def corpus(seed, n):
     return texts
 
 
-@pytest.mark.parametrize("seed,small", [(1, 16), (2, 3)])
-def test_components_equal_brute_force(spark, monkeypatch, seed, small):
-    monkeypatch.setattr(jj, "SMALL_GROUP", small)
+@pytest.mark.parametrize("seed,cell", [(1, 4096), (2, 7)])
+def test_components_equal_brute_force(spark, monkeypatch, seed, cell):
+    """Also with keys that are cut into cells."""
+    monkeypatch.setattr(jj, "CELL", cell)
     texts = corpus(seed, 300)
     docs = spark.createDataFrame([(d, t, 0) for d, t in texts.items()], "doc_id long, text string, size int")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jj.similar(docs).collect()}
@@ -87,6 +88,15 @@ def test_every_link_shares_a_searched_key():
         assert set(key[a & searched]) & set(key[b]) or set(key[b & searched]) & set(key[a]), x
 
 
+def test_repeated_rows_and_null_ids(spark):
+    texts = corpus(5, 40)
+    rows = [(d, t, 0) for d, t in texts.items()]
+    docs = spark.createDataFrame(rows + rows[6:20] + [(None, texts[7], 0)], "doc_id long, text string, set_id int")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jj.similar(docs).collect())
+    expected = brute(texts)
+    assert got == sorted((d, *expected[d]) for d in [r[0] for r in rows + rows[6:20]])
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jj.similar(docs).count() == 0
