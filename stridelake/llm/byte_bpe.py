@@ -1,14 +1,16 @@
 """Byte-level BPE: encoding in overlapping chunks, decoding by raw bytes.
 
-A text is cut into chunks that overlap.  Each chunk is pre-tokenised on its own, from a
+Every text is cut into chunks of CHUNK characters that overlap.  Each chunk is pre-tokenised on its own, from a
 place that may lie inside a pre-token.  The pattern looks only ahead, so where two
 neighbouring chunks have a common boundary they agree from there on: the later chunk takes
 over at the first common boundary of the overlap.  Where an overlap has none (a run longer
 than the overlap), the text from the last sure boundary is pre-tokenised on until it meets
-a boundary of a later chunk.  Pre-tokens are encoded one by one, as in the whole text.
+a boundary of a later chunk.  The pieces between these meeting places are encoded one by one,
+as in the whole text.
 
-Texts of one chunk need no stitching and stay in their task; longer texts travel as chunks,
-so that a very long document is encoded by many tasks.
+Texts of up to DEALT characters have their chunks cut, stitched and encoded in their task.  Longer texts
+travel as chunks of DEALT characters, so that a very long document is pre-tokenised and encoded by many
+tasks; there each chunk sends the ids of its pre-tokens along, and stitching picks them.
 
 Edge cases: a null text counts as empty (no ids).  Null ids and repeated rows give a result
 for each row, at any length: rows of long texts are numbered and written before they are cut
@@ -20,7 +22,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +34,8 @@ from pyspark.sql import functions as F
 
 from stridelake.llm import tables
 
-CHUNK, OVERLAP = 65_536, 1_024
+CHUNK, OVERLAP = 512, 64
+DEALT, DEALT_OVERLAP = 65_536, 1_024
 CODES = "doc_id long, ids binary"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -61,18 +66,60 @@ class Codec:
         return len(ids), hashlib.sha256(named).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest()
 
 
-def chunk_tokens(codec: Codec, pattern, text: str, whole: bool) -> tuple[list[int], list[int], list[int]]:
-    """Starts, id counts and ids of a chunk's pre-tokens.
+def boundaries(pattern, text: str, at: int, end: int) -> list[int]:
+    """Sure boundaries of the pre-tokens of text[at:end], from ``at`` on.
 
     A pre-token that ends within a character of the end is not sure (the longest
-    contraction looks two characters ahead), and left out, unless the text ends there.
+    contraction looks two characters ahead), unless the text ends there.
     """
-    starts, counts, ids = [], [], []
-    for m in pattern.finditer(text):
-        if m.end() > len(text) - 2 and not whole:
-            break
-        own = codec.encode(m.group())
-        starts.append(m.start())
+    own = text[at:end]
+    out = list(accumulate(map(len, pattern.findall(own)), initial=at))
+    if out[-1] != at + len(own):  # not all characters belong to a pre-token
+        out = [at, *(at + m.end() for m in pattern.finditer(own))]
+    if end < len(text):
+        while len(out) > 1 and out[-1] > end - 2:
+            out.pop()
+    return out
+
+
+def cuts(pattern, text: str, chunk: int, overlap: int) -> list[int]:
+    """Boundaries of the whole text, about one a chunk, where neighbouring chunks meet; and both ends."""
+    found, n = [0], len(text)
+    sure = boundaries(pattern, text, 0, min(n, chunk + overlap))
+    k = 1
+    while k * chunk < n:
+        begin = k * chunk
+        mine = boundaries(pattern, text, begin, min(n, begin + chunk + overlap))
+        met = set(mine)
+        meet = next((p for p in sure[bisect_left(sure, begin) :] if p in met), None)
+        pos = sure[-1]
+        # No common boundary: pre-tokenise on from the last sure one, until this chunk or a later one is met.
+        while meet is None and pos < begin + chunk and pos < n:
+            m = pattern.search(text, pos)
+            pos = m.end() if m else n
+            if pos >= begin and pos in met:
+                meet = pos
+        if meet is None:
+            sure = [pos]
+        else:
+            found.append(meet)
+            sure = mine[bisect_left(mine, meet) :]
+        k += 1
+    if found[-1] != n:
+        found.append(n)
+    return found
+
+
+def chunk_tokens(codec: Codec, pattern, text: str, whole: bool) -> tuple[list[int], list[int], list[int]]:
+    """Starts, id counts and ids of a chunk's sure pre-tokens."""
+    edges = boundaries(pattern, text if whole else text + "..", 0, len(text))
+    known: dict[str, list[int]] = {}
+    starts, counts, ids = edges[:-1], [], []
+    for a, b in zip(edges, edges[1:]):
+        token = text[a:b]
+        own = known.get(token)
+        if own is None:
+            own = known[token] = codec.encode(token)
         counts.append(len(own))
         ids += own
     return starts, counts, ids
@@ -80,52 +127,52 @@ def chunk_tokens(codec: Codec, pattern, text: str, whole: bool) -> tuple[list[in
 
 def stitch(codec: Codec, pattern, chunks: list[tuple[str, list[int], list[int], list[int]]], chunk: int) -> list[int]:
     """Ids of the whole text from its chunks (slice, starts, counts, ids), starts absolute."""
+    text = "".join(c[0][:chunk] for c in chunks[:-1]) + chunks[-1][0]
     known = [dict(zip(s, range(len(s)))) for _, s, _, _ in chunks]
     at = [np.concatenate(([0], np.cumsum(c))).astype(int) for _, _, c, _ in chunks]
     out: list[int] = []
     k, pos = 0, 0
-    size = max(i * chunk + len(c[0]) for i, c in enumerate(chunks))
-    while pos < size:
+    while pos < len(text):
         _, starts, _, ids = chunks[k]
         first = known[k].get(pos)
         if first is not None:
             meet = None
             if k + 1 < len(chunks):
-                meet = next((p for p in starts[first:] if p >= (k + 1) * chunk and p in known[k + 1]), None)
+                begin = bisect_left(starts, (k + 1) * chunk, first)
+                meet = next((p for p in starts[begin:] if p in known[k + 1]), None)
             last = known[k][meet] if meet is not None else len(starts)
             out += ids[at[k][first] : at[k][last]]
             if meet is not None:
                 k, pos = k + 1, meet
                 continue
             # No common boundary: go on from the end of this chunk's last sure pre-token.
-            pos = starts[-1] + len(pattern.match(_from(chunks, chunk, starts[-1])).group())
-        rest = _from(chunks, chunk, pos)
-        base = pos
-        for m in pattern.finditer(rest):
-            p = base + m.start()
-            j = next((j for j in range(min(p // chunk, len(chunks) - 1), k, -1) if p in known[j]), None)
+            pos = pattern.search(text, starts[-1]).end()
+        while pos < len(text):
+            j = next((j for j in range(min(pos // chunk, len(chunks) - 1), k, -1) if pos in known[j]), None)
             if j is not None:
-                k, pos = j, p
+                k = j
                 break
-            out += codec.encode(m.group())
-        else:
-            pos = size
+            end = pattern.search(text, pos).end()
+            out += codec.encode(text[pos:end])
+            pos = end
     return out
 
 
-def _from(chunks: list[tuple], chunk: int, pos: int) -> str:
-    """The text from a position on, put together from the slices."""
-    k = min(pos // chunk, len(chunks) - 1)
-    return chunks[k][0][pos - k * chunk : chunk if k + 1 < len(chunks) else None] + "".join(c[0][: chunk if i + 1 < len(chunks) else None] for i, c in enumerate(chunks) if i > k)
+def encode_in_chunks(codec: Codec, pattern, text: str, chunk: int, overlap: int) -> list[int]:
+    """Ids of a text from its pieces between meeting places of overlapping chunks."""
+    at = cuts(pattern, text, chunk, overlap)
+    return list(chain.from_iterable(codec.encode(text[a:b]) for a, b in zip(at, at[1:])))
 
 
-def _direct(path: str, pattern: str, digest: bool):
+def _direct(path: str, pattern: str, chunk: int, overlap: int, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, pattern)
+        import regex
+
+        codec, find = Codec(path, pattern), regex.compile(pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                coded = (codec.encode(t or "") for t in part.column(1).to_pylist())
+                coded = (encode_in_chunks(codec, find, t or "", chunk, overlap) for t in part.column(1).to_pylist())
                 yield _rows(codec, part.column(0), coded, digest)
 
     return run
@@ -166,24 +213,27 @@ def _stitched(path: str, pattern: str, chunk: int, digest: bool):
     return run
 
 
-def _coded(docs: DataFrame, path: str, pattern: str, chunk: int, overlap: int, digest: bool) -> DataFrame:
-    schema = DIGESTS if digest else CODES
+def _coded(docs: DataFrame, path: str, pattern: str, sizes: tuple[int, int], dealt: tuple[int, int], digest: bool) -> DataFrame:
+    schema, (chunk, overlap) = DIGESTS if digest else CODES, dealt
     own = docs.select(F.col("doc_id").cast("long"), "text")
     size = F.coalesce(F.length("text"), F.lit(0))
-    short = own.where(size <= chunk).mapInArrow(_direct(path, pattern, digest), schema)
+    short = own.where(size <= chunk).mapInArrow(tables.lean_batches(_direct(path, pattern, *sizes, digest)), schema)
     ks = F.explode(F.sequence(F.lit(0), ((F.length("text") - 1) / chunk).cast("int")))
     long = tables.cut(own.where(size > chunk).withColumn("row", F.monotonically_increasing_id()))
     slices = long.select("row", "doc_id", ks.alias("k"), "text").select(
         "row", "doc_id", "k", F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("slice"), (F.length("text") <= F.col("k") * chunk + chunk + overlap).alias("last")
     )
     spread = slices.repartition("row", "k")
-    parts = spread.mapInArrow(_chunked(path, pattern, chunk), "row long, doc_id long, k int, slice string, starts array<int>, counts array<int>, ids array<int>")
-    return short.unionByName(parts.groupBy("row").applyInArrow(_stitched(path, pattern, chunk, digest), schema))
+    parts = spread.mapInArrow(tables.lean_batches(_chunked(path, pattern, chunk)), "row long, doc_id long, k int, slice string, starts array<int>, counts array<int>, ids array<int>")
+    return short.unionByName(parts.groupBy("row").applyInArrow(tables.lean(_stitched(path, pattern, chunk, digest)), schema))
+
 
+def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, sizes: tuple[int, int] = (CHUNK, OVERLAP), dealt: tuple[int, int] = (DEALT, DEALT_OVERLAP)) -> DataFrame:
+    """``doc_id`` and ``ids`` (little-endian 32-bit) of each text.
 
-def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``doc_id`` and ``ids`` (little-endian 32-bit) of each text."""
-    return _coded(docs, path, pattern, chunk, overlap, False)
+    ``sizes`` and ``dealt`` are (chunk, overlap) inside a task and for texts that many tasks share.
+    """
+    return _coded(docs, path, pattern, sizes, dealt, False)
 
 
 def decode(codes: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -198,9 +248,9 @@ def decode(codes: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN
     return codes.select("doc_id", "ids").mapInArrow(run, "doc_id long, data binary")
 
 
-def encode_digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode_digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, sizes: tuple[int, int] = (CHUNK, OVERLAP), dealt: tuple[int, int] = (DEALT, DEALT_OVERLAP)) -> DataFrame:
     """Counts and digests of the ids and of the decoded bytes, made where the ids are."""
-    return _coded(docs, path, pattern, chunk, overlap, True)
+    return _coded(docs, path, pattern, sizes, dealt, True)
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
