@@ -2,9 +2,9 @@
 
 ``parse_sequences`` turns each HTML page into rows (page, position, kind, text, digest,
 caption): runs of text and references to media, in the order of the page, each reference
-with the caption of its figure (or its alternative text).  ``media_store`` keeps payloads
-losslessly as 8-bit greyscale PNG files of 192 samples a row, reads the stored bytes back
-and computes features on what it read.  ``resolve`` joins references to the store by
+with the caption of its figure (or its alternative text).  ``media_store`` writes payloads
+losslessly as 8-bit greyscale PNG files of 192 samples a row to a media column of a table in the
+shared folder, reads the stored column back and computes features on what it read.  ``resolve`` joins references to the store by
 digest.  A digest that a third of all references name is no hot group: references are
 salted, and each (digest, salt) meets the store once.
 
@@ -30,7 +30,7 @@ from stridelake.llm import htmltokens, tables
 
 ROW, SALTS, LEVEL = 192, 64, 6
 SEQUENCE = "key long, position int, kind string, text string, digest string, caption string"
-FEATURES = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+FEATURES = "digest string, media binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 _BLOCKS = {"p", "div", "article", "section", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "br", "figure", "figcaption", "table", "tr", "td", "th", "blockquote", "pre", "header", "footer", "nav", "aside", "main", "body", "html", "hr", "dl", "dt", "dd", "form"}
 _MEDIA = {"img", "video", "audio", "source", "embed", "object"}
@@ -90,7 +90,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def parse_sequences(pages: DataFrame, key: str, html: str) -> DataFrame:
     """Ordered text and media references; a reference ``sha256:<hex>`` gives its digest."""
-    parsed = pages.select(F.col(key).cast("long"), html).mapInArrow(_parse, SEQUENCE)
+    parsed = pages.select(F.col(key).cast("long"), html).mapInArrow(tables.lean_batches(_parse), SEQUENCE)
     return parsed.withColumn("digest", F.regexp_extract("digest", r"^sha256:([0-9a-f]{64})$", 1)).withColumn("digest", F.when(F.col("digest") != "", F.col("digest")))
 
 
@@ -139,31 +139,41 @@ def feature_of(samples: np.ndarray) -> str:
     return f"{bits}:{flat.mean():.4f}:{flat.std():.4f}:{-(share * np.log2(share)).sum() + 0.0:.4f}"
 
 
-def _store(with_media: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in FEATURES.split(", ")] + ["media"] * with_media
-        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * with_media
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = []
-                for data in batch.column(0).slice(at, 500).to_pylist():
-                    data = data or b""
-                    payload = data + b" " * (-len(data) % ROW or (0 if data else ROW))
-                    media = to_png(payload)
-                    samples = from_png(media)
-                    back = samples.tobytes()
-                    row = (hashlib.sha256(payload).hexdigest(), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(samples))
-                    rows.append((*row, media) if with_media else row)
-                columns = list(zip(*rows)) or [()] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            digests, media = [], []
+            for data in batch.column(0).slice(at, 500).to_pylist():
+                data = data or b""
+                payload = data + b" " * (-len(data) % ROW or (0 if data else ROW))
+                digests.append(hashlib.sha256(payload).hexdigest())
+                media.append(to_png(payload))
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(media, pa.binary())], ["digest", "media"])
+
+
+def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in FEATURES.split(", ")]
+    types = [pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part, rows = batch.slice(at, 500), []
+            for digest, media in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                samples = from_png(media)
+                back = samples.tobytes()
+                rows.append((digest, media, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(samples)))
+            columns = list(zip(*rows)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    return run
 
+def media_store(payloads: DataFrame, payload: str) -> DataFrame:
+    """One row a distinct padded payload: digest, the stored file ``media``, and features of its samples.
 
-def media_store(payloads: DataFrame, payload: str, with_media: bool = True) -> DataFrame:
-    """One row a distinct padded payload: digest, features and, if asked for, the stored file."""
-    stored = payloads.select(F.col(payload).cast("binary")).mapInArrow(_store(with_media), FEATURES + ", media binary" * with_media)
-    return stored.groupBy("digest").agg(*(F.min(c).alias(c) for c in stored.columns if c != "digest"))
+    The files are written as a column of a table in the shared folder; features are computed on
+    what is read back from there.
+    """
+    made = payloads.select(F.col(payload).cast("binary")).mapInArrow(tables.lean_batches(_encode), "digest string, media binary")
+    stored = tables.cut(made.groupBy("digest").agg(F.first("media").alias("media")))
+    return stored.mapInArrow(tables.lean_batches(_read_back), FEATURES)
 
 
 def digest_of(text: Column) -> Column:
@@ -180,14 +190,22 @@ def resolve(references: DataFrame, store: DataFrame, key: str) -> DataFrame:
     return salted.join(wanted, ["digest", "_salt"], "left").drop("_salt")
 
 
+def document_pages(docs: DataFrame) -> DataFrame:
+    """Each document as an interleaved page: text runs, its payload in a captioned figure, and the payload again at the end."""
+    text = F.coalesce("text", F.lit(""))
+    html = F.format_string(
+        '<article><p>Payload of %d bytes follows.</p><figure><img src="sha256:%s" alt=""><figcaption>%d</figcaption></figure><p>It ends here.</p><img src="sha256:%s" alt="again"></article>',
+        F.octet_length(text), digest_of(text), F.octet_length(text), digest_of(text),
+    )
+    return docs.select("doc_id", html.alias("html"))
+
+
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a page with its text as media: stored, read back and resolved."""
+    """Every document as a page with its text as media: stored, read back and resolved; the captioned reference of each page."""
     docs = tables.documents(spark, sf_dir)
-    text = F.coalesce("text", F.lit(""))
-    page = F.concat(F.lit('<article><figure><img src="sha256:'), digest_of(text), F.lit('" alt=""><figcaption>'), F.octet_length(text).cast("string"), F.lit("</figcaption></figure></article>"))
-    references = parse_sequences(docs.select("doc_id", page.alias("html")), "doc_id", "html").where("kind = 'media'")
-    found = resolve(references, media_store(docs, "text", with_media=False), "key")
-    return found.select(F.col("key").alias("doc_id"), F.col("caption").cast("long").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    references = parse_sequences(document_pages(docs), "doc_id", "html").where("kind = 'media' AND position = 1")
+    found = resolve(references, media_store(docs, "text").drop("media"), "key")
+    return found.select(F.col("key").alias("doc_id"), F.col("caption").cast("long").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position")
 
 
 QUERIES = {"op6_media_columns": op6_media_columns}
