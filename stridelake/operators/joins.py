@@ -58,3 +58,57 @@ def interval_match(ranges: DataFrame, points: DataFrame, keys: list[str], width:
     per_point = Window.partitionBy(*keys, "at").orderBy("start")
     per_range = Window.partitionBy(*keys, "start").orderBy("at")
     return met.withColumn("_p", F.row_number().over(per_point)).where("_p = 1").withColumn("_r", F.row_number().over(per_range)).where("_r = 1").drop("_p", "_r")
+
+
+def anchored_buckets(samples: DataFrame, width: int, least: int, key: str = "session_id") -> DataFrame:
+    """Buckets of ``width`` from each block's first sample (``session_id, block, at``), with their number of samples.
+
+    Both ends count, so a sample on a boundary is in two buckets; buckets under ``least`` are
+    left out.  A gap of more than ``least`` between a block and the one before gives blank
+    buckets, those of more than ``least``.
+    """
+    at = F.col("at")
+    blocks = samples.groupBy(key, "block").agg(F.min("at").alias("_a"), F.max("at").alias("_b"))
+    edge = lambda end: F.least(F.col("start") + width, F.col(end))
+    placed = samples.join(blocks, [key, "block"]).withColumn("_k", F.floor((at - F.col("_a")) / width).cast("long"))
+    on_edge = (at > F.col("_a")) & ((at - F.col("_a")) % width == 0)
+    own = placed.withColumn("_k", F.explode(F.when(on_edge, F.array(F.col("_k") - 1, F.col("_k"))).otherwise(F.array("_k")))).withColumn("start", F.col("_a") + F.col("_k") * width)
+    own = own.where("start < _b").withColumn("stop", edge("_b")).where(F.col("stop") - F.col("start") >= least)
+    filled = own.groupBy(key, "start", "stop").agg(F.lit(False).alias("is_blank"), F.count(F.lit(1)).alias("n_samples"))
+    before = F.lag("_b").over(Window.partitionBy(key).orderBy("block"))
+    gaps = blocks.where("_b > _a").withColumn("_from", before).where(F.col("_a") - F.col("_from") > least)
+    starts = gaps.select(key, F.explode(F.sequence(F.col("_from"), F.col("_a") - 1, F.lit(width))).alias("start"), F.col("_a").alias("_to"))
+    blank = starts.withColumn("stop", edge("_to")).where(F.col("stop") - F.col("start") > least).select(key, "start", "stop", F.lit(True).alias("is_blank"), F.lit(0).cast("long").alias("n_samples"))
+    return filled.unionByName(blank)
+
+
+def queue_match(ranges: DataFrame, points: DataFrame, key: str = "session_id") -> DataFrame:
+    """1:1 match of a queue of points (``at, pitch``) with ranges (``start, end``) in order of their starts.
+
+    A range purges the points before its start from the queue's head, then consumes the head if it lies
+    inside.  The queue is state from range to range, so a session is one sorted group.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def run(table: pa.Table) -> pa.Table:
+        kind = table.column("kind").to_numpy()
+        at = table.column("at").to_numpy()
+        order = np.lexsort((at, kind))
+        table = table.take(pa.array(order))
+        n = int((kind == 0).sum())
+        time, stop, pitch = (table.column(c).to_pylist() for c in ("at", "stop", "pitch"))
+        rows, head = [], n
+        session = table.column(key)[0].as_py()
+        for i in range(n):
+            while head < len(time) and time[head] < time[i]:
+                head += 1
+            if head < len(time) and time[head] <= stop[i]:
+                rows.append((session, time[i], stop[i], time[head], pitch[head]))
+                head += 1
+        columns = list(zip(*rows)) or [()] * 5
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (table.schema.field(key).type, pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=[key, "start", "end", "at", "pitch"])
+
+    one = ranges.select(key, F.lit(0).alias("kind"), F.col("start").alias("at"), F.col("end").alias("stop"), F.lit(None).cast("double").alias("pitch"))
+    both = one.unionByName(points.select(key, F.lit(1).alias("kind"), "at", F.lit(None).cast("long").alias("stop"), F.col("pitch").cast("double")))
+    return both.groupBy(key).applyInArrow(run, f"{key} {dict(ranges.dtypes)[key]}, start long, end long, at long, pitch double")

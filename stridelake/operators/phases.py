@@ -18,11 +18,11 @@ from stridelake.operators.windows import forward_fill
 GROUND, AIR, IMPACT, TAKEOFF = 0, 1, 2, 3
 
 
-def standing(df: DataFrame, pitch: str, key: str = KEY, seq: str = SEQ) -> DataFrame:
-    """Adds ``standing``: pitch inside [-pi/4, pi/2] in runs over 50 samples, gaps under 200 bridged."""
-    inside = df.withColumn("standing", F.coalesce(F.col(pitch).between(-np.pi / 4, np.pi / 2), F.lit(False)).cast("int"))
-    kept = fill_short_runs(inside, "standing", 1, 51, 0, "exact", key, seq)
-    return fill_short_runs(kept, "standing", 0, 200, 1, "exact", key, seq)
+def standing(df: DataFrame, pitch: str, low: float = -np.pi / 4, high: float = np.pi / 2, longer: int = 50, bridge: int = 200, key: str = KEY, seq: str = SEQ) -> DataFrame:
+    """Adds ``standing``: pitch inside [low, high] in runs over ``longer`` samples, gaps under ``bridge`` filled."""
+    inside = df.withColumn("standing", F.coalesce(F.col(pitch).between(low, high), F.lit(False)).cast("int"))
+    kept = fill_short_runs(inside, "standing", 1, longer + 1, 0, "exact", key, seq)
+    return fill_short_runs(kept, "standing", 0, bridge, 1, "exact", key, seq)
 
 
 def clean_force(df: DataFrame, total: str, left: str, right: str, mass: Column, key: str = KEY, seq: str = SEQ) -> DataFrame:

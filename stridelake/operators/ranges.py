@@ -92,3 +92,75 @@ def between_points(steps: DataFrame, points: DataFrame, more_than: int, key: str
     ahead = F.min(F.when(F.col("kind") == 1, F.col("pos"))).over(w.rowsBetween(1, Window.unboundedFollowing))
     inside = placed.withColumn("hi", ahead).where("kind = 0 AND lo IS NOT NULL AND hi IS NOT NULL AND pos > lo AND end < hi")
     return inside.groupBy(key, "lo", "hi").agg(F.count("*").alias("n_steps")).where(F.col("n_steps") > more_than)
+
+
+def flag_intervals(samples: DataFrame, intervals: DataFrame, bridge: int, key: str = KEY, seq: str = SEQ) -> DataFrame:
+    """Adds ``remove``: 1 inside the intervals [lo, hi), and in gaps between them under ``bridge`` samples."""
+    marks = intervals.select(key, F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias(seq), F.lit(1).alias("remove"))
+    flagged = samples.join(marks.dropDuplicates([key, seq]), [key, seq], "left").withColumn("remove", F.coalesce("remove", F.lit(0)))
+    return fill_short_runs(flagged, "remove", 0, bridge, 1, "drop_last", key, seq)
+
+
+def drop_quiet_runs(df: DataFrame, column: str, longer: int, strong: Column, share: float, key: str = KEY, seq: str = SEQ) -> DataFrame:
+    """Runs of 1 longer than ``longer`` become 0 if under ``share`` of their samples are strong."""
+    runs = with_runs(df, F.col(column) == 1, key, seq)
+    run = Window.partitionBy(key, "_run")
+    n = F.max(seq).over(Window.partitionBy(key)) + 1
+    end = F.max(seq).over(run) + 1
+    end = F.when(end == n, n - 1).otherwise(end)
+    inside = F.col(seq) < end
+    part = F.avg(F.when(inside, F.when(strong, 1.0).otherwise(0.0))).over(run)
+    quiet = F.col("_flag") & inside & (end - F.min(seq).over(run) > longer) & (part < share)
+    return runs.withColumn(column, F.when(quiet, F.lit(0)).otherwise(F.col(column))).drop("_flag", "_run")
+
+
+def movement_ranges(df: DataFrame, level: str, still: float, window: int, bridge: int, lead: int, most: int, least: int, key: str = KEY, seq: str = SEQ) -> DataFrame:
+    """Ranges of movement for a placement test: ``start, end`` per session.
+
+    A sample is still if any ``window`` samples in a row around it stay at or under ``still``.
+    Moving runs under ``bridge`` samples between still ones are still, and so is a first run of 2 to
+    ``bridge``.  Runs start ``lead`` samples early, end after ``most`` samples at the latest,
+    and count if they are longer than ``least``.
+    """
+    w = by_seq(key, seq)
+    ahead = w.rowsBetween(0, window - 1)
+    begins = (F.max(level).over(ahead) <= still) & (F.count(F.lit(1)).over(ahead) == window)
+    marked = df.withColumn("_begins", begins.cast("int"))
+    marked = marked.withColumn("_still", F.max("_begins").over(w.rowsBetween(1 - window, 0)))
+    runs = with_runs(marked, F.col("_still") == 0, key, seq)
+    n = F.max(seq).over(Window.partitionBy(key)) + 1
+    run = Window.partitionBy(key, "_run")
+    a, b = F.min(seq).over(run), F.max(seq).over(run) + 1
+    short = (b < n) & F.when(a > 0, b - a < bridge).otherwise((b > 1) & (b <= bridge))
+    moving = runs.withColumn("_moving", F.col("_flag") & ~short).drop("_flag", "_run")
+    found = ranges(moving, F.col("_moving"), "drop_last", key, seq).withColumn("start", F.col("start") - lead)
+    return found.withColumn("end", F.least(F.col("end"), F.col("start") + most)).where(F.col("end") - F.col("start") > least).select(key, "start", "end")
+
+
+def tile_activity(df: DataFrame, columns: list[str], window: int, far: float, share: float, key: str = KEY, seq: str = SEQ) -> DataFrame:
+    """``tile`` and, for each column, whether it is active there: more than ``share`` of the whole
+    tile's samples lie further than ``far`` from the tile's mean.  The last whole or broken tile is left out.
+    """
+    n = F.max(seq).over(Window.partitionBy(key)) + 1
+    tile = Window.partitionBy(key, "_tile")
+    tiled = df.withColumn("_tile", F.floor(F.col(seq) / window)).withColumn("_n", n).where(F.col("_tile") * window < F.col("_n") - window)
+    moved = tiled.select(key, "_tile", *(F.when(F.abs(F.col(c) - F.avg(c).over(tile)) > far, 1).otherwise(0).alias(c) for c in columns))
+    return moved.groupBy(key, F.col("_tile").alias("tile")).agg(*((F.sum(c) > share * window).cast("int").alias(c) for c in columns))
+
+
+def missing_tiles(tiles: DataFrame, hip: str, feet: list[str], key: str = KEY) -> DataFrame:
+    """Tiles in a row, up to each, in which a sensor was missing while another moved.
+
+    ``hip_alone``: tiles with a moving foot and a still hip since the hip last moved; ``<sensor>_still``:
+    still tiles in a row.  A session is cut where the hip's counts pass their bounds.
+    """
+    w = Window.partitionBy(key).orderBy("tile")
+    foot = F.greatest(*(F.col(c) for c in feet))
+    reset = F.sum(hip).over(w)
+    alone = F.when((foot == 1) & (F.col(hip) == 0), 1).otherwise(0)
+    out = tiles.withColumn("_since", reset)
+    out = out.withColumn("hip_alone", F.sum(alone).over(Window.partitionBy(key, "_since").orderBy("tile")).cast("int")).drop("_since")
+    for c in (hip, *feet):
+        out = out.withColumn("_since", F.sum(c).over(w))
+        out = out.withColumn(f"{c}_still", F.sum(1 - F.col(c)).over(Window.partitionBy(key, "_since").orderBy("tile")).cast("int")).drop("_since")
+    return out

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Fixed values of the format.
 RECORD, EPOCH_MS, SENSORS, SCALE, JUMP_MS = 40, 1_530_000_000_000, (7, 18, 29), 32767.0, 300_000
@@ -99,3 +100,38 @@ def upsert(current: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     newest = Window.partitionBy(key).orderBy(F.desc("_new"), F.desc("updated"))
     both = current.withColumn("_new", F.lit(0)).unionByName(changes.withColumn("_new", F.lit(1)))
     return both.withColumn("_k", F.row_number().over(newest)).where("_k = 1").drop("_new", "_k")
+
+
+def export_csv(df: DataFrame, folder: str) -> None:
+    """A table as CSV files with a header each."""
+    df.write.mode("error").option("header", True).csv(folder)
+
+
+def scan_csv(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """CSV files with a header, read with a known schema (nothing is inferred)."""
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(folder)
+
+
+def delete_stage(spark: SparkSession, folder: str, sessions: Column, session: str = "session_id") -> None:
+    """Deletes the partitions of the chosen sessions; others are not touched."""
+    stage = spark.read.parquet(folder)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for row in stage.where(sessions).select(F.substring_index(F.input_file_name(), "/", -2).alias("f")).select(F.substring_index("f", "/", 1).alias("f")).distinct().toLocalIterator():
+        system.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files, row["f"]), True)
+
+
+def chunk_at(samples: DataFrame, boundaries: DataFrame, session: str = "session_id") -> DataFrame:
+    """Adds ``chunk``: how many of the session's boundaries lie at or before the sample."""
+    marks = boundaries.select(session, "seq").distinct().withColumn("_mark", F.lit(1))
+    marked = samples.join(marks, [session, "seq"], "left")
+    w = Window.partitionBy(session).orderBy("seq")
+    return marked.withColumn("chunk", F.sum(F.coalesce("_mark", F.lit(0))).over(w).cast("long")).drop("_mark")
+
+
+def chunk_by_bytes(df: DataFrame, content: str, size: int) -> DataFrame:
+    """One row a chunk of at most ``size`` bytes: ``part, start, chunk``; empty contents give one empty chunk."""
+    n = F.octet_length(content)
+    starts = F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(size)).cast("array<long>"))
+    cut = df.select("*", starts.alias("start"))
+    return cut.withColumn("part", (F.col("start") / size).cast("int")).withColumn("chunk", F.substring(content, F.col("start").cast("int") + 1, F.lit(size))).drop(content)
