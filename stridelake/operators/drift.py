@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 from stridelake.operators.calibrate import conjugate, euler, multiply
-from stridelake.operators.signal import spectrum
+from stridelake.operators.signal import butterworth, forward_backward, spectrum
 
 #: Samples of a spectrum, highest step frequency, scales of amplitude and distance, least number of points.
 FFT_SAMPLES, MAX_FREQUENCY, AMPLITUDE_SCALE, DISTANCE_SCALE, LEAST_POINTS = 1024, 3.0, 4.0, 0.9, 7
@@ -109,3 +109,34 @@ def correct(q: np.ndarray, points: np.ndarray, passes: int = 2, least: int = LEA
         out = multiply(multiply(step, start), out)
         out = out / np.linalg.norm(out, axis=1, keepdims=True)
     return out
+
+
+#: Cut-off and order of the slow part, samples whose mean is kept, samples and angle (degrees) of a level start.
+SLOW, SLOW_ORDER, KEPT_FROM, KEPT_TO, LEVEL_SAMPLES, LEVEL_ANGLE = 0.1, 3, 100, 150, 25, 10.0
+
+
+def _about(axis: int, angle: np.ndarray) -> np.ndarray:
+    """Rotations by angles about one axis (1: roll, 2: pitch)."""
+    out = np.zeros((len(angle), 4))
+    out[:, 0], out[:, axis] = np.cos(angle / 2), np.sin(angle / 2)
+    return out
+
+
+def drift_filter(quats: np.ndarray, rate: float = 100.0) -> np.ndarray:
+    """Orientations without the slow part of their roll and pitch.
+
+    If the session starts level, the mean of the slow part early in the session is taken for
+    the filter's own offset and stays in.  Sessions too short for the filter are left as they are.
+    """
+    if len(quats) <= 3 * (SLOW_ORDER + 1):
+        return quats
+    angles = euler(quats)
+    slow = forward_backward(*butterworth(SLOW_ORDER, None, SLOW, rate), angles)
+    taken = multiply(_about(2, slow[:, 1]), _about(1, slow[:, 0]))
+    level = angles[:LEVEL_SAMPLES, :2].mean(0) < np.radians(LEVEL_ANGLE)
+    kept = taken[KEPT_FROM:KEPT_TO]
+    if level.all() and len(kept):
+        mean = kept.mean(0)
+        offset = euler((mean / np.linalg.norm(mean))[None])
+        taken = multiply(taken, conjugate(multiply(_about(2, offset[:, 1]), _about(1, offset[:, 0]))))
+    return multiply(quats, conjugate(taken))

@@ -59,9 +59,11 @@ def foot_phase(acc_z: np.ndarray, contact: np.ndarray, hip_x: np.ndarray, hip_z:
     a movement count as ground.  A contact that starts in the air is an impact: its start is
     moved to the hip's trough (or between trough and upward crossing, if they are near) and
     its end to the late maximum of the hip.  The second half of an impact that leads to the
-    air is take-off.
+    air is take-off.  A session of 15 samples or fewer is all ground.
     """
     n = len(acc_z)
+    if n <= 15:  # too short for the filters
+        return np.zeros(n, int)
     smooth = filter_data(acc_z, "low", high=12, rate=rate)
     moving = np.zeros(n, bool)
     if n >= 100:

@@ -64,3 +64,30 @@ def hip_rotation(start: int, end: int, acc_z: np.ndarray, yaw_diff: np.ndarray,
     sign = 1 if side == "LF" else -1
     early, whole = sign * yaw_diff[first:middle], sign * yaw_diff[first:last]
     return float(np.degrees(early[early > 0].sum())), float(np.degrees(-whole[whole < 0].sum()))
+
+
+#: Columns of :func:`step_cmes`, null where a rule gives none.
+CME_COLUMNS = ("apt_range", "apt_rate", "ankle_pitch_range", "ankle_pitch_range_impact", "max_ankle_pitch_time", "hip_drop", "knee_valgus", "hip_medial", "hip_lateral")
+
+
+def step_cmes(c: dict[str, np.ndarray], side: str, steps: list[tuple[int, int]], times: np.ndarray, remove: np.ndarray, cadence: np.ndarray) -> list[tuple]:
+    """The measures of a side's steps [start, end] of one session.
+
+    ``c`` has hip_pitch, hip_roll, hip_yaw, and the foot's pitch, roll and acc_z, in radians and
+    in order.  A step with a flagged sample has no measures; those that need samples before or
+    after the step are null at the session's edges.
+    """
+    n, out = len(c["hip_pitch"]), []
+    yaw_diff = np.diff(c["hip_yaw"], prepend=c["hip_yaw"][:1])
+    for a, b in steps:
+        if remove[a : b + 1].any():
+            out.append((None,) * len(CME_COLUMNS))
+            continue
+        tilt = pelvic_tilt(c["hip_pitch"][a : b + 1])
+        ankle = ankle_range(c["pitch"][a - 20 : b + 31], times[a - 20 : b + 31]) if a >= 20 and b < n - 30 else (None, None, None)
+        drop = hip_drop(c["hip_roll"][a - 3 : b + 1], side) if a > 3 else None
+        valgus = knee_valgus(c["roll"][a : b + 1], c["acc_z"][a : b + 1], side)
+        pace = float(np.max(cadence[max(a - 5, 0) : b], initial=0))
+        turns = hip_rotation(a, b, c["acc_z"], yaw_diff, side, int(6000 / pace)) if pace > 0 and b > a + 1 else (None, None)
+        out.append((*tilt, *ankle, drop, valgus, *turns))
+    return out

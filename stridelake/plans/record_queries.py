@@ -84,13 +84,13 @@ def cdc_changes(spark, sf_dir):
     return s.select("session_id", "seq", F.size(diff).alias("n_changes"), F.coalesce(F.element_at(diff, "type") == "purchase", F.lit(False)).alias("triggers"))
 
 
-@query("""WITH e AS (SELECT event_id, user_id, value, ts FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM e)
+@query("""WITH k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 2 DESC, ts DESC, event_id DESC) AS r FROM events WHERE event_id % 2 = 0 OR user_id % 3 > 0)
 SELECT user_id, event_id, value FROM k WHERE r = 1""")
 def merged_state(spark, sf_dir):
-    """Rows replaced by key, the last change counts."""
+    """Rows replaced by key; changes replace what is there, the last of them counts, and keys without one stay."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "value", F.struct("ts", "event_id").alias("updated"))
-    half = F.col("event_id") % 2 == 0
-    return records.upsert(e.where(half & F.lit(False)), e, "user_id").select("user_id", "event_id", "value")
+    change = F.col("event_id") % 2 == 1
+    return records.upsert(e.where(~change), e.where(change & (F.col("user_id") % 3 > 0)), "user_id").select("user_id", "event_id", "value")
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
@@ -109,10 +109,10 @@ def set_operations(spark, sf_dir):
     return u.agg(F.count("*").alias("n_union"), F.sum(F.col("f") * F.col("o")).alias("n_both"), F.sum(F.col("f") * (1 - F.col("o"))).alias("n_only"))
 
 
-@query()
+@query(S + " SELECT event_id, signal FROM s ORDER BY md5(CAST(event_id AS VARCHAR) || ':77'), event_id LIMIT 1000")
 def hash_sample(spark, sf_dir):
     """A repeatable sample without replacement, ordered by hash; the size is the feature."""
-    return samples(spark, sf_dir).select("event_id", "signal").orderBy(F.xxhash64(F.col("event_id"), F.lit(77)), "event_id").limit(1000)
+    return samples(spark, sf_dir).select("event_id", "signal").orderBy(F.md5(F.concat(F.col("event_id").cast("string"), F.lit(":77"))), "event_id").limit(1000)
 
 
 @query(T + """, u AS (SELECT block_id, coalesce(side, 'none') AS side, count(*) AS n, sum(force) AS total FROM t GROUP BY ALL)

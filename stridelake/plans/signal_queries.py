@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from stridelake.operators import phases as P
+from stridelake.operators import ranges as R
 from stridelake.operators import signal as G
+from stridelake.operators import step_measures as M
+from stridelake.operators.drift import drift_filter
+from stridelake.operators.direction import changes_of_direction
 from stridelake.plans.register import query, samples, steps
 
 
@@ -19,11 +25,11 @@ def _own(c, **columns):
 
 @query()
 def lowpass_filter(spark, sf_dir):
-    """zero-phase low-pass; sessions too short for the extension are left out."""
+    """zero-phase low-pass; sessions too short for the extension (15 samples) have no filtered values."""
 
     def run(c):
         x = c["signal"]
-        return _own(c, filtered=G.filter_data(x, "low", high=10.0)) if len(x) > 15 else {"session_id": x[:0].astype(int), "seq": x[:0].astype(int), "filtered": x[:0]}
+        return _own(c, filtered=G.filter_data(x, "low", high=10.0) if len(x) > 15 else pa.nulls(len(x), pa.float64()))
 
     return G.per_session(_session(spark, sf_dir), run, "session_id long, seq long, filtered double")
 
@@ -83,3 +89,77 @@ def symmetry_density(spark, sf_dir):
         return {"session_id": c["session_id"][:1], "score": [score]}
 
     return G.per_session(t, run, "session_id long, score double")
+
+
+@query()
+def unit_activity(spark, sf_dir):
+    """Filtered total acceleration over a level, gaps bridged, short activity dropped."""
+
+    def run(c):
+        x = c["signal"]
+        return _own(c, active=((G.filter_data(x, "low", high=1.0) if len(x) > 15 else x) >= 40).astype(int))
+
+    filtered = G.per_session(_session(spark, sf_dir).drop("active"), run, "session_id long, seq long, active long")
+    return R.fill_short_runs(R.fill_short_runs(filtered, "active", 0, 3, 1), "active", 1, 6, 0)
+
+
+@query()
+def direction_changes(spark, sf_dir):
+    """Strides whose heading differs from that of six strides before, and the samples around them."""
+
+    def run(c):
+        heading = (c["signal"] * 7) % 360 - 180
+        return _own(c, change_of_direction=changes_of_direction(c["signal"] / 20, heading, distance=2, back=3, bridge=4))
+
+    return G.per_session(_session(spark, sf_dir), run, "session_id long, seq long, change_of_direction long")
+
+
+@query()
+def drift_filtered(spark, sf_dir):
+    """F8: orientations without the slow part of their roll and pitch."""
+
+    def run(c):
+        half = np.radians(c["signal"]) / 8
+        q = np.stack((np.cos(half), np.sin(half) * 0.6, np.sin(half) * 0.8, np.zeros(len(half))), 1)
+        out = drift_filter(q, 100.0)
+        return _own(c, **{x: out[:, i] for i, x in enumerate("wxyz")})
+
+    return G.per_session(_session(spark, sf_dir), run, "session_id long, seq long, w double, x double, y double, z double")
+
+
+def _feet(spark, sf_dir):
+    s = samples(spark, sf_dir)
+    x = F.col("signal")
+    return s.select("session_id", "seq", "micros", "phase", "active", (x / 20).alias("acc_hip_z"), F.sin(x).alias("acc_hip_x"), (x / 10).alias("total_accel"), (x / 30 - 1).alias("acc_lf_z"), (2 - x / 25).alias("acc_rf_z"), (x * 2).alias("grf_lf"), (x * (F.col("phase") % 2)).alias("grf_rf"))
+
+
+@query()
+def contact_cleanup(spark, sf_dir):
+    """Forces thresholded by weight, weak contacts dropped, gaps bridged."""
+    s = _feet(spark, sf_dir).withColumn("grf", F.col("grf_lf") + F.col("grf_rf"))
+    return P.clean_force(s, "grf", "grf_lf", "grf_rf", F.lit(200.0)).select("session_id", "seq", "grf", "grf_lf", "grf_rf", "lf_ind", "rf_ind")
+
+
+@query()
+def foot_phases(spark, sf_dir):
+    """ground, air, impact and take-off of both feet."""
+    s = _feet(spark, sf_dir).withColumns({"lf_ind": (F.col("phase") == 2).cast("int"), "rf_ind": (F.col("phase") == 3).cast("int")})
+    return P.phases(s.select("session_id", "seq", "acc_lf_z", "acc_rf_z", "lf_ind", "rf_ind", "acc_hip_x", "acc_hip_z", "total_accel"))
+
+
+@query()
+def step_cmes(spark, sf_dir):
+    """Measures of the contacts of each session; none where a sample is flagged."""
+    x = F.col("signal")
+    s = samples(spark, sf_dir).select("session_id", "seq", "phase", "micros", (F.sin(x) / 3).alias("hip_pitch"), (F.cos(x) / 4).alias("hip_roll"), F.sin(x / 50).alias("hip_yaw"), (F.sin(x / 9) / 2).alias("pitch"), (F.cos(x / 7) / 2).alias("roll"), x.alias("acc_z"), (F.col("event_id") % 97 == 0).cast("int").alias("remove"))
+
+    def run(c):
+        on = np.flatnonzero(np.diff(np.concatenate(([0], (c["phase"] != 1).astype(int), [0]))))
+        steps = [(int(a), int(b) - 1) for a, b in zip(on[::2], on[1::2]) if b - a >= 6]
+        rows = M.step_cmes(c, "LF", steps, c["micros"] // 1000, c["remove"] == 1, np.full(len(c["seq"]), 600.0))
+        kinds = {"max_ankle_pitch_time": pa.int64()}
+        columns = list(zip(*rows)) or [()] * len(M.CME_COLUMNS)
+        return {"session_id": np.full(len(steps), c["session_id"][0]), "start": [a for a, _ in steps], "end": [b for _, b in steps]} | {n: pa.array(v, kinds.get(n, pa.float64())) for n, v in zip(M.CME_COLUMNS, columns)}
+
+    schema = "session_id long, start long, end long, " + ", ".join(f"{n} {'long' if n == 'max_ankle_pitch_time' else 'double'}" for n in M.CME_COLUMNS)
+    return G.per_session(s, run, schema)

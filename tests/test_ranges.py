@@ -16,19 +16,27 @@ def got(df, value, closed_end="drop_last"):
     return sorted([r["start"], r["end"]] for r in ranges.ranges(df, F.col("x") == value, closed_end).collect())
 
 
-V = [1, 1, 1, 2, 3, 2, 2, 2, 1, 0, 5, 3, 3, 5, 5, 0]
-
-
-@pytest.mark.parametrize("value,expected", [(0, [[9, 10]]), (1, [[0, 3], [8, 9]]), (2, [[3, 4], [5, 8]]), (3, [[4, 5], [11, 13]]), (5, [[10, 11], [13, 15]])])
-def test_closing_edge_rule(spark, value, expected):
-    df = frame(spark, [float(v) for v in V])
-    assert got(df, value) == expected
-    assert got(df, value, "exact") == (expected + [[15, 16]] if value == 0 else expected)
-
-
-def test_nulls_and_open_end(spark):
-    assert got(frame(spark, [0.0, 0.0, None, 1.0, 1.0, 1.0, 2.0, 1.0, 1.0, 0.0]), 1) == [[3, 6], [7, 9]]
-    assert got(frame(spark, [1.0, 0.0, 0.0, 1.0, 1.0, 1.0, 2.0, 1.0, 1.0, 1.0]), 1) == [[0, 1], [3, 6], [7, 9]]
+def plain_runs(x, value, closed_end):
+    """Runs of a value by a loop over the samples."""
+    found, begin = [], None
+    for i, v in enumerate([*x, None]):
+        if begin is None and v == value and i < len(x):
+            begin = i
+        elif begin is not None and (i == len(x) or v != value):
+            end = i - 1 if i == len(x) and closed_end == "drop_last" else i
+            if end > begin:
+                found.append([begin, end])
+            begin = None
+    return found
+
+
+@pytest.mark.parametrize("closed_end", ["drop_last", "exact"])
+def test_runs_equal_a_loop(spark, closed_end):
+    rng = random.Random(17)
+    for n in (1, 2, 9, 40):
+        x = [rng.choice([4.0, 7.0, 7.0, 9.0, None]) for _ in range(n - 1)] + [7.0]
+        for value in (4.0, 7.0, 9.0):
+            assert got(frame(spark, x), value, closed_end) == plain_runs(x, value, closed_end)
 
 
 def plain_fill(x, value, k, new):

@@ -34,15 +34,23 @@ def test_filter_keeps_and_rejects():
 
 
 def test_peaks():
-    x = np.array([0, 1, 0, 2, 0, 3, 0, 2, 0, 1, 0], float)
-    assert G.detect_peaks(x).tolist() == [1, 3, 5, 7, 9]
-    assert G.detect_peaks(x, distance=2).tolist() == [1, 5, 9]
-    assert G.detect_peaks(np.array([0, 1, 1, 0, 1, 1, 0.0]), edge="both").tolist() == [1, 2, 4, 5]
-    assert G.detect_peaks(np.array([-2, 1, -2, 2, 1, 1, 3, 0.0]), threshold=2).tolist() == [1, 6]
-    assert G.detect_peaks(np.array([0, 1, np.nan, 2, 0, 3, 0.0])).tolist() == [5]
-    assert G.detect_peaks(-x, valley=True).tolist() == [1, 3, 5, 7, 9]
+    x = np.array([3, 9, 4, 4, 12, 12, 12, 5, 8, 2, 7, 1], float)
+    # Single tops at 1, 8 and 10; a plateau from 4 to 6 counts at its rising end, its falling end, or both.
+    assert G.detect_peaks(x).tolist() == [1, 4, 8, 10]
+    assert G.detect_peaks(x, edge="falling").tolist() == [1, 6, 8, 10]
+    assert G.detect_peaks(x, edge="both").tolist() == [1, 4, 6, 8, 10]
+    assert G.detect_peaks(x, edge=None).tolist() == [1, 8, 10]
+    assert G.detect_peaks(x, 7.5).tolist() == [1, 4, 8]
+    assert G.detect_peaks(x, distance=3).tolist() == [4, 8]
+    # Both neighbours must lie lower by the threshold: 9 over 3 and 4, 8 over 5 and 2, 7 over 2 and 1.
+    assert G.detect_peaks(x, edge=None, threshold=4).tolist() == [1, 10]
+    holed = x.copy()
+    holed[9] = np.nan
+    assert G.detect_peaks(holed).tolist() == [1, 4]
+    assert G.detect_peaks(-x, valley=True).tolist() == [1, 4, 8, 10]
+    x = np.array([0, 4, 0, 6, 0, 9, 0, 5, 0, 3, 0, 0], float)
     assert G.peaks_above(np.array([0, 2, 2, 2, 0, 1, 0.0])).tolist() == [2, 5]
-    assert G.peaks_above(x, 1.5, 3).tolist() == [5]
+    assert G.peaks_above(x, 4.5, 3).tolist() == [5]
     assert G.peaks_above(np.array([0, 5, 0, 4, 0, 3, 0.0]), distance=2).tolist() == [1, 3, 5]
 
 
