@@ -237,13 +237,16 @@ def dickey_fuller(y: np.ndarray) -> tuple[float, float]:
     return float(statistic), float(-2.86154 - 2.8903 / used - 4.234 / used**2 - 40.04 / used**3)  # fixed values: response surface
 
 
-def per_session(df: DataFrame, function, schema: str, key: str = KEY, seq: str = SEQ) -> DataFrame:
-    """Runs ``function(columns: dict of arrays) -> dict of columns`` on each session in order."""
+def per_session(df: DataFrame, function, schema: str, key: str = KEY, seq: str = SEQ, types: dict[str, pa.DataType] | None = None) -> DataFrame:
+    """Runs ``function(columns: dict of arrays) -> dict of columns`` on each session in order.
+
+    ``types`` has the Arrow types of columns that may be all null or nested.
+    """
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by(seq)
         out = function({c: table.column(c).to_numpy() for c in table.column_names})
-        return pa.table({n: out[n] for n in names})
+        return pa.table({n: pa.array(out[n], types[n]) if types and n in types else out[n] for n in names})
 
     return df.groupBy(key).applyInArrow(run, schema)

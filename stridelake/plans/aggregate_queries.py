@@ -224,7 +224,7 @@ def spearman_rank_all(spark, sf_dir):
 
 @query(S + " SELECT session_id, round((avg(signal*signal*signal) - 3*avg(signal)*avg(signal*signal) + 2*avg(signal)*avg(signal)*avg(signal)) / pow(stddev_pop(signal), 3), 5) AS skew FROM s GROUP BY session_id")
 def skew_decision(spark, sf_dir):
-    """Population skewness, the base of the left and right decision."""
+    """Population skewness (the decision by it is ``left_right_by_skew``)."""
     return samples(spark, sf_dir).groupBy("session_id").agg(F.round(F.skewness("signal"), 5).alias("skew"))
 
 

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stridelake.functions import quaternion as Q
+from stridelake.functions.metadata import TRANSITIONS
+from stridelake.operators import calibrate, force, rates, signal
 from stridelake.operators import guards as G
 from stridelake.operators import joins as J
 from stridelake.operators import placement as PL
 from stridelake.operators import ranges as R
-from stridelake.operators import rates
 from stridelake.plans.geometry_queries import WXYZ, E, _columns, _out, _view
 from stridelake.plans.range_queries import GAP
 from stridelake.plans.register import S, T, query, samples, steps, table
@@ -282,3 +285,147 @@ def queue_match(spark, sf_dir):
     found = s.where("phase = 0").select("session_id", F.col("seq").alias("start"), (F.col("seq") + F.col("seq") * 7 % 5 + 3).alias("end"))
     points = s.where("event_type IN ('click', 'purchase')").select("session_id", F.col("seq").alias("at"), F.col("signal").alias("pitch"))
     return J.queue_match(found, points)
+
+
+SENSORS = [f"{k}_{s}_{a}" for k in ("acc", "euler") for s in ("lf", "hip", "rf") for a in "xyz"]
+FEATURES = force.FEATURES
+
+
+def _feature_sql() -> str:
+    values = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) * 4 AS {c}" for i, c in enumerate(SENSORS))
+    totals = ", ".join(f"sqrt(acc_{s}_x * acc_{s}_x + acc_{s}_y * acc_{s}_y + acc_{s}_z * acc_{s}_z) AS acc_{s}" for s in ("lf", "hip", "rf"))
+    steps_ = ", ".join(f"{c} - lag({c}) OVER w AS {c}_d0" for c in (*SENSORS, "acc_lf", "acc_hip", "acc_rf"))
+    cut = ", ".join((f"CASE WHEN abs({c}_d0) > 3.0 THEN 0 ELSE {c}_d0 END" if c.startswith("euler") else f"{c}_d0") + f" AS {c}_d" for c in (*SENSORS, "acc_lf", "acc_hip", "acc_rf"))
+    out = ", ".join(f"round({c}, 5) + 0.0 AS {c}" for c in FEATURES)
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in FEATURES)
+    return f"""WITH v AS (SELECT label AS session_id, vec_id AS seq, {values} FROM embeddings), t AS (SELECT *, {totals} FROM v), d AS (SELECT *, {steps_} FROM t WINDOW w AS (PARTITION BY session_id ORDER BY seq)),
+c AS (SELECT *, {cut} FROM d) SELECT session_id, seq, {out}, 70.0::DOUBLE AS mass FROM c WHERE {whole}"""
+
+
+@query(_feature_sql())
+def force_features(spark, sf_dir):
+    """the 31 features of force and the mass; rows with a missing one are left out (filtering and scaling follow in :mod:`force`)."""
+    e = table(spark, sf_dir, "embeddings")
+    s = e.select(F.col("label").alias("session_id"), F.col("vec_id").alias("seq"), *((F.col("embedding")[i].cast("double") * 4).alias(c) for i, c in enumerate(SENSORS)))
+    f = force.features(s, F.lit(70.0))
+    return f.select("session_id", "seq", *((F.round(c, 5) + F.lit(0.0)).alias(c) for c in force.FEATURES), "mass")
+
+
+@query(_feature_sql().replace("SELECT session_id, seq, round", "SELECT session_id, seq, round(greatest(0.02 * acc_lf + 0.01 * acc_hip_z, 0), 5) + 0.0 AS grf_lf, round(greatest(0.02 * acc_rf + 0.01 * acc_hip_z, 0), 5) + 0.0 AS grf_rf, round", 1).split(", round(acc_lf_z")[0] + " FROM c WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in FEATURES))
+def force_prediction(spark, sf_dir):
+    """Forces by a model handed in; here a documented linear one, since no trained weights exist."""
+    e = table(spark, sf_dir, "embeddings")
+    s = e.select(F.col("label").alias("session_id"), F.col("vec_id").alias("seq"), *((F.col("embedding")[i].cast("double") * 4).alias(c) for i, c in enumerate(SENSORS)))
+    out = force.predict(force.features(s, F.lit(70.0)), force.LINEAR)
+    return out.select("session_id", "seq", *((F.round(c, 5) + F.lit(0.0)).alias(c) for c in ("grf_lf", "grf_rf")))
+
+
+@query(E + """, m AS (SELECT label, avg(pw) AS w, avg(px) AS x, avg(py) AS y, avg(pz) AS z FROM e WHERE vec_id % 100 BETWEEN 10 AND 35 GROUP BY label), k AS (SELECT *, sqrt(w*w+x*x+y*y+z*z) AS n FROM m),
+u AS (SELECT label, w/n AS w, x/n AS x, y/n AS y, z/n AS z FROM k) SELECT label, round(w, 6) + 0.0 AS w, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y, round(z, 6) + 0.0 AS z, round(atan2(2*(x*y+w*z), 1-2*(y*y+z*z)) - pi(), 5) + 0.0 AS heading FROM u""")
+def reference_orientation(spark, sf_dir):
+    """Mean orientation of a still window (its end counts) and the heading of the reference."""
+    p, _, _ = _columns()
+    inside = _view(spark, sf_dir).where("vec_id % 100 BETWEEN 10 AND 35")
+    mean = inside.groupBy("label").agg(*(c.alias(n) for n, c in zip(WXYZ, Q.mean(p))))
+    r = tuple(F.col(c) for c in WXYZ)
+    return mean.select("label", *_out((*r,), WXYZ), (F.round(Q.heading_of(r), 5) + F.lit(0.0)).alias("heading"))
+
+
+@query(S + """, v AS (SELECT session_id, seq, CASE WHEN event_id % 4 = 0 THEN 0 ELSE active END AS on_, signal AS grf, signal / 10 AS accel, phase FROM s),
+u AS (SELECT *, CAST(sum(nw) OVER (PARTITION BY session_id ORDER BY seq) AS BIGINT) AS unit FROM (SELECT *, CASE WHEN phase <> lag(phase) OVER (PARTITION BY session_id ORDER BY seq) THEN 1 ELSE 0 END AS nw FROM v)),
+g AS (SELECT session_id, unit, grouping(unit) AS lvl, count(*) FILTER (WHERE on_ = 1) AS n_active, round(sum(accel * on_), 5) AS total_accel, round(sum(CASE WHEN grf > 60 THEN accel * 1.5 ELSE accel END * on_), 5) AS irregular_accel,
+  round(sum(grf * on_ * abs(accel)) / nullif(sum(on_ * abs(accel)), 0), 5) AS weighted_grf FROM u GROUP BY GROUPING SETS ((session_id), (session_id, unit)))
+SELECT session_id, unit, n_active, total_accel, irregular_accel, weighted_grf FROM g""")
+def one_sensor_blocks(spark, sf_dir):
+    """Blocks of one sensor and their unit blocks, with masked and irregular acceleration."""
+    on = F.when(F.col("event_id") % 4 == 0, 0).otherwise(F.col("active"))
+    v = samples(spark, sf_dir).select("session_id", "seq", "phase", on.alias("on"), F.col("signal").alias("grf"), (F.col("signal") / 10).alias("accel"))
+    u = R.cut_at_changes(v, "phase")
+    irregular = F.when(F.col("grf") > 60, F.col("accel") * 1.5).otherwise(F.col("accel"))
+    weight = F.col("on") * F.abs("accel")
+    sets = u.groupingSets([[F.col("session_id")], [F.col("session_id"), F.col("unit")]], F.col("session_id"), F.col("unit"))
+    return sets.agg(
+        F.count_if(F.col("on") == 1).alias("n_active"), F.round(F.sum(F.col("accel") * F.col("on")), 5).alias("total_accel"), F.round(F.sum(irregular * F.col("on")), 5).alias("irregular_accel"),
+        F.round(F.try_divide(F.sum(F.col("grf") * weight), F.sum(weight)), 5).alias("weighted_grf"),
+    )
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN c_name WHEN 1 THEN CAST(c_custkey AS VARCHAR) WHEN 2 THEN c_mktsegment || ',' || c_name WHEN 3 THEN NULL ELSE '["' || c_name || '"]' END AS value FROM customer""")
+def decoded_attributes(spark, sf_dir):
+    """Attributes tagged by type (S, N, SS, L, NULL) as text."""
+    from stridelake.functions.metadata import decoded_attribute
+
+    k = F.col("c_custkey") % 5
+    tagged = (
+        F.when(k == 0, F.to_json(F.struct(F.col("c_name").alias("S")))).when(k == 1, F.to_json(F.struct(F.col("c_custkey").cast("string").alias("N"))))
+        .when(k == 2, F.to_json(F.struct(F.array("c_mktsegment", "c_name").alias("SS")))).when(k == 3, F.lit('{"NULL": true}')).otherwise(F.to_json(F.struct(F.array("c_name").alias("L"))))
+    )
+    read = table(spark, sf_dir, "customer").select("c_custkey", F.from_json(tagged, "S string, N string, SS array<string>, L array<string>, `NULL` boolean").alias("v"))
+    return read.select("c_custkey", decoded_attribute(F.col("v")).alias("value"))
+
+
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'CREATE_COMPLETE' WHEN 'F' THEN 'UPLOAD_COMPLETE' END AS session_status, o_orderstatus = 'O' AS accepted FROM orders")
+def late_uploads(spark, sf_dir):
+    """Uploads of open sessions, and the rejected ones beside them."""
+    from stridelake.streaming.sessions import split_late
+
+    s = F.col("o_orderstatus")
+    u = table(spark, sf_dir, "orders").select("o_orderkey", F.when(s == "O", "CREATE_COMPLETE").when(s == "F", "UPLOAD_COMPLETE").alias("session_status"))
+    kept, rejected = split_late(u)
+    return kept.withColumn("accepted", F.lit(True)).unionByName(rejected.withColumn("accepted", F.lit(False)))
+
+
+@query("""WITH c AS (SELECT o_custkey AS session_id, o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'CREATE_COMPLETE' WHEN 1 THEN 'UPLOAD_IN_PROGRESS' WHEN 2 THEN 'UPLOAD_COMPLETE' ELSE 'PROCESSING_COMPLETE' END AS session_status, o_orderdate AS updated FROM orders),
+a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY updated, o_orderkey) AS k FROM c WHERE session_id % 3 > 0) WHERE k = 1),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY updated DESC, o_orderkey DESC) AS k FROM c) WHERE k = 1)
+SELECT coalesce(a.session_id, b.session_id) AS session_id, CASE WHEN a.session_id IS NULL OR (a.session_status || '>' || b.session_status) IN ({allowed}) THEN b.session_status ELSE a.session_status END AS session_status FROM a FULL JOIN b ON a.session_id = b.session_id""".replace("{allowed}", ", ".join(f"'{x}>{y}'" for x, y in TRANSITIONS)))
+def applied_changes(spark, sf_dir):
+    """A batch of changes merged by key; creating twice and changes that are not allowed do nothing."""
+    from stridelake.streaming.sessions import apply_changes
+
+    k = F.col("o_orderkey") % 4
+    status = F.when(k == 0, "CREATE_COMPLETE").when(k == 1, "UPLOAD_IN_PROGRESS").when(k == 2, "UPLOAD_COMPLETE").otherwise("PROCESSING_COMPLETE")
+    c = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("session_id"), status.alias("session_status"), F.struct("o_orderdate", "o_orderkey").alias("updated"))
+    first = c.where("session_id % 3 > 0").groupBy("session_id").agg(F.min_by("session_status", "updated").alias("session_status"), F.min("updated").alias("updated"))
+    return apply_changes(first, c).select("session_id", "session_status")
+
+
+@query()
+def peak_totals_apart(spark, sf_dir):
+    """A4, A5: totals of peaks that are six samples apart, and the 95 % quantile of their heights."""
+
+    def run(c):
+        at = signal.detect_peaks(c["signal"], 12.0, 6)
+        x = c["signal"][at]
+        return {"session_id": c["session_id"][:1], "total": [float(x.sum())], "mean": [float(x.mean()) if len(x) else None], "peak95": [float(np.percentile(x, 95) * 10000) if len(x) >= 2 else 0.0]}
+
+    return signal.per_session(samples(spark, sf_dir).select("session_id", "seq", "signal"), run, "session_id long, total double, mean double, peak95 double")
+
+
+@query()
+def march_headings(spark, sf_dir):
+    """Heading of each group of orientations; groups that cannot be calibrated have a code."""
+    v = _view(spark, sf_dir).select(F.col("label").cast("long").alias("session_id"), F.col("vec_id").alias("seq"), *(F.col(f"p{c}") for c in WXYZ))
+
+    def run(c):
+        q = np.stack([c[f"p{x}"] for x in WXYZ], 1)
+        try:
+            return {"session_id": c["session_id"][:1], "heading": [calibrate.heading(q, 0)], "code": [None]}
+        except calibrate.CalibrationError as e:
+            return {"session_id": c["session_id"][:1], "heading": [None], "code": [e.code]}
+
+    return signal.per_session(v, run, "session_id long, heading double, code string", types={"heading": pa.float64(), "code": pa.string()})
+
+
+@query()
+def placement_votes(spark, sf_dir):
+    """left or right by the feet's steps and by the hip's correction points, and the decision."""
+    x = F.col("signal")
+    s = samples(spark, sf_dir).select("session_id", "seq", x.alias("a"), (100 - x).alias("b"), F.sin(x).alias("f"), F.cos(x).alias("g"), (x / 8 - 6).alias("hip"), (F.col("phase") == 1).cast("int").alias("point"), (F.col("phase") == 2).cast("int").alias("t0"), (F.col("phase") == 3).cast("int").alias("t2"))
+
+    def run(c):
+        lateral = calibrate.lateral_vote(c["a"], c["b"], c["f"], c["g"], c["hip"])
+        hip = calibrate.hip_vote(c["point"], c["t0"], c["t2"])
+        return {"session_id": c["session_id"][:1], "lateral": [lateral[0]], "hip": [hip[0]], "placement": [calibrate.placement(hip, lateral)], "weak": [bool(lateral[1] and hip[1])]}
+
+    return signal.per_session(s, run, "session_id long, lateral array<int>, hip array<int>, placement array<int>, weak boolean", types={k: pa.list_(pa.int32()) for k in ("lateral", "hip", "placement")})

@@ -25,16 +25,6 @@ def contact_duration(spark, sf_dir):
     return runs.select("session_id", "seq", F.when(F.col("_flag"), size / 1000.0).alias("contact"))
 
 
-@query(RUN.format(flag="phase = 2") + """, g AS (SELECT session_id, run, min(seq) AS start, arg_max(seq, signal * 100000 - seq) AS top, max(signal) AS high, arg_min(signal, seq) AS low FROM r WHERE f GROUP BY session_id, run)
-SELECT session_id, start, round(CASE WHEN top > start AND high > low THEN (high - low) / ((top - start) / 100.0) ELSE 0 END, 4) AS rate FROM g""")
-def force_absorption_rate(spark, sf_dir):
-    """slope from the start of an impact to its peak."""
-    runs = with_runs(samples(spark, sf_dir), F.col("phase") == 2).where("_flag")
-    g = runs.groupBy("session_id", "_run").agg(F.min("seq").alias("start"), F.max_by("seq", F.struct("signal", -F.col("seq"))).alias("top"), F.max("signal").alias("high"), F.min_by("signal", "seq").alias("low"))
-    rises = (F.col("top") > F.col("start")) & (F.col("high") > F.col("low"))
-    return g.select("session_id", "start", F.round(F.when(rises, (F.col("high") - F.col("low")) / ((F.col("top") - F.col("start")) / 100.0)).otherwise(0.0), 4).alias("rate"))
-
-
 @query(RUN.format(flag="phase = 0") + """, p AS (SELECT *, min(seq) OVER (PARTITION BY session_id, run) AS a FROM r WHERE f),
 m AS (SELECT session_id, a + 5 * ((seq - a) // 5) AS start, quantile_cont(signal, 0.975) - quantile_cont(signal, 0.025) AS x FROM p GROUP BY session_id, a + 5 * ((seq - a) // 5), run)
 SELECT session_id, start, round(CASE WHEN x < 30 THEN 0 ELSE x END, 5) AS spread FROM m""")
@@ -47,16 +37,6 @@ def balance_force(spark, sf_dir):
     return m.select("session_id", "start", F.round(F.when(F.col("x") < 30, 0.0).otherwise(F.col("x")), 5).alias("spread"))
 
 
-@query(S + """, l AS (SELECT *, lag(signal) OVER w AS p1, lag(signal, 2) OVER w AS p2, coalesce(lag(phase) OVER w, -1) AS before FROM s WINDOW w AS (PARTITION BY session_id ORDER BY seq))
-SELECT session_id, seq, CASE WHEN signal - p1 > 20 THEN 'rearfoot' WHEN signal - p1 < -20 THEN 'forefoot' ELSE 'midfoot' END AS landing FROM l WHERE phase = 2 AND before <> 2 AND p1 IS NOT NULL""")
-def landing_pattern(spark, sf_dir):
-    """pattern of a landing by the pitch at and before first contact."""
-    w = by_seq()
-    s = samples(spark, sf_dir).select("*", F.lag("signal").over(w).alias("p1"), F.coalesce(F.lag("phase").over(w), F.lit(-1)).alias("before")).where("phase = 2 AND before <> 2 AND p1 IS NOT NULL")
-    d = F.col("signal") - F.col("p1")
-    return s.select("session_id", "seq", F.when(d > 20, "rearfoot").when(d < -20, "forefoot").otherwise("midfoot").alias("landing"))
-
-
 @query(S + """, k AS (SELECT *, CASE WHEN signal > 0 AND signal <= 2 THEN 0 WHEN signal <= 4 THEN 1 WHEN signal <= 8 THEN 2 WHEN signal <= 20 THEN 3 ELSE 4 END AS bin, avg(signal) OVER (PARTITION BY session_id) AS m FROM s)
 SELECT session_id, bin, count(*) AS n, round(avg((1 - least(abs(signal - m) / m, 1)) * (1 - least(abs(signal - m) / m, 1))), 6) AS score, round(sum(signal * (1 - least(abs(signal - m) / m, 1))), 4) AS destructive FROM k GROUP BY session_id, bin""")
 def combined_scores(spark, sf_dir):
@@ -77,14 +57,6 @@ def movement_planes(spark, sf_dir):
     return out.select("session_id", "seq", "lateral", "vertical", "horizontal")
 
 
-@query(S + """, p AS (SELECT session_id, seq, signal, lag(signal) OVER w AS d0, sqrt(signal * signal + seq * seq) AS magnitude FROM s WINDOW w AS (PARTITION BY session_id ORDER BY seq))
-SELECT session_id, seq, round(signal - coalesce(d0, signal), 6) AS diff, round(magnitude, 6) AS magnitude, round(0.6 * signal + 0.4 * (signal - coalesce(d0, signal)), 6) AS predicted FROM p""")
-def force_features(spark, sf_dir):
-    """features of force, and a documented linear model in place of the missing one."""
-    d = F.coalesce(F.col("signal") - F.lag("signal").over(by_seq()), F.lit(0.0))
-    return samples(spark, sf_dir).select("session_id", "seq", F.round(d, 6).alias("diff"), F.round(F.hypot("signal", "seq"), 6).alias("magnitude"), F.round(0.6 * F.col("signal") + 0.4 * d, 6).alias("predicted"))
-
-
 @query()
 def stance_enumeration(spark, sf_dir):
     """stances from the phases of both feet."""
@@ -92,23 +64,6 @@ def stance_enumeration(spark, sf_dir):
     return P.stance(s, "phase", "phase_rf", F.lit(False), F.col("signal") / 20, 20).select("session_id", "seq", "stance")
 
 
-@query("""WITH l AS (SELECT c_custkey, c_nationkey, c_acctbal, row_number() OVER (ORDER BY c_custkey) AS k FROM customer) SELECT c_nationkey AS label, count(*) AS n, round(100.0 * count(*) FILTER (WHERE c_acctbal > 0) / count(*), 6) AS perc_correct FROM l GROUP BY c_nationkey""")
-def placement_accuracy(spark, sf_dir):
-    """Share of right answers by code."""
-    from stridelake.plans.register import table
-
-    c = table(spark, sf_dir, "customer")
-    return c.groupBy(F.col("c_nationkey").alias("label")).agg(F.count("*").alias("n"), F.round(100.0 * F.count_if(F.col("c_acctbal") > 0) / F.count("*"), 6).alias("perc_correct"))
-
-
-@query(S + """, b AS (SELECT event_type AS condition, CAST(least(floor(signal / 25), 19) AS INTEGER) AS bin FROM s WHERE seq < 1000)
-SELECT condition, bin, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY condition), 6) AS pct FROM b GROUP BY condition, bin""")
-def placement_model(spark, sf_dir):
-    """Histograms of labelled recordings by condition, in percent."""
-    b = samples(spark, sf_dir).where("seq < 1000").groupBy(F.col("event_type").alias("condition"), F.least(F.floor(F.col("signal") / 25), F.lit(19)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    return b.select("condition", "bin", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("condition")), 6).alias("pct"))
-
-
 def t_two_sided(t: float, free: int) -> float:
     """Two-sided p of Student's t, by the density's integral (Simpson's rule on a bounded substitution)."""
     if free <= 0 or not np.isfinite(t):
@@ -150,3 +105,40 @@ def step_records(spark, sf_dir):
     k = steps(spark, sf_dir).groupBy("block_id").agg(F.count("*").alias("n"), F.sum("force").alias("total"), F.avg("force").alias("mean"), F.max("accel").alias("peak"), F.median("accel").alias("median"), F.round(F.percentile("accel", F.lit(0.95)), 6).alias("p95"), F.bool_or(F.col("discount") > 0.09).alias("removed"))
     kept = lambda c: F.when(~F.col("removed"), F.col(c)).alias(c)
     return k.select("block_id", (F.col("n") * 10).alias("duration_ms"), "total", "mean", kept("peak"), kept("median"), kept("p95"))
+
+
+@query(RUN.format(flag="phase = 2") + """, g AS (SELECT session_id, run, min(seq) AS start, arg_max(seq, signal * 100000 - seq) AS top, max(signal) AS high, arg_min(signal, seq) AS low FROM r WHERE f GROUP BY session_id, run)
+SELECT session_id, start, round(CASE WHEN top > start AND high > low THEN (high - low) / ((top - start) / 100.0) ELSE 0 END, 4) AS rate FROM g""")
+def force_absorption_rate(spark, sf_dir):
+    """Slope from the first sample of an impact to its peak (the whole rule is ``force_absorption``)."""
+    runs = with_runs(samples(spark, sf_dir), F.col("phase") == 2).where("_flag")
+    g = runs.groupBy("session_id", "_run").agg(F.min("seq").alias("start"), F.max_by("seq", F.struct("signal", -F.col("seq"))).alias("top"), F.max("signal").alias("high"), F.min_by("signal", "seq").alias("low"))
+    rises = (F.col("top") > F.col("start")) & (F.col("high") > F.col("low"))
+    return g.select("session_id", "start", F.round(F.when(rises, (F.col("high") - F.col("low")) / ((F.col("top") - F.col("start")) / 100.0)).otherwise(0.0), 4).alias("rate"))
+
+
+@query(S + """, l AS (SELECT *, lag(signal) OVER w AS p1, lag(signal, 2) OVER w AS p2, coalesce(lag(phase) OVER w, -1) AS before FROM s WINDOW w AS (PARTITION BY session_id ORDER BY seq))
+SELECT session_id, seq, CASE WHEN signal - p1 > 20 THEN 'rearfoot' WHEN signal - p1 < -20 THEN 'forefoot' ELSE 'midfoot' END AS landing FROM l WHERE phase = 2 AND before <> 2 AND p1 IS NOT NULL""")
+def landing_pattern(spark, sf_dir):
+    """Sign of the change of pitch at first contact (the whole rule is ``landings``)."""
+    w = by_seq()
+    s = samples(spark, sf_dir).select("*", F.lag("signal").over(w).alias("p1"), F.coalesce(F.lag("phase").over(w), F.lit(-1)).alias("before")).where("phase = 2 AND before <> 2 AND p1 IS NOT NULL")
+    d = F.col("signal") - F.col("p1")
+    return s.select("session_id", "seq", F.when(d > 20, "rearfoot").when(d < -20, "forefoot").otherwise("midfoot").alias("landing"))
+
+
+@query("""WITH l AS (SELECT c_custkey, c_nationkey, c_acctbal, row_number() OVER (ORDER BY c_custkey) AS k FROM customer) SELECT c_nationkey AS label, count(*) AS n, round(100.0 * count(*) FILTER (WHERE c_acctbal > 0) / count(*), 6) AS perc_correct FROM l GROUP BY c_nationkey""")
+def placement_accuracy(spark, sf_dir):
+    """Share of positive balances by nation (answers by code are ``accuracy_by_code``)."""
+    from stridelake.plans.register import table
+
+    c = table(spark, sf_dir, "customer")
+    return c.groupBy(F.col("c_nationkey").alias("label")).agg(F.count("*").alias("n"), F.round(100.0 * F.count_if(F.col("c_acctbal") > 0) / F.count("*"), 6).alias("perc_correct"))
+
+
+@query(S + """, b AS (SELECT event_type AS condition, CAST(least(floor(signal / 25), 19) AS INTEGER) AS bin FROM s WHERE seq < 1000)
+SELECT condition, bin, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY condition), 6) AS pct FROM b GROUP BY condition, bin""")
+def placement_model(spark, sf_dir):
+    """Histogram of the first samples by type (training by condition is ``trained_placement``)."""
+    b = samples(spark, sf_dir).where("seq < 1000").groupBy(F.col("event_type").alias("condition"), F.least(F.floor(F.col("signal") / 25), F.lit(19)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    return b.select("condition", "bin", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("condition")), 6).alias("pct"))
