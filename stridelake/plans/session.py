@@ -16,6 +16,7 @@ from stridelake.operators import ranges as R
 from stridelake.operators.calibrate import CalibrationError, conjugate, euler, heading, last_still, march_candidates, marches, multiply
 from stridelake.operators.drift import correct, correction_points
 from stridelake.operators.signal import filter_data, peaks_above, per_session
+from stridelake.operators.step_measures import CME_COLUMNS, step_cmes
 
 SENSORS, SIDES = (0, 1, 2), ("lf", "hip", "rf")
 G = 9.80665
@@ -128,10 +129,43 @@ def steps(samples: DataFrame) -> DataFrame:
     marks = out.select("session_id", "side", "start", "end", F.explode(F.sequence("start", F.col("end") - 1)).alias("seq"))
     met = marks.join(samples.select("session_id", "seq", "epoch_ms", "grf_lf", "grf_rf", "acc_hip_z", "total_accel", "euler_hip_y"), ["session_id", "seq"])
     force = F.when(F.col("side") == "LF", F.col("grf_lf")).otherwise(F.col("grf_rf"))
-    return met.groupBy("session_id", "side", "start", "end").agg(
+    found = met.groupBy("session_id", "side", "start", "end").agg(
         F.min("epoch_ms").alias("start_ms"), (F.count("*") * 10).alias("duration_ms"), F.sum(force).alias("total_grf"), F.max(force).alias("peak_grf"), F.sum("total_accel").alias("total_accel"),
         F.max("acc_hip_z").alias("peak_hip_accel"), F.percentile("acc_hip_z", F.lit(0.95)).alias("peak_hip_accel_95"), ((F.max("euler_hip_y") - F.min("euler_hip_y")) * 180 / np.pi).alias("pelvic_range"),
     )
+    return measured(samples, found)
+
+
+def measured(samples: DataFrame, step: DataFrame) -> DataFrame:
+    """``step`` with the measures of motion (C1-C6) of each step; one session's samples and steps are one group."""
+    kind = dict(step.dtypes)["session_id"]
+    columns = ("euler_hip_y", "euler_hip_x", "euler_hip_z", *(f"{c}_{s}_{x}" for s in ("lf", "rf") for c, x in (("euler", "y"), ("euler", "x"), ("acc", "z"))))
+    flag = F.col("remove") if "remove" in samples.columns else F.lit(0)
+    own = samples.select(F.col("session_id").alias("session_id"), "seq", "epoch_ms", flag.alias("remove"), *columns)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by("seq")
+        c = {n: left.column(n).to_numpy() for n in left.column_names if n != "session_id"}
+        rows: list[tuple] = []
+        for side in ("LF", "RF"):
+            foot = side.lower()
+            where = sorted((a, b) for a, b, s in zip(*(right.column(n).to_pylist() for n in ("start", "end", "side"))) if s == side)
+            if not where or not len(left):
+                continue
+            pace = np.zeros(len(left))  # strides a minute, from the distance to the side's next step
+            for (a, b), (following, _) in zip(where, where[1:]):
+                pace[a:b] = 6000 / (following - a)
+            parts = {"hip_pitch": c["euler_hip_y"], "hip_roll": c["euler_hip_x"], "hip_yaw": c["euler_hip_z"], "pitch": c[f"euler_{foot}_y"], "roll": c[f"euler_{foot}_x"], "acc_z": c[f"acc_{foot}_z"]}
+            found = step_cmes(parts, side, [(a, b - 1) for a, b in where], c["epoch_ms"], c["remove"] == 1, pace)
+            rows += [(right.column("session_id")[0].as_py(), side, a, *m) for (a, _), m in zip(where, found)]
+        columns_ = list(zip(*rows)) or [()] * (3 + len(CME_COLUMNS))
+        types = [right.schema.field("session_id").type, pa.string(), pa.int64(), *(pa.int64() if n == "max_ankle_pitch_time" else pa.float64() for n in CME_COLUMNS)]
+        return pa.table([pa.array(v, t) for v, t in zip(columns_, types)], names=["session_id", "side", "start", *CME_COLUMNS])
+
+    schema = f"session_id {kind}, side string, start long, " + ", ".join(f"{n} {'long' if n == 'max_ankle_pitch_time' else 'double'}" for n in CME_COLUMNS)
+    contacts_ = step.select(*(F.col(c).alias(c) for c in ("session_id", "side", "start", "end")))
+    found = own.groupBy("session_id").cogroup(contacts_.groupBy("session_id")).applyInArrow(run, schema)
+    return step.join(found, ["session_id", "side", "start"], "left")
 
 
 def blocks(samples: DataFrame) -> DataFrame:

@@ -48,5 +48,7 @@ def test_session_end_to_end(spark):
     steps, blocks = S.steps(samples), S.blocks(samples)
     found = blocks.collect()
     assert len(found) == 1 and 20_000 < found[0]["end_ms"] - found[0]["start_ms"] < 32_000
-    assert all(100 <= r["duration_ms"] <= 1500 for r in steps.collect())
+    rows = steps.collect()
+    assert rows and all(100 <= r["duration_ms"] <= 1500 for r in rows)
+    assert any(r["ankle_pitch_range"] is not None for r in rows) and any(r["knee_valgus"] is not None for r in rows)
     assert S.nested(blocks, steps).count() == 1
