@@ -222,9 +222,9 @@ def _keyed(pages: DataFrame) -> DataFrame:
 
 
 def page_features(pages: DataFrame) -> DataFrame:
-    """Hashed blocks and nodes of each distinct page of a host; cut, for several uses."""
+    """Hashed blocks and nodes of each distinct page of a host; written, for several uses."""
     read = _keyed(pages).select("host", "digest", "html").mapInArrow(tables.lean_batches(_features), FEATURES)
-    return tables.cut(read.groupBy("host", "digest").agg(F.first("blocks").alias("blocks"), F.first("nodes").alias("nodes")))
+    return tables.written(read.groupBy("host", "digest").agg(F.first("blocks").alias("blocks"), F.first("nodes").alias("nodes")))
 
 
 def _with_all(counts: DataFrame, *keys: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -37,6 +38,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As :func:`cut`, as a Parquet table: smaller where values repeat, such as hashes of common paths."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def block_of(key: Column, blocks: int) -> Column:
     """An even, deterministic spread of a key over ``blocks`` blocks."""
     return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
