@@ -22,17 +22,20 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return out.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Has every larger end one edge only, to a node that is no larger end itself?"""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    open_ = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up > 0 AND down > 0")
+    return open_.agg(F.count(F.lit(1))).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` (least node reachable) of all nodes of ``links`` (``a``, ``b``).
 
-    Nothing but a count and a checksum reaches the driver.
+    The rounds end when the edges are stars: every centre is smaller than its leaves, so it is
+    the least node of its component.  Nothing but a count reaches the driver.
     """
     edges = tables.cut(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
-    while True:
+    while not _are_stars(edges):
         edges = tables.cut(_star(_star(edges, small=False), small=True))
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == seen:
-            break
-        seen = state
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
