@@ -193,17 +193,6 @@ def signatures(row: np.ndarray, name: np.ndarray, n: int) -> tuple[np.ndarray, n
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(searched)
 
 
-def planes(numbers: np.ndarray, kind: str) -> bytes:
-    """The numbers' first bytes, then their second bytes and so on: high bytes compress to nothing."""
-    return np.ascontiguousarray(numbers.astype(kind)[:, None].view(np.uint8).T).tobytes()
-
-
-def of_planes(data: np.ndarray, kind: str) -> np.ndarray:
-    """The numbers that :func:`planes` was given."""
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(data.reshape(width, -1).T).view(kind).ravel()
-
-
 def _index(width: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -227,7 +216,7 @@ def _index(width: int, buckets: int):
                 for a, b in zip(cuts, cuts[1:]):
                     own, place = np.unique(owner[a:b], return_inverse=True)
                     code = np.diff(place, prepend=0) * 2 + searched[a:b]
-                    owners = planes(np.diff(ids[i:j][own], prepend=0), "<i8") + planes(size[own], "<i4") + planes(code, "<u2")
+                    owners = textbytes.planes(np.diff(ids[i:j][own], prepend=0), "<i8") + textbytes.planes(size[own], "<i4") + textbytes.planes(code, "<u2")
                     rows.append((int(bucket[a]), len(own), press(owners), (key[a:b] // U64(buckets) & U64(0xFFFFFFFF)).astype("<u4").tobytes()))
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], [c.split()[0] for c in KEYS.split(", ")])
@@ -257,7 +246,7 @@ def _candidates(table: pa.Table) -> pa.Table:
     doc, size, key, searched = [], [], [], []
     for n, owners, keys in zip(*(table.column(c) for c in ("n", "owners", "keys"))):
         n, whole = n.as_py(), np.frombuffer(open_(owners.as_py()), np.uint8)
-        ids, sizes, code = of_planes(whole[: 8 * n], "<i8"), of_planes(whole[8 * n : 12 * n], "<i4"), of_planes(whole[12 * n :], "<u2").astype(np.int64)
+        ids, sizes, code = textbytes.of_planes(whole[: 8 * n], "<i8"), textbytes.of_planes(whole[8 * n : 12 * n], "<i4"), textbytes.of_planes(whole[12 * n :], "<u2").astype(np.int64)
         place = np.cumsum(code >> 1)
         doc.append(np.cumsum(ids)[place])
         size.append(sizes[place])
