@@ -33,7 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stridelake.llm import tables, textbytes
@@ -363,6 +363,12 @@ def _list(width: int, seed: int, buckets: int):
         docs, data, offsets, _ = _block(table)
         f = Fragments(docs, data, offsets, width, seed, buckets)
         own, offset, size, first, repeat = _told(told, f)
+        # Fragments that repeat in this block alone were told to no bucket: they are groups of the block.
+        times = np.bincount(f.which, minlength=len(f.first))
+        alone = np.flatnonzero((times > 1) & ~np.isin(np.arange(len(f.first)), own[(offset == 0) & (size == f.size[f.first[own]])]))
+        block = table.column("block")[0].as_py() if len(table) else 0
+        own, offset, size = np.concatenate((own, alone)), np.concatenate((offset, np.zeros(len(alone), np.int64))), np.concatenate((size, f.size[f.first[alone]]))
+        first, repeat = np.concatenate((first, f.doc[f.first[alone]])), np.concatenate((repeat, -((np.int64(block) << 32) + alone) - 1))
         each, occurrence = _occurrences(f, own)
         place = f.start[occurrence] + offset[each]
         row = np.searchsorted(offsets, place, "right") - 1
@@ -405,13 +411,33 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: i
     return _run(docs, key, text, min_bytes, seed, block_bytes, lambda b: _finish(min_bytes, seed, b, with_kept, ()), RESULT, False)
 
 
+def _joined(rows: DataFrame) -> DataFrame:
+    """Groups whose occurrences are each other's, shifted, and touch are one longer repeat.
+
+    A group's shape is the multiset of its occurrences' documents and distances from its first
+    occurrence; groups of one shape and one first document are merged along that document.
+    """
+    rows = tables.cut(rows)
+    anchors = tables.cut(rows.groupBy("repeat_id").agg(F.min(F.struct("doc_id", "start")).alias("a"), F.count(F.lit(1)).alias("n"), F.max("length").alias("length")))
+    placed = tables.skewed_join(rows, anchors.select("repeat_id", "a"), ["repeat_id"])
+    shapes = placed.groupBy("repeat_id").agg(F.sum(F.xxhash64("doc_id", F.col("start") - F.col("a.start")).cast("decimal(38,0)")).alias("shape"))
+    groups = anchors.join(shapes, "repeat_id").select("repeat_id", "n", "shape", "a.doc_id", "a.start", (F.col("a.start") + F.col("length")).alias("end"))
+    w = Window.partitionBy("doc_id", "shape", "n").orderBy("start", "repeat_id")
+    apart = F.col("start") > F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = groups.withColumn("_new", F.when(apart, 1).otherwise(0)).withColumn("_island", F.sum("_new").over(w))
+    merged = numbered.groupBy("doc_id", "shape", "n", "_island").agg(F.min_by("repeat_id", F.struct("start", "repeat_id")).alias("repeat_id"), (F.max("end") - F.min("start")).alias("length"))
+    out = tables.skewed_join(rows.drop("length"), tables.cut(merged.select("repeat_id", "length")), ["repeat_id"])
+    return out.select("repeat_id", "doc_id", "start", "length", "first_doc_id")
+
+
 def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = MIN_BYTES, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Maximal repeat groups with all occurrences, one row each, within fragments.
+    """Maximal repeat groups with all occurrences (also those inside one document), one row each.
 
-    A repeat longer than a fragment appears as overlapping groups, one a fragment; repeats
-    that only one block knows (inside one block) are not listed.
+    Repeats found within fragments are joined to their full lengths.
     """
-    return _run(docs, key, text, min_bytes, seed, block_bytes, lambda b: _list(min_bytes, seed, b), OCCURRENCES, True)
+    rows = _run(docs, key, text, min_bytes, seed, block_bytes, lambda b: _list(min_bytes, seed, b), OCCURRENCES, True)
+    last = F.col("doc_id").isNull()
+    return _joined(rows.withColumn("doc_id", F.when(last, F.lit(LAST)).otherwise(F.col("doc_id")))).withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

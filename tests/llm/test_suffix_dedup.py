@@ -78,6 +78,24 @@ def test_groups_list_all_occurrences(spark):
     assert whole
 
 
+def test_groups_have_full_length_and_know_one_block(spark):
+    """A passage of over 200 bytes in three documents, and one twice in a single document, as one group each."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    shared, twice = (" ".join(word() for _ in range(30)) for _ in range(2))
+    own = lambda n: " ".join(word() for _ in range(n))
+    texts = {d: f"{own(d % 5 + 3)} A{shared}Z{d} {own(4)}" for d in (3, 8, 13)} | {20: f"{own(2)} <{twice}> {own(9)} ({twice}) {own(2)}", 21: own(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    groups = {}
+    for r in sd.repeat_groups(docs).collect():
+        groups.setdefault(r["repeat_id"], set()).add((r["doc_id"], r["start"], r["length"]))
+    expected = {
+        frozenset((d, texts[d].index(" A" + shared), len(shared) + 3) for d in (3, 8, 13)),
+        frozenset((20, i, len(twice)) for i in (texts[20].index(twice), texts[20].rindex(twice))),
+    }
+    assert {frozenset(g) for g in groups.values()} == expected
+
+
 def test_interval_tree():
     assert sorted(sd.interval_tree([0, 3, 5, 5, 2, 0, 4], 2)) == [(2, 0, 5), (3, 0, 4), (4, 5, 7), (5, 1, 4)]
 
