@@ -10,7 +10,7 @@ salted, and each (digest, salt) meets the store once.
 
 Edge cases: a null page or payload counts as empty (a page without rows; a payload of 192
 spaces).  References without a stored payload keep null media columns.  Repeated payloads
-share one entry of the store.  Positions count from 0 within a page, without gaps.  Input
+have one row in the store's result.  Positions count from 0 within a page, without gaps.  Input
 columns other than those named are not carried; an empty table gives an empty result.
 """
 
@@ -30,7 +30,7 @@ from stridelake.llm import htmltokens, tables
 
 ROW, SALTS, LEVEL = 192, 64, 6
 SEQUENCE = "key long, position int, kind string, text string, digest string, caption string"
-FEATURES = "digest string, media binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+FEATURES = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 _BLOCKS = {"p", "div", "article", "section", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "br", "figure", "figcaption", "table", "tr", "td", "th", "blockquote", "pre", "header", "footer", "nav", "aside", "main", "body", "html", "hr", "dl", "dt", "dd", "form"}
 _MEDIA = {"img", "video", "audio", "source", "embed", "object"}
@@ -151,29 +151,34 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(media, pa.binary())], ["digest", "media"])
 
 
-def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in FEATURES.split(", ")]
-    types = [pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part, rows = batch.slice(at, 500), []
-            for digest, media in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                samples = from_png(media)
-                back = samples.tobytes()
-                rows.append((digest, media, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(samples)))
-            columns = list(zip(*rows)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+def _read_back(with_media: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in FEATURES.split(", ")] + ["media"] * with_media
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * with_media
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part, rows = batch.slice(at, 500), []
+                for digest, media in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    samples = from_png(media)
+                    back = samples.tobytes()
+                    row = (digest, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(samples))
+                    rows.append((*row, media) if with_media else row)
+                columns = list(zip(*rows)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    return run
 
 
-def media_store(payloads: DataFrame, payload: str) -> DataFrame:
-    """One row a distinct padded payload: digest, the stored file ``media``, and features of its samples.
+def media_store(payloads: DataFrame, payload: str, with_media: bool = True) -> DataFrame:
+    """One row a distinct padded payload: digest, features of its samples and, if asked for, the stored file ``media``.
 
-    The files are written as a column of a table in the shared folder; features are computed on
-    what is read back from there.
+    The files are written where they are made, as a column of a table in the shared folder;
+    features are computed on what is read back from there.  Only digests and features (and
+    the files that are asked for) move to meet their equals.
     """
     made = payloads.select(F.col(payload).cast("binary")).mapInArrow(tables.lean_batches(_encode), "digest string, media binary")
-    stored = tables.cut(made.groupBy("digest").agg(F.first("media").alias("media")))
-    return stored.mapInArrow(tables.lean_batches(_read_back), FEATURES)
+    read = tables.written(made).mapInArrow(tables.lean_batches(_read_back(with_media)), FEATURES + ", media binary" * with_media)
+    return read.groupBy("digest").agg(*(F.first(c).alias(c) for c in read.columns if c != "digest"))
 
 
 def digest_of(text: Column) -> Column:
@@ -204,7 +209,7 @@ def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a page with its text as media: stored, read back and resolved; the captioned reference of each page."""
     docs = tables.documents(spark, sf_dir)
     references = parse_sequences(document_pages(docs), "doc_id", "html").where("kind = 'media' AND position = 1")
-    found = resolve(references, media_store(docs, "text").drop("media"), "key")
+    found = resolve(references, media_store(docs, "text", with_media=False), "key")
     return found.select(F.col("key").alias("doc_id"), F.col("caption").cast("long").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position")
 
 
