@@ -1 +1 @@
-"""Training-data operators: ten corpus operators and the modules that register them as queries."""
+"""Training-data operators: thirteen corpus operators and the modules that register them as queries."""
