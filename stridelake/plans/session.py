@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stridelake.operators import phases as P
 from stridelake.operators import ranges as R
 from stridelake.operators.calibrate import CalibrationError, conjugate, euler, heading, last_still, march_candidates, marches, multiply
-from stridelake.operators.drift import correct, correction_points
+from stridelake.operators.drift import FOOT, HIP, correct_drift, hip_side
 from stridelake.operators.signal import filter_data, peaks_above, per_session
 from stridelake.operators.step_measures import CME_COLUMNS, step_cmes
 
@@ -61,6 +61,15 @@ def _pitches(q: np.ndarray, h: float) -> bool:
     return len(peaks_above(pitch - pitch[0], 20.0, 50)) >= 3
 
 
+def levelled(quats: dict[int, np.ndarray], acc: dict[int, np.ndarray], hip: np.ndarray, moving: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Orientations without drift (F7): both feet, then the hip by the points of the foot that its own points follow."""
+    feet = {s: correct_drift(quats[s], acc[s], moving[s], FOOT) for s in (0, 2)}
+    fixed, candidates, _ = correct_drift(quats[1], hip, moving[1], HIP, feet[0][2])
+    if hip_side(candidates, feet[0][2], feet[2][2])[0] == 2:
+        fixed, _, _ = correct_drift(quats[1], hip, moving[1], HIP, feet[2][2])
+    return {0: feet[0][0], 1: fixed, 2: feet[2][0]}
+
+
 def _calibrate(c: dict) -> dict:
     n = len(c["seq"])
     try:
@@ -69,14 +78,15 @@ def _calibrate(c: dict) -> dict:
         row = {k: c[k][:1] for k in ("session_id", "seq", "epoch_ms")}
         return row | {k: np.full(1, np.nan) for k in MOTION} | {"failure": [e.code]}
     out = {k: c[k] for k in ("session_id", "seq", "epoch_ms")}
+    turned, bodies = {}, {}
+    for s in SENSORS:
+        q, acc = _arrays(c, s)
+        turned[s] = _turn(multiply(q, conjugate(refs[s])[None]), turns[s])
+        bodies[s] = multiply(multiply(refs[s][None], np.concatenate((np.zeros((n, 1)), acc), 1)), conjugate(refs[s])[None])
+    fixed = levelled(turned, {s: b[:, 1:] for s, b in bodies.items()}, _turn(bodies[1], turns[1])[:, 2], {s: c[f"static_{s}"] for s in SENSORS})
     total = None
     for s, side in zip(SENSORS, SIDES):
-        q, acc = _arrays(c, s)
-        q = _turn(multiply(q, conjugate(refs[s])[None]), turns[s])
-        vector = np.concatenate((np.zeros((n, 1)), acc), 1)
-        body = multiply(multiply(refs[s][None], vector), conjugate(refs[s])[None])
-        if side != "hip":
-            q = correct(q, correction_points(body[:, 3] - 1000.0))
+        q, body = fixed[s], bodies[s]
         world = multiply(multiply(q, body), conjugate(q))[:, 1:] - np.array([0, 0, 1000.0])
         world *= G / 1000
         angles = euler(q)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from stridelake.operators import drift as D
 from stridelake.operators import phases as P
 from stridelake.operators import ranges as R
 from stridelake.operators import signal as G
 from stridelake.operators import step_measures as M
-from stridelake.operators.drift import drift_filter
 from stridelake.operators.direction import changes_of_direction
 from stridelake.plans.register import query, samples, steps
 
@@ -121,12 +123,46 @@ def drift_filtered(spark, sf_dir):
     def run(c):
         half = np.radians(c["signal"]) / 8
         q = np.stack((np.cos(half), np.sin(half) * 0.6, np.sin(half) * 0.8, np.zeros(len(half))), 1)
-        out = drift_filter(q, 100.0)
+        out = D.drift_filter(q, 100.0)
         return _own(c, **{x: out[:, i] for i, x in enumerate("wxyz")})
 
     return G.per_session(_session(spark, sf_dir), run, "session_id long, seq long, w double, x double, y double, z double")
 
 
+@query()
+def adaptive_troughs(spark, sf_dir):
+    """troughs after main peaks, found while the sensor moves."""
+
+    def run(c):
+        x = (c["signal"] - 50) * 20
+        at = D.rhythm_points(x, 400.0, 3, c["moving"])
+        at = at[at < len(x)]
+        return {"session_id": c["session_id"][at], "seq": c["seq"][at], "depth": x[at - 1]}
+
+    moving = (F.col("event_id") % 7 > 0).cast("int").alias("moving")
+    return G.per_session(samples(spark, sf_dir).select("session_id", "seq", "signal", moving), run, "session_id long, seq long, depth double")
+
+
+@query()
+def drift_corrected(spark, sf_dir):
+    """orientations of a foot without drift, with the candidates and the points that were used.
+
+    The test sessions are short, so windows and limits are a thirtieth of a recording's.
+    """
+    sensor = replace(D.FOOT, window=32, points=1, tail=4, peak_share=0.1)
+
+    def run(c):
+        half = np.radians(c["signal"]) / 8
+        q = np.stack((np.cos(half), np.sin(half) * 0.6, np.sin(half) * 0.8, np.zeros(len(half))), 1)
+        pull = (c["signal"] - 50) * 60
+        out, candidates, used = D.correct_drift(q, np.stack((pull, pull * 0, pull * 0 + 1000), 1), c["moving"], sensor)
+        marks = {n: np.isin(np.arange(len(q)), at).astype(int) for n, at in (("candidate", candidates), ("point", used))}
+        return _own(c, **{x: out[:, i] for i, x in enumerate("wxyz")}, **marks)
+
+    moving = (F.col("seq") % 90 < 64).cast("int").alias("moving")
+    return G.per_session(samples(spark, sf_dir).select("session_id", "seq", "signal", moving), run, "session_id long, seq long, w double, x double, y double, z double, candidate long, point long")
+
+
 def _feet(spark, sf_dir):
     s = samples(spark, sf_dir)
     x = F.col("signal")
