@@ -197,18 +197,6 @@ def _edges(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def density_symmetry(left: np.ndarray, right: np.ndarray, grid: int = 100) -> np.ndarray:
-    """Agreement of two Gaussian kernel densities over a grid, 0 to 1."""
-    points = np.linspace(min(left.min(), right.min()), max(left.max(), right.max()), grid)
-
-    def density(x: np.ndarray) -> np.ndarray:
-        width = max(1.06 * x.std() * len(x) ** -0.2, 1e-9)
-        return np.exp(-0.5 * ((points[:, None] - x[None, :]) / width) ** 2).mean(1) / (width * np.sqrt(2 * np.pi))
-
-    a, b = density(left), density(right)
-    return 1 - np.abs(a - b) / np.maximum(np.maximum(a, b), 1e-300)
-
-
 def dickey_fuller(y: np.ndarray) -> tuple[float, float]:
     """Augmented Dickey-Fuller statistic with constant, and its 5 % critical value.
 

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from stridelake.operators import drift as D
 from stridelake.operators import phases as P
 from stridelake.operators import ranges as R
+from stridelake.operators import scores as C
 from stridelake.operators import signal as G
 from stridelake.operators import step_measures as M
 from stridelake.operators.direction import changes_of_direction
-from stridelake.plans.register import query, samples, steps
+from stridelake.plans.register import S, query, samples, steps
 
 
 def _session(spark, sf_dir):
@@ -82,15 +83,32 @@ def adf_test(spark, sf_dir):
 
 @query()
 def symmetry_density(spark, sf_dir):
-    """agreement of left and right densities, by block of orders."""
-    t = steps(spark, sf_dir).where("side IS NOT NULL").select(F.floor(F.col("block_id") / 100).alias("session_id"), F.xxhash64("block_id", "step").alias("seq"), "force", (F.col("side") == "LF").alias("left"))
+    """mean agreement (0 to 1) of left and right densities, by block of orders."""
+    t = steps(spark, sf_dir).select(F.floor(F.col("block_id") / 100).alias("session_id"), "side", "force")
+    return C.symmetry(t, ["session_id"], "side", "force").groupBy("session_id").agg((F.avg("symmetry") / 100).alias("score"))
+
+
+@query()
+def symmetry_scores(spark, sf_dir):
+    """agreement of left and right densities at each step's value, by block of orders."""
+    t = steps(spark, sf_dir).select(F.floor(F.col("block_id") / 100).alias("session_id"), "block_id", "step", "side", "accel")
+    return C.symmetry(t, ["session_id"], "side", "accel")
 
-    def run(c):
-        left = c["left"].astype(bool)
-        score = float(G.density_symmetry(c["force"][left], c["force"][~left]).mean()) if left.any() and (~left).any() else float("nan")
-        return {"session_id": c["session_id"][:1], "score": [score]}
 
-    return G.per_session(t, run, "session_id long, score double")
+@query(S + """, k AS (SELECT session_id, seq, signal, (signal - avg(signal) OVER w) * (signal - avg(signal) OVER w) / (count(*) OVER w * var_pop(signal) OVER w) AS ratio, count(*) OVER w AS n FROM s WINDOW w AS (PARTITION BY session_id)),
+e AS (SELECT session_id, quantile_cont(ratio, 0.05) AS best, quantile_cont(ratio, 0.95) AS worst FROM k GROUP BY session_id)
+SELECT session_id, seq, CASE WHEN n >= 5 THEN round(greatest(least((1 - (ratio - best) / (worst - best)) * 100, 100), 0), 5) END AS score FROM k JOIN e USING (session_id)""")
+def consistency_scores(spark, sf_dir):
+    """squared deviations of each session, scaled between their 5th and 95th percentiles."""
+    s = samples(spark, sf_dir).select("session_id", "seq", "signal")
+    return C.consistency(s, ["session_id"], "signal", "score").select("session_id", "seq", F.round("score", 5).alias("score"))
+
+
+@query()
+def consistency_of_two(spark, sf_dir):
+    """as above within the likelier of two normal components, found by expectation maximisation."""
+    s = samples(spark, sf_dir).select("session_id", "seq", "signal")
+    return C.consistency_of_two(s, ["session_id"], "signal", "score")
 
 
 @query()

@@ -77,12 +77,6 @@ def test_dickey_fuller_tells_noise_from_a_walk():
     assert G.dickey_fuller(np.ones(50)) == (-1.0, 0.0) == G.dickey_fuller(np.zeros(2))
 
 
-def test_density_symmetry():
-    x = np.random.default_rng(1).normal(size=300)
-    assert np.allclose(G.density_symmetry(x, x), 1)
-    assert G.density_symmetry(x, x + 20).mean() < 0.6
-
-
 def test_step_measures():
     pitch = np.radians(np.concatenate((np.linspace(10, 0, 20), np.linspace(0, 12, 30))))
     rise, rate = C.pelvic_tilt(pitch)
