@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stridelake.functions import quaternion as Q
+from stridelake.functions.lineage import new_folder
 from stridelake.functions.metadata import TRANSITIONS
 from stridelake.operators import calibrate, force, rates, signal
 from stridelake.operators import guards as G
@@ -88,15 +87,10 @@ def bad_steps(spark, sf_dir):
     return a.select("block_id", F.size("p").cast("long").alias("n"), G.bad_step(F.col("p")).alias("bad"))
 
 
-def _folder(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
-
-
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey = 2")
 def csv_export_and_scan(spark, sf_dir):
     """A table exported as CSV with a header, and scanned with its schema."""
-    folder = _folder(spark)
+    folder = new_folder(spark, "stage")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     records.export_csv(n, folder)
     return records.scan_csv(spark, folder, n.schema).where("n_regionkey = 2")
@@ -105,7 +99,7 @@ def csv_export_and_scan(spark, sf_dir):
 @query("SELECT c_mktsegment AS session_id, c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'")
 def stage_tables(spark, sf_dir):
     """A stage written by session, one session deleted and others read by projection."""
-    folder = _folder(spark)
+    folder = new_folder(spark, "stage")
     c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("session_id"), "c_custkey", "c_acctbal", "c_name")
     records.write_stage(c, folder, rows_a_file=500)
     records.delete_stage(spark, folder, F.col("session_id") == "MACHINERY")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from stridelake.functions import metadata as M
@@ -17,11 +17,50 @@ def content_dedupe(spark, sf_dir):
     return d.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
 
 
-@query()
+#: Times and fields of the records that are built from samples: every 13th time runs back, every 211th sample jumps by 400 s.
+_MS = "1700000000000 + seq * 10 - CASE WHEN event_id % 13 = 0 THEN 25 ELSE 0 END + CASE WHEN event_id % 211 = 0 THEN 400000 ELSE 0 END"
+_ACC = ("event_id", "event_id * 7", "seq * 31")
+_TURN = ("event_id * 3 % 2000", "8191 - seq", "event_id * 11 % 3000")
+_FLAG = "event_id % 16 * 8"
+
+
+def _hex_record() -> Column:
+    """A record of a sample as hex digits; the three sensors are alike but for the first field of their acceleration."""
+
+    def packed(values, shift=0):
+        one, two, three = (F.expr(v) for v in values)
+        return F.lpad(F.hex(F.shiftleft((one + shift) % 8192, 26) + F.shiftleft(two % 8192, 13) + three % 8192), 10, "0")
+
+    sensors = [F.concat(F.lpad(F.hex(F.expr(_FLAG)), 2, "0"), packed(_ACC, k * 1000), packed(_TURN)) for k in range(3)]
+    return F.concat(F.lpad(F.hex(F.expr(_MS) - records.EPOCH_MS), 10, "0"), F.lit("0000"), *sensors)
+
+
+def recording_parts(spark, sf_dir):
+    """Samples as uploads: the bytes of a session's records in parts of 130 bytes, one of them twice."""
+    rows = samples(spark, sf_dir).groupBy("session_id").agg(F.sort_array(F.collect_list(F.struct("seq", _hex_record().alias("r")))).alias("r"))
+    whole = rows.select("session_id", F.unhex(F.array_join(F.transform("r", lambda x: x["r"]), "")).alias("content"))
+    parts = records.chunk_by_bytes(whole, "content", 130).select("session_id", F.format_string("%09d", "part").alias("part"), F.col("chunk").alias("content"))
+    again = parts.where("part = '000000001'").withColumn("part", F.lit("000000001b"))
+    return parts.unionByName(again)
+
+
+def _decoded_sql() -> str:
+    signed = lambda e: f"((({e}) % 8192) - CASE WHEN ({e}) % 8192 >= 4096 THEN 8192 ELSE 0 END) * 8"
+    acc = ", ".join(f"CAST({signed(a if i else f'{a} + {k * 1000}')} * CASE WHEN event_id % 16 & 10 = 2 THEN 4 ELSE 1 END AS DOUBLE) AS acc_{k}_{c}" for k in range(3) for i, (a, c) in enumerate(zip(_ACC, "xyz")))
+    turn = ", ".join(f"{signed(e)} / 32767.0 AS q{c}" for e, c in zip(_TURN, "xyz"))
+    quat = ", ".join(f"CASE WHEN n > 1 THEN {'0.0' if c == 'w' else f'q{c} / sqrt(n)'} ELSE {'sqrt(greatest(1 - n, 0))' if c == 'w' else f'q{c}'} END AS quat_{k}_{c}" for k in range(3) for c in "wxyz")
+    still = ", ".join(f"CAST(event_id % 2 AS INTEGER) AS static_{k}" for k in range(3))
+    return S + f""", r AS (SELECT session_id, seq, event_id, {_MS} AS ms, {acc}, {turn}, {still} FROM s),
+t AS (SELECT *, qx * qx + qy * qy + qz * qz AS n, ms - lag(ms) OVER w AS d, lag(ms) OVER w AS a, lead(ms) OVER w AS b FROM r WINDOW w AS (PARTITION BY session_id ORDER BY seq)),
+j AS (SELECT *, min(CASE WHEN abs(d) > 300000 THEN seq END) OVER (PARTITION BY session_id) AS jump, max(CASE WHEN d < 0 THEN 1 ELSE 0 END) OVER (PARTITION BY session_id) AS back FROM t)
+SELECT session_id, seq, CASE WHEN d < 0 AND b IS NOT NULL THEN (a + b) // 2 ELSE ms END AS epoch_ms, CASE WHEN jump IS NOT NULL THEN 'LARGE_JUMP_DATA_TRUNCATED' WHEN back = 1 THEN 'SMALL_NEGATIVE_JUMP' END AS timestamp_error,
+{", ".join(f"acc_{k}_{c}" for k in range(3) for c in "xyz")}, {", ".join(f"static_{k}" for k in range(3))}, {quat} FROM j WHERE jump IS NULL OR seq < jump"""
+
+
+@query(_decoded_sql())
 def decoded_records(spark, sf_dir):
-    """The bytes of documents read as recordings, one session a source."""
-    d = table(spark, sf_dir, "documents").select(F.col("source").alias("session_id"), F.lpad(F.col("doc_id").cast("string"), 19, "0").alias("part"), F.col("text").cast("binary").alias("content"))
-    return records.decode(records.distinct_parts(d))
+    """Samples as 40-byte records in parts that split them, read back with repaired times."""
+    return records.decode(records.distinct_parts(recording_parts(spark, sf_dir)))
 
 
 @query()

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stridelake.functions.lineage import cut
+
 #: Fixed values of the format.
 RECORD, EPOCH_MS, SENSORS, SCALE, JUMP_MS = 40, 1_530_000_000_000, (7, 18, 29), 32767.0, 300_000
 
@@ -32,21 +34,41 @@ def _field(five: Column, shift: int) -> Column:
     return F.when(u >= 4096, (u - 8192) * 8).otherwise(u * 8)
 
 
+#: Rows of (session, part, place) are broadcast up to this number, so that contents do not move; beyond it they meet in a shuffle.
+BROADCAST_PARTS = 500_000
+
+
+def places(parts: DataFrame, session: str = "session_id", key: str = "part", content: str = "content") -> DataFrame:
+    """``session, key, begin, tail``: where each part's bytes begin in its session, and the 39 bytes that follow it.
+
+    Only lengths and the first 39 bytes of parts move.  Empty parts are left out; the bytes
+    that follow may come from several short parts.
+    """
+    body = F.col(content).cast("binary")
+    w = Window.partitionBy(session).orderBy(key)
+    small = parts.select(session, key, F.length(body).cast("long").alias("size"), F.substring(body, 1, RECORD - 1).alias("head")).where("size > 0")
+    begin = F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
+    heads = F.collect_list(F.hex("head")).over(w.rowsBetween(1, RECORD - 1))
+    return small.select(session, key, begin.alias("begin"), F.substring(F.unhex(F.array_join(heads, "")), 1, RECORD - 1).alias("tail"))
+
+
 def decode(parts: DataFrame, session: str = "session_id", key: str = "part", content: str = "content") -> DataFrame:
     """Samples of all parts, the bytes of a session's parts put one after the other by key.
 
-    A record that is split over two parts is whole again: record k of a session starts in
-    the part that holds its first byte, and that part brings the first bytes of the next.
+    A record that is split over parts is whole again: record k of a session starts in the
+    part that holds its first byte, and that part gets the first bytes of the next ones.
+    Contents stay where they are while the places of all parts can be broadcast.
     """
-    w = Window.partitionBy(session).orderBy(key)
-    placed = parts.select(session, key, F.col(content).cast("binary").alias("_c")).withColumn("_begin", F.coalesce(F.sum(F.length("_c")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    tail = F.coalesce(F.substring(F.lead("_c").over(w), 1, RECORD - 1), F.lit(b"").cast("binary"))
-    joined = placed.withColumn("_d", F.concat("_c", tail))
-    first = F.ceil(F.col("_begin") / RECORD)
-    last = F.ceil((F.col("_begin") + F.length("_c")) / RECORD) - 1
-    rows = joined.where(last >= first).select(session, "_begin", "_d", F.explode(F.sequence(first, last)).alias("seq"))
-    piece = F.substring(F.col("_d"), (F.col("seq") * RECORD - F.col("_begin") + 1).cast("int"), F.lit(RECORD))
-    cut = rows.select(session, "seq", piece.alias("_r")).where(F.length("_r") == RECORD)
+    where = cut(places(parts, session, key, content))
+    where = where.select(F.col(session).alias("_session"), F.col(key).alias("_key"), "begin", "tail")
+    if where.count() <= BROADCAST_PARTS:
+        where = F.broadcast(where)
+    met = parts.select(session, key, F.col(content).cast("binary").alias("_c")).join(where, F.col(session).eqNullSafe(F.col("_session")) & (F.col(key) == F.col("_key")))
+    first = F.ceil(F.col("begin") / RECORD)
+    last = F.ceil((F.col("begin") + F.length("_c")) / RECORD) - 1
+    whole = F.concat("_c", "tail")
+    cuts = F.transform(F.sequence(first, last), lambda k: F.struct(k.alias("seq"), F.substring(whole, (k * RECORD - F.col("begin") + 1).cast("int"), F.lit(RECORD)).alias("r")))
+    rows = met.where(last >= first).select(session, F.explode(cuts).alias("_x")).select(session, F.col("_x.seq").alias("seq"), F.col("_x.r").alias("_r")).where(F.length("_r") == RECORD)
     columns = [(_whole(F.col("_r"), 0, 5) + EPOCH_MS).alias("epoch_ms")]
     for k, at in enumerate(SENSORS):
         flag, acc, quat = (_whole(F.col("_r"), *x) for x in ((at, 1), (at + 1, 5), (at + 6, 5)))
@@ -57,7 +79,7 @@ def decode(parts: DataFrame, session: str = "session_id", key: str = "part", con
         square = sum((p * p for p in parts_[1:]), parts_[0] * parts_[0])
         columns.append(F.when(square > 1, F.lit(0.0)).otherwise(F.sqrt(F.greatest(1 - square, F.lit(0.0)))).alias(f"quat_{k}_w"))
         columns += [F.when(square > 1, p / F.sqrt(square)).otherwise(p).alias(f"quat_{k}_{c}") for c, p in zip("xyz", parts_)]
-    return repair_times(cut.select(session, "seq", *columns), session)
+    return repair_times(rows.select(session, "seq", *columns), session)
 
 
 def repair_times(samples: DataFrame, session: str = "session_id") -> DataFrame:
@@ -112,13 +134,24 @@ def scan_csv(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(folder)
 
 
-def delete_stage(spark: SparkSession, folder: str, sessions: Column, session: str = "session_id") -> None:
-    """Deletes the partitions of the chosen sessions; others are not touched."""
-    stage = spark.read.parquet(folder)
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    system = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for row in stage.where(sessions).select(F.substring_index(F.input_file_name(), "/", -2).alias("f")).select(F.substring_index("f", "/", 1).alias("f")).distinct().toLocalIterator():
-        system.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files, row["f"]), True)
+def delete_stage(spark: SparkSession, folder: str, sessions: Column, session: str = "session_id") -> int:
+    """Deletes the partitions of the chosen sessions, and returns their number; others are not touched.
+
+    Partitions are known by their folders, whose names are escaped; a folder that cannot be
+    deleted is an error.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    names = [s.getPath().getName() for s in system.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith(f"{session}=")]
+    values = [(name, None if name.endswith("=__HIVE_DEFAULT_PARTITION__") else utils.unescapePathName(name.partition("=")[2])) for name in names]
+    kind = spark.read.parquet(folder).schema[session].dataType
+    chosen = spark.createDataFrame(values, f"_name string, `{session}` string").withColumn(session, F.col(session).cast(kind)).where(sessions).select("_name").collect()
+    for row in chosen:
+        if not system.delete(jvm.org.apache.hadoop.fs.Path(f"{root.toString()}/{row['_name']}"), True):
+            raise OSError(f"could not delete {row['_name']} of {folder}")
+    return len(chosen)
 
 
 def chunk_at(samples: DataFrame, boundaries: DataFrame, session: str = "session_id") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stridelake.functions import metadata as M
 from stridelake.functions import quaternion as Q
+from stridelake.sources import recordings as R
 from stridelake.sources import records
 from stridelake.streaming import sessions as ST
 
@@ -35,6 +36,95 @@ def test_decode_split_and_repeated_parts(spark):
             assert abs(sum(x * x for x in q) - 1) < 1e-9 and abs(q[1] - np.clip(quat[0] * 8 / 32767, -1, 1)) < 1e-9
 
 
+def recording(n, seed=0, start=1000):
+    rng = np.random.default_rng(seed)
+    return b"".join(record(start + 10 * i, [(int(rng.integers(0, 256)), rng.integers(-4096, 4096, 3).tolist(), rng.integers(-3000, 3000, 3).tolist()) for _ in range(3)]) for i in range(n))
+
+
+def upload(folder, session, data, sizes, millis=1_700_000_000_000):
+    """Files of the given sizes; the rest goes into the last one."""
+    at = 0
+    for k, size in enumerate([*sizes, len(data) - sum(sizes)]):
+        with open(f"{folder}/{session}_{millis + k}", "wb") as f:
+            f.write(data[at : at + size])
+        at += size
+
+
+def test_places_move_no_contents(spark):
+    data = recording(12)
+    parts = [("s", f"p{k:02d}", data[a:b]) for k, (a, b) in enumerate([(0, 70), (70, 71), (71, 71), (71, 75), (75, 76), (76, 300), (300, 480)])] + [(None, "x", data[:45]), ("s", "p99", None)]
+    df = spark.createDataFrame(parts, "session_id string, part string, content binary")
+    got = {(r["session_id"], r["part"]): (r["begin"], bytes(r["tail"])) for r in records.places(df).collect()}
+    for session, part, content in parts:
+        if content:
+            begin = sum(len(c or b"") for s, p, c in parts if s == session and p < part)
+            whole = b"".join(c or b"" for s, p, c in parts if s == session)
+            assert got.pop((session, part)) == (begin, whole[begin + len(content) :][:39])
+    assert not got
+    out = records.decode(df)
+    assert sorted((r["session_id"] or "", r["seq"]) for r in out.collect()) == [("", 0)] + [("s", k) for k in range(12)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_named_format_equals_decode(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    upload(folder, "a_b", recording(700), [130, 1, 0, 39, 40, 8000, 3])
+    upload(folder, "c", recording(5, 1)[:-7], [], millis=5)
+    (folder / "notes.txt").write_bytes(b"x" * 100)
+    (folder / "empty_1").write_bytes(b"")
+    spark.dataSource.register(R.Recordings)
+    own = spark.read.format("recordings").option("recordsPerPartition", 64).load(str(folder))
+    parts = records.read_parts(spark, str(folder)).where("part != 'notes.txt'")
+    other = records.decode(parts)
+    columns = ["session_id", "seq", *R.COLUMNS]
+    rows = lambda df: sorted(map(tuple, df.select(*columns).collect()))
+    mine, theirs = rows(records.repair_times(own)), rows(other)
+    assert len(mine) == 704 and [r[:2] for r in mine] == [r[:2] for r in theirs]
+    assert np.allclose(np.array([r[2:] for r in mine], float), np.array([r[2:] for r in theirs], float), atol=1e-12)
+    assert own.rdd.getNumPartitions() == 12
+    none = tmp_path / "none"
+    none.mkdir()
+    assert spark.read.format("recordings").load(str(none)).collect() == []
+
+
+def test_stream_completes_records(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    spark.dataSource.register(R.Recordings)
+    data, other = recording(50), recording(20, 2)
+
+    def run():
+        stream = spark.readStream.format("recordings").load(f"file://{folder}")
+        q = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        return sorted((r["session_id"], r["seq"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    upload(folder, "s", data[:170], [100], millis=1000)
+    assert run() == [("s", k) for k in range(4)]
+    upload(folder, "s", data[170:1000], [25, 5], millis=2000)
+    upload(folder, "t", other[:90], [], millis=2500)
+    assert run() == [("s", k) for k in range(25)] + [("t", k) for k in range(2)]
+    upload(folder, "t", other[90:], [], millis=3000)
+    upload(folder, "s", data[1000:], [], millis=3001)
+    assert run() == [("s", k) for k in range(50)] + [("t", k) for k in range(20)]
+    out = spark.read.parquet(f"{tmp_path}/out").where("session_id = 's'").orderBy("seq").collect()
+    whole = R.columns_of(np.frombuffer(data, np.uint8).reshape(-1, 40))
+    assert np.allclose([[r[c] for c in R.COLUMNS] for r in out], np.stack([c.to_numpy() for c in whole], 1))
+
+
+def test_stages_are_deleted_by_any_name(spark, tmp_path):
+    names = ["A B", "C:D", "50%", "x=y", "é/ü", "%41", "plain", None, "keep"]
+    df = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "session_id string, x int")
+    records.write_stage(df, f"{tmp_path}/t")
+    for name in names[:-1]:
+        assert records.delete_stage(spark, f"{tmp_path}/t", F.col("session_id").eqNullSafe(name)) == 1
+        left = {r["session_id"] for r in spark.read.parquet(f"{tmp_path}/t").collect()}
+        assert left == set(names[names.index(name) + 1 :])
+    assert records.delete_stage(spark, f"{tmp_path}/t", F.col("session_id") == "nobody") == 0
+
+
 def test_time_repair(spark):
     df = spark.createDataFrame([("a", i, t) for i, t in enumerate([0, 10, 5, 30, 40])] + [("b", i, t) for i, t in enumerate([0, 10, 400_000, 400_010])], "session_id string, seq long, epoch_ms long")
     out = records.repair_times(df).orderBy("session_id", "seq").collect()
