@@ -10,7 +10,8 @@ penalty for switching, labels spans; it runs over all texts of a batch at once,
 word, longest texts first.
 
 The predicted language is the one with most bytes in its spans, the score their share; ties
-go to the first language in alphabetical order.
+go to the first language in alphabetical order.  A text of letters that tell nothing (of a
+script that no language uses, say) goes there as well, with an even share as its score.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0 and no spans; so is
 every text when nothing was learned.  Very long texts take time linear in their length.
@@ -166,7 +167,7 @@ def _predict(model: Model, penalty: float, with_spans: bool):
                 start, end, row, scores = word_scores(model, part, off)
                 n = j - i
                 lettered = np.zeros(n, bool)
-                lettered[np.unique(np.searchsorted(off, np.flatnonzero(_SCRIPT[part] == 0), "right") - 1)] = True
+                lettered[np.unique(np.searchsorted(off, np.flatnonzero((part | 32) - np.uint8(97) < 26), "right") - 1)] = True
                 for r in np.flatnonzero(~lettered):
                     lettered[r] = any(c.isalpha() for c in part[off[r] : off[r + 1]].tobytes().decode("utf-8", "replace"))
                 langs, share, spans = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
@@ -176,7 +177,9 @@ def _predict(model: Model, penalty: float, with_spans: bool):
                     weight = np.bincount(row * len(names) + label, weights=end - start, minlength=n * len(names)).reshape(n, len(names))
                     best = weight.argmax(1)
                     total = weight.sum(1)
-                    share = np.where(lettered & (total > 0), weight[np.arange(n), best] / np.maximum(total, 1), 0.0)
+                    told = np.bincount(row, weights=scores.any(1), minlength=n) > 0
+                    share = np.where(told, weight[np.arange(n), best] / np.maximum(total, 1), 1 / len(names))
+                    share = np.where(lettered & (total > 0), share, 0.0)
                     langs = [names[b] if ok else "und" for b, ok in zip(best, lettered)]
                     if with_spans:
                         cut = np.flatnonzero(np.concatenate(([True], (label[1:] != label[:-1]) | (row[1:] != row[:-1]))))

@@ -43,3 +43,20 @@ def test_edges_and_spans(spark):
     none = li.Model([], np.zeros((0, li.BUCKETS), np.float32), np.zeros((9, 0), bool))
     assert {r["lang_pred"] for r in li.predict(docs, none).collect()} == {"und"}
     assert li.predict(docs.where("false"), model).count() == 0
+
+
+def test_signs_are_no_letters_and_unknown_letters_tell_nothing(spark):
+    model = li.fit(spark.createDataFrame([("the quick brown fox " * 20, "en"), ("le renard brun et rapide " * 20, "fr")], "text string, lang string"))
+    texts = ["× 5 ÷ 3", "12 × 7", "ქართული ენა", "é", "the quick ქართული fox", "the fox", "the fox"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in li.predict(docs, model).collect()}
+    assert got[0] == got[1] == ("und", 0.0)
+    assert got[2] == ("en", 0.5) and got[3][0] in ("en", "fr")
+    assert got[4][0] == "en" and got[4][1] == 1.0
+    assert got[5] == got[6]  # repeated rows are judged alike
+
+
+def test_ties_go_to_the_first_language(spark):
+    same = "word after word " * 20
+    model = li.fit(spark.createDataFrame([(same, "b"), (same, "a")], "text string, lang string"))
+    assert li.predict(spark.createDataFrame([(1, "word after")], "doc_id long, text string"), model).first()["lang_pred"] == "a"
