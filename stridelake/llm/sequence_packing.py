@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -36,7 +37,9 @@ from pyspark.sql import functions as F
 
 from stridelake.llm import tables, textbytes
 
-CAPACITY, END_ID, SALTS = 2048, 0, 64
+CAPACITY, END_ID = 2048, 0
+#: Pieces of one length that are numbered in one task, about.
+NUMBERED = 500_000
 #: Words whose ids a worker remembers (about 200 bytes each); beyond that it forgets those not seen since.
 REMEMBERED = 150_000
 #: Bytes of text that are split to words at once (a longer text stands alone).
@@ -50,7 +53,8 @@ class WordIds(dict):
     The tokenizer drops white space and never joins across it, so a text's ids are those of
     its words in a row.  New words of Latin letters are merged in bulk: a byte-pair library
     that ranks tokens gets the same merges, with END standing for the end of a piece.  All
-    other words, and words that hold END, go through the tokenizer itself.
+    other words, and words that hold END, go through the tokenizer itself; so do whole texts
+    that hold one of its added tokens, which may take white space with them.
     """
 
     END = "\x01"
@@ -61,7 +65,9 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = {t[0] for t in added}
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -119,6 +125,13 @@ class WordIds(dict):
             ids = self.id_of[ranks].tobytes()
             self.update((w, ids[a:b]) for w, a, b in zip(part, edges, edges[1:]))
 
+    def holds_added(self, texts: list[str]) -> list[bool]:
+        """Which texts hold an added token, in any case?"""
+        joined = "".join(texts)
+        if not any(m in joined for m in self.marks):
+            return [False] * len(texts)
+        return [self.added.search(t) is not None for t in texts]
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -147,6 +160,7 @@ def _pieces(vocabulary: str, capacity: int, with_ids: bool):
                 part = batch.slice(first_row, stop - first_row)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 odd = [t if len(t.translate(_CONTROLS)) != len(t) else None for t in texts] if any(c in "".join(texts) for c in "\x1c\x1d\x1e\x1f") else [None] * len(texts)
+                odd = [t if added else o for t, o, added in zip(texts, odd, known.holds_added(texts))]
                 split = [[] if o else t.split() for t, o in zip(texts, odd)]
                 known.learn(split)
                 out: list[tuple] = []
@@ -257,7 +271,7 @@ def _slots(plan: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarra
 def _place(slots: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "_rank"))
+            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in (batch.schema.get_field_index("length"), batch.num_columns - 1))
             sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
             for size in np.unique(length):
                 own = np.flatnonzero(length == size)
@@ -265,8 +279,7 @@ def _place(slots: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
                 at = np.searchsorted(first, rank[own], "right") - 1
                 sequence[own] = base[at] + rank[own] - first[at]
                 offset[own] = place[at]
-            keep = batch.drop_columns(["_rank"])
-            yield pa.RecordBatch.from_arrays([*keep.columns, pa.array(sequence), pa.array(offset)], [*keep.schema.names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequence), pa.array(offset)], [*batch.schema.names[:-1], "sequence_id", "offset"])
 
     return run
 
@@ -276,16 +289,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     ``pieces`` is read twice; hand in a table or a checkpoint.
     """
-    salted = pieces.withColumn("_salt", tables.block_of(F.struct("doc_id", "piece"), SALTS))
-    counts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    # Each length is numbered by as many tasks as its pieces need; the array has ``capacity`` numbers.
+    tasks = F.array(*(F.lit(1 + histogram.get(size, 0) // NUMBERED) for size in range(1, capacity + 1)))
+    columns = pieces.columns
+    salted = pieces.select(F.struct(*columns).alias("row"), "length", F.pmod(F.xxhash64("doc_id", "piece"), F.get(tasks, (F.col("length") - 1).cast("int"))).cast("int").alias("_salt"))
+    counts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    own = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")
+    own = Window.partitionBy("length", "_salt").orderBy("row.doc_id", "row.piece")
     ranked = salted.withColumn("_own", F.row_number().over(own) - 1).join(offsets, ["length", "_salt"])
-    columns = pieces.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
-    ready = ranked.select(*columns, (F.col("_before") + F.col("_own")).alias("_rank"))
+    ready = ranked.select(*(F.col(f"row.`{c}`") for c in columns), (F.col("_before") + F.col("_own")).alias("_rank"))
     return ready.mapInArrow(tables.lean_batches(_place(_slots(packing_plan(histogram, capacity)))), schema)
 
 

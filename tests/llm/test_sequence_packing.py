@@ -66,7 +66,6 @@ def test_pieces_and_places(spark):
     pieces = sp.token_pieces(docs, PATH, capacity=64)
     rows = sp.pack(pieces.cache(), 64).collect()
     t = tokenizers.Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     for k, text in texts.items():
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]
         own = sorted((r for r in rows if r["doc_id"] == k), key=lambda r: r["piece"])
@@ -98,6 +97,33 @@ def test_bulk_words_equal_the_tokenizer():
     known = sp.WordIds(PATH)
     known.learn([words])
     t = tokenizers.Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     for w, e in zip(words, t.encode_batch_fast(words, add_special_tokens=False)):
         assert np.frombuffer(known[w], "<u4").tolist() == e.ids, w
+
+
+def test_added_tokens_as_the_tokenizer_takes_them(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    texts = ["hello <|endoftext|> world", "x<|startoftext|>y", "a <|ENDOFTEXT|> b", "<|", "<|endoftext|>" * 3, "no token", "a\x1c<|endoftext|>\x1fb", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sp.token_pieces(docs, path).collect():
+        assert np.frombuffer(r["ids"], "<u4").tolist() == [*plain.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 0]
+
+
+def test_numbers_are_dealt_out_and_clashing_names_pass(spark, monkeypatch):
+    monkeypatch.setattr(sp, "NUMBERED", 7)
+    rows = [(k // 3, k % 3, 0, 1 + k % 4 * 300, k, "a", "b") for k in range(200)] + [(None, 0, 0, 5, 5, "a", "b")] * 3
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, _salt int, _own string, row string")
+    out = sp.pack(pieces).collect()
+    assert len(out) == 203 and sorted(str(tuple(r)[:7]) for r in out) == sorted(map(str, rows))
+    places = {}
+    for r in out:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in places.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= sp.CAPACITY
