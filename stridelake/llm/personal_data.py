@@ -153,22 +153,24 @@ def find(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with each span of ``found`` replaced by its kind in brackets; ``key`` must be unique and not null."""
-    spans = found.select(F.col("doc_id").alias("_key"), F.concat("base", "found").alias("_spans"))
+    own, extra = tables.fresh(docs, "_key"), tables.fresh(docs, "_spans")
+    spans = found.select(F.col("doc_id").alias(own), F.concat("base", "found").alias(extra))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            new = [masked(t, s or []) for t, s in zip(batch.column(at).to_pylist(), batch.column("_spans").to_pylist())]
-            yield batch.set_column(at, text, pa.array(new, pa.string())).drop_columns(["_spans"])
+            new = [masked(t, s or []) for t, s in zip(batch.column(at).to_pylist(), batch.column(extra).to_pylist())]
+            yield batch.set_column(at, text, pa.array(new, pa.string())).drop_columns([extra])
 
-    joined = docs.join(spans, docs[key] == spans["_key"], "left").drop("_key")
+    joined = docs.join(spans, docs[key] == spans[own], "left").drop(own)
     return joined.mapInArrow(tables.lean_batches(run), docs.schema)
 
 
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with the personal data of each row replaced, whatever its ``doc_id``."""
-    numbered = tables.cut(docs.withColumn("_row", F.monotonically_increasing_id()))
-    return redact(numbered, find(numbered.select(F.col("_row").alias("doc_id"), "text")), "_row").drop("_row")
+    row = tables.fresh(docs, "_row")
+    numbered = tables.cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    return redact(numbered, find(numbered.select(F.col(row).alias("doc_id"), "text")), row).drop(row)
 
 
 def masked(text: str | None, spans: list[dict]) -> str | None:

@@ -66,7 +66,8 @@ def clean_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """
     own = [c for c in df.columns if c.lower() not in {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "n_chars_removed", "clean_text"}]
     whole = F.coalesce(F.col(text), F.lit(""))
-    split = df.select(*own, whole.alias("_t"), F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)).alias("_w"), F.split(whole, "\n", -1).alias("_l"))
+    # The row goes along as one column, so that no name of it can meet a helper's.
+    split = df.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"), whole.alias("_t"), F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)).alias("_w"), F.split(whole, "\n", -1).alias("_l"))
     sorted_windows = split.withColumn("_s", _repeat_words(F.col("_w")))
     # Equal windows are neighbours after the sort; their places, sorted, tell how many words they cover.
     s = F.col("_s")
@@ -76,7 +77,7 @@ def clean_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     gaps = F.aggregate(F.zip_with(p, F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), lambda a, b: F.least(F.coalesce(b - a, F.lit(3)), F.lit(3))), F.lit(0).cast("long"), lambda total, x: total + x)
     worded = F.filter(F.col("_l"), lambda line: line.rlike(WORD))
     counted = twice.select(
-        *own, "_t", "_l",
+        "row", "_t", "_l",
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         (F.length("_t") - F.length(F.regexp_replace("_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -85,13 +86,14 @@ def clean_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         F.filter(F.col("_l"), lambda line: ~_fails(line, F.size("_l") == 1)).alias("_good"),
     )
     judged = counted.select(
-        *own, "_t", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "row", "_t", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)).alias("base_failed"),
         (F.size("_l") - F.size("_good")).cast("long").alias("n_lines_removed"),
         F.array_join("_good", "\n").alias("clean_text"),
     )
     lost = judged.withColumn("n_chars_removed", (F.length("_t") - F.length("clean_text")).cast("long"))
-    return lost.withColumn("kept", ~F.col("base_failed") & (F.col("n_chars_removed") * 100 <= F.length("_t") * MAX_LOST_PERCENT)).drop("_t")
+    kept = ~F.col("base_failed") & (F.col("n_chars_removed") * 100 <= F.length("_t") * MAX_LOST_PERCENT)
+    return lost.select(*(F.col(f"row.`{c}`") for c in own), *(c for c in lost.columns if c not in {"row", "_t"}), kept.alias("kept"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,10 +24,21 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests on
-    one machine) a folder of the warehouse is taken.
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset on one machine
+    (tests) a folder of the warehouse is taken.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -67,3 +67,11 @@ def test_null_and_repeated_ids_are_masked(spark, tmp_path):
     told = [(r["doc_id"], r["spans"]) for r in pd_.op7_personal_data(spark, str(tmp_path)).collect()]
     wanted = [(i, "found:25:65") for i, _, _ in rows] + [(None, "email:5:13"), (None, "found:16:31"), (7, "phone:5:22"), (7, "email:0:9"), (7, "email:0:9"), (None, "")]
     assert sorted(told, key=key) == sorted(wanted, key=key)
+
+
+def test_names_of_helpers_pass_and_long_texts_are_whole(spark):
+    text = "plain words " * 60_000 + "mail me@example.org now"
+    df = spark.createDataFrame([(1, text, 7, "k", "s"), (2, None, 8, "k", "s")], "doc_id long, text string, _row int, _key string, _spans string")
+    got = {r["doc_id"]: r for r in pd_.redacted(df).collect()}
+    assert got[1]["text"] == text.replace("me@example.org", "[EMAIL]") and got[2]["text"] is None
+    assert [(r["_row"], r["_key"], r["_spans"]) for r in (got[1], got[2])] == [(7, "k", "s"), (8, "k", "s")]

@@ -74,3 +74,10 @@ def test_long_texts(spark, unit):
 
 def test_empty_table(spark):
     assert qr.clean_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_names_of_helpers_pass(spark):
+    names = ["_t", "_w", "_l", "_s", "_p", "_good", "row", "x"]
+    df = spark.createDataFrame([(1, "some words here\nand more of them #", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = qr.clean_lines(df).first()
+    assert [out[n] for n in names] == names and out["n_words"] == 8 and list(out.asDict())[:10] == ["doc_id", "text", *names]
