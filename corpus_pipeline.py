@@ -30,8 +30,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, without their failing lines."""
     # The row number keeps the verdict's long expressions in one place: a filter on them alone
     # would be pushed down through every projection, copying them at each step.
-    judged = quality_rules.clean_lines(docs).withColumn("_row", F.monotonically_increasing_id())
-    kept = judged.where("kept AND _row >= 0").withColumn("text", F.col("clean_text"))
+    row = tables.fresh(docs, "_row")
+    judged = quality_rules.clean_lines(docs).withColumn(row, F.monotonically_increasing_id())
+    kept = judged.where(F.col("kept") & (F.col(row) >= 0)).withColumn("text", F.col("clean_text"))
     return _counted(kept, docs.columns)
 
 
