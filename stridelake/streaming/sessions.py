@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stridelake.functions.metadata import TRANSITIONS, changed
 from stridelake.sources.records import upsert
+from stridelake.streaming.online import online_blocks
 
 
 def uploads(spark: SparkSession, folder: str, schema: str) -> DataFrame:
@@ -49,35 +46,10 @@ def tumbling(stream: DataFrame, at: str, width: str, delay: str, key: str = "ses
     return stream.withWatermark(at, delay).groupBy(key, F.window(at, width)).agg(F.count("*").alias("n"), F.avg("signal").alias("mean"))
 
 
-def online_ranges(stream: DataFrame, key: str = "session_id", closes_after_ms: int = 3_600_000) -> DataFrame:
-    """Ranges of set flags, told when they close; ``seq`` must rise within a key.
-
-    State per key is the start and end of the open run.  A key that is silent for so long
-    closes its run.
-    """
-    schema = f"{key} long, start long, end long"
-
-    def run(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, end = state.get if state.exists else (-1, -1)
-        out = []
-        if state.hasTimedOut:
-            if start >= 0:
-                out.append((k[0], start, end))
-            state.remove()
-        else:
-            rows = pd.concat(list(batches)).sort_values("seq")
-            for seq, flag in zip(rows["seq"], rows["flag"]):
-                if flag and start >= 0 and seq == end:
-                    end = seq + 1
-                    continue
-                if start >= 0:
-                    out.append((k[0], start, end))
-                start, end = (seq, seq + 1) if flag else (-1, -1)
-            state.update((int(start), int(end)))
-            state.setTimeoutDuration(closes_after_ms)
-        yield pd.DataFrame(out, columns=[key, "start", "end"])
-
-    return stream.groupBy(key).applyInPandasWithState(run, schema, "start long, end long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+def online_ranges(stream: DataFrame, at: str, delay: str, key: str = "session_id", silence_ms: int = 3_600_000) -> DataFrame:
+    """Ranges of set flags, told when they close; a key that is silent for so long closes its range."""
+    found = online_blocks(stream, at, delay, 0, 1 << 40, silence_ms, key)
+    return found.where("kind = 'range'").select(key, "start", "end")
 
 
 def apply_changes(current: DataFrame, batch: DataFrame, key: str = "session_id", status: str = "session_status") -> DataFrame:
