@@ -95,7 +95,10 @@ def test_ranges_of_a_stream(spark, tmp_path, store):
     assert sorted((r["start"], r["end"]) for r in spark.table("online_ranges").collect()) == [(0, 22), (23, 24)]
 
 
-def test_other_state_stores_are_refused(spark, tmp_path):
+def test_other_state_stores_are_refused(spark, tmp_path, store):
+    name = "spark.sql.streaming.stateStore.providerClass"
     frame(spark, rows_of(1, 3)).write.parquet(f"{tmp_path}/in")
+    spark.conf.set(name, "other")
     with pytest.raises(ValueError):
         O.online_blocks(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in"), "at", "0 seconds", 1, 1, 1)
+    spark.conf.set(name, O.PROVIDER)
