@@ -40,24 +40,25 @@ from stridelake.llm import tables, textbytes
 CAPACITY, END_ID = 2048, 0
 #: Pieces of one length that are numbered in one task, about.
 NUMBERED = 500_000
-#: Words whose ids a worker remembers (about 200 bytes each); beyond that it forgets those not seen since.
-REMEMBERED = 150_000
+CONTROLS = re.compile("[\x1c-\x1f]")
 #: Bytes of text that are split to words at once (a longer text stands alone).
 SLICE_BYTES = 1 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-class WordIds(dict):
-    """Ids of white-space separated words, as little-endian 32-bit bytes.
+class TextIds:
+    """Ids of texts, as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of
-    its words in a row.  New words of Latin letters are merged in bulk: a byte-pair library
-    that ranks tokens gets the same merges, with END standing for the end of a piece.  All
-    other words, and words that hold END, go through the tokenizer itself; so do whole texts
-    that hold one of its added tokens, which may take white space with them.
+    its pieces in a row.  The pieces of many texts are merged in bulk: a byte-pair library
+    that ranks tokens gets the same merges, with END standing for the end of a piece.  Words
+    of other than Latin letters go through the tokenizer itself, and HERE keeps their place;
+    so do whole texts that hold one of its added tokens, which may take white space with
+    them.
     """
 
-    END = "\x01"
+    END, HERE = "\x01", "\x02"
+    OTHER = re.compile("[\x01\x02\u0250-\U0010ffff]")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,8 +67,7 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marks = {t[0] for t in added}
-        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE)
+        self.added = re.compile("|".join(map(re.escape, added)))
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -93,7 +93,6 @@ class WordIds(dict):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             ranks.setdefault(raw(left + right), 512 + i)
         self.encoding = tiktoken.Encoding("words", pat_str=f"[^{self.END}]*{self.END}", mergeable_ranks=ranks, special_tokens={})
-        self.old: dict[str, bytes] = {}
         special = set(self.tokenizer.get_added_tokens_decoder())
         known = {raw(t): i for t, i in model["vocab"].items() if i not in special}
         self.id_of = np.zeros(max(ranks.values()) + 1, "<u4")
@@ -102,70 +101,74 @@ class WordIds(dict):
             self.id_of[rank] = known.get(token, 0)
             self.ends[rank] = token.endswith(end)
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.old[word]
-        return ids
-
-    def learn(self, texts: list[list[str]]) -> None:
-        if len(self) > REMEMBERED // 2:
-            self.old = dict(self)
-            self.clear()
-        new = {w for words in texts for w in words if w not in self and w not in self.old}
-        rare = [w for w in new if not w.isascii() and max(w) >= "\u0250" or self.END in w]
-        plain = list(new.difference(rare))
-        for w, e in zip(rare, self.tokenizer.encode_batch_fast(rare, add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
-            pieces = [self.pieces.findall(w.lower()) for w in part]
-            joined = self.END.join(x for own in pieces for x in own) + self.END
-            ranks = np.array(self.encoding.encode_ordinary(joined), np.int64)
-            stop = np.concatenate(([0], np.flatnonzero(self.ends[ranks]) + 1))
-            edges = (stop[np.concatenate(([0], np.cumsum([len(own) for own in pieces])))] * 4).tolist()
-            ids = self.id_of[ranks].tobytes()
-            self.update((w, ids[a:b]) for w, a, b in zip(part, edges, edges[1:]))
-
-    def holds_added(self, texts: list[str]) -> list[bool]:
-        """Which texts hold an added token, in any case?"""
-        joined = "".join(texts)
-        if not any(m in joined for m in self.marks):
-            return [False] * len(texts)
-        return [self.added.search(t) is not None for t in texts]
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-
-_known: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
-    """The worker's memory of a vocabulary; workers serve many tasks."""
+        self.here = ranks[(self.HERE + self.END).encode()]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        out: list[bytes] = [b""] * len(texts)
+        pieces: list[str] = []
+        counts, others = [], []
+        for k, text in enumerate(texts):
+            before = len(pieces)
+            if self.takes_whole(text):
+                out[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            elif text.isascii() and self.END not in text and self.HERE not in text or not self.OTHER.search(text):
+                pieces += self.pieces.findall(text.lower())
+            else:
+                for word in text.split():
+                    if self.OTHER.search(word):
+                        pieces.append(self.HERE)
+                        others.append(word)
+                    else:
+                        pieces += self.pieces.findall(word.lower())
+            counts.append(len(pieces) - before)
+        if not pieces:
+            return out
+        ranks = self.encoding.encode_to_numpy(self.END.join(pieces) + self.END)
+        stop = np.concatenate(([0], np.flatnonzero(self.ends[ranks]) + 1))
+        edges = stop[np.concatenate(([0], np.cumsum(counts)))].tolist()
+        found = self.id_of[ranks]
+        places = np.flatnonzero(ranks == self.here) if others else []
+        known = dict.fromkeys(others)
+        for word, e in zip(known, self.tokenizer.encode_batch_fast(list(known), add_special_tokens=False)):
+            known[word] = np.array(e.ids, "<u4").tobytes()
+        at = 0
+        for k, (a, b) in enumerate(zip(edges, edges[1:])):
+            if a == b:
+                continue
+            parts = []
+            while at < len(places) and places[at] < b:
+                parts += [found[a : places[at]].tobytes(), known[others[at]]]
+                a, at = places[at] + 1, at + 1
+            out[k] = b"".join((*parts, found[a:b].tobytes()))
+        return out
+
+    def takes_whole(self, text: str) -> bool:
+        """Does the text hold an added token, or a control at which str.split() divides words although it is no white space to the tokenizer?"""
+        return self.added.search(text) is not None or CONTROLS.search(text) is not None
+
+
+_known: dict[str, TextIds] = {}
+
+
+def text_ids(path: str) -> TextIds:
+    """The worker's vocabulary; workers serve many tasks."""
     if path not in _known:
-        _known[path] = WordIds(path)
+        _known[path] = TextIds(path)
     return _known[path]
 
 
-#: Controls at which str.split() divides words although they are no white space to the tokenizer.
-_CONTROLS = str.maketrans("", "", "\x1c\x1d\x1e\x1f")
-
-
 def _pieces(vocabulary: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = word_ids(vocabulary)
+        known = text_ids(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             edges = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())))
             for first_row, stop in textbytes.pieces(edges, SLICE_BYTES):
                 part = batch.slice(first_row, stop - first_row)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                odd = [t if len(t.translate(_CONTROLS)) != len(t) else None for t in texts] if any(c in "".join(texts) for c in "\x1c\x1d\x1e\x1f") else [None] * len(texts)
-                odd = [t if added else o for t, o, added in zip(texts, odd, known.holds_added(texts))]
-                split = [[] if o else t.split() for t, o in zip(texts, odd)]
-                known.learn(split)
                 out: list[tuple] = []
-                for doc, words, o in zip(part.column(0).to_pylist(), split, odd):
-                    ids = (known.whole(o) if o else b"".join(map(known.__getitem__, words))) + end
+                for doc, own_ids in zip(part.column(0).to_pylist(), known.ids([t or "" for t in part.column(1).to_pylist()])):
+                    ids = own_ids + end
                     for piece, first in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[first : first + 4 * capacity]
                         out.append((doc, piece, first // 4, len(own) // 4, zlib.crc32(own), own if with_ids else None))

@@ -94,11 +94,11 @@ def test_bulk_words_equal_the_tokenizer():
 
     texts = [t or "" for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()]
     words = sorted({w for t in texts for w in t.split()})[::3] + ["É's", "ẞtraße", "İx", "漢字ab", "a\x01b", "don't've", "x1_2y", "ΣΑΣ", "é́"]
-    known = sp.WordIds(PATH)
-    known.learn([words])
+    known = sp.TextIds(PATH)
     t = tokenizers.Tokenizer.from_file(PATH)
-    for w, e in zip(words, t.encode_batch_fast(words, add_special_tokens=False)):
-        assert np.frombuffer(known[w], "<u4").tolist() == e.ids, w
+    for some in (words, texts, ["", *(" ".join(words[k::97]) + "\u2028\xa0x" for k in range(97)), "a\x02 b\x02 漢 c", ""]):
+        for w, got, e in zip(some, known.ids(some), t.encode_batch_fast(some, add_special_tokens=False)):
+            assert np.frombuffer(got, "<u4").tolist() == e.ids, w
 
 
 def test_added_tokens_as_the_tokenizer_takes_them(spark):
