@@ -14,8 +14,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stridelake.operators.phases import clean_force, low_passed
 from stridelake.operators.ranges import KEY, SEQ, by_seq
 from stridelake.operators.signal import filter_data, per_session
+from stridelake.sources.models import apply_model
 
 SIDES = ("lf", "hip", "rf")
 _SHARP = (("lf", "z"), ("hip", "x"), ("hip", "y"), ("hip", "z"), ("rf", "z"))
@@ -58,6 +60,22 @@ def predict(found: DataFrame, weights: dict[str, dict[str, float]]) -> DataFrame
     return found.withColumns({out: F.greatest(sum(F.col(f) * F.lit(v) for f, v in own.items()), F.lit(0.0)) for out, own in weights.items()})
 
 
+def forces(df: DataFrame, mass_kg: float, scaler: str, model: str, outputs: tuple[str, str, str] = ("grf_lf", "grf_rf", "grf"), key: str = KEY, seq: str = SEQ) -> DataFrame:
+    """Samples with clean forces and contacts (F10, F11, F12), by the scaler and model at two paths.
+
+    Features go through the 6 Hz low-pass, the model's forces through one of 18 Hz; then
+    thresholds, gaps and contacts are cleaned by weight.  Samples without features take the
+    force before them.  The model may take ``mass`` as its last feature.
+    """
+    weight = mass_kg * 9.807 / 1000
+    found = smoothed(features(df, F.lit(weight), key, seq), key=key, seq=seq)
+    predicted = apply_model(found, scaler, model, [*FEATURES, "mass"], list(outputs)).select(key, seq, *outputs)
+    filtered = low_passed(predicted, list(outputs), key=key, seq=seq)
+    whole = df.select(key, seq).join(filtered, [key, seq], "left")
+    left, right, total = outputs
+    return clean_force(whole, total, left, right, F.lit(weight), key, seq)
+
+
 def predict_with(found: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], outputs: list[str]) -> DataFrame:
     """Adds the outputs of a model that takes batches of features; the model travels with the tasks."""
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stridelake.operators.ranges import KEY, SEQ, by_seq, fill_short_runs, with_runs
-from stridelake.operators.signal import filter_data
+from stridelake.operators.signal import filter_data, per_session
 from stridelake.operators.windows import forward_fill
 
 #: Phases of a foot.
@@ -25,6 +25,20 @@ def standing(df: DataFrame, pitch: str, low: float = -np.pi / 4, high: float = n
     return fill_short_runs(kept, "standing", 0, bridge, 1, "exact", key, seq)
 
 
+def low_passed(df: DataFrame, columns: list[str], high: float = 18.0, rate: float = 97.5, key: str = KEY, seq: str = SEQ) -> DataFrame:
+    """``df`` with columns through a zero-phase low-pass over the samples that have all of them; sessions of 15 such samples or fewer stay as they are."""
+    kinds = dict(df.dtypes)
+
+    def run(c: dict) -> dict:
+        x = np.stack([c[n] for n in columns], 1)
+        y = filter_data(x, "low", high=high, rate=rate) if len(x) > 15 else x
+        return {key: c[key], seq: c[seq], **{n: y[:, i] for i, n in enumerate(columns)}}
+
+    known = df.select(key, seq, *(F.col(c).cast("double").alias(c) for c in columns)).dropna(subset=columns)
+    filtered = per_session(known, run, f"{key} {kinds[key]}, {seq} {kinds[seq]}, " + ", ".join(f"{c} double" for c in columns), key, seq)
+    return df.drop(*columns).join(filtered, [key, seq], "left").select(*df.columns)
+
+
 def clean_force(df: DataFrame, total: str, left: str, right: str, mass: Column, key: str = KEY, seq: str = SEQ) -> DataFrame:
     """Thresholds force by weight, fills gaps forwards and marks contacts (``lf_ind``, ``rf_ind``).
 

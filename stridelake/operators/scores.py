@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stridelake.functions.lineage import cut
 from stridelake.operators.ranking import quantiles
+from stridelake.operators.windows import cumulative_share
 
 #: Least number of values, least deviation for symmetry, percentiles of full and no score, points of a mapping, factor of the bandwidth.
 LEAST_VALUES, LEAST_SPREAD, FULL, NONE, MAP_POINTS, BANDWIDTH = 5, 1e-4, 0.05, 0.95, 1000, 1.06
@@ -122,6 +123,25 @@ def consistency_of_two(df: DataFrame, keys: Sequence[str], value: str, name: str
     return consistency(marked, [*keys, "_component"], value, name).select(*df.columns, name)
 
 
+def weighted(df: DataFrame, symmetry: str, control: str, force: str, elapsed: str, scores: Sequence[str] = (), scale: float = 1.0, key: str = "session_id", seq: str = "seq") -> DataFrame:
+    """Score combination of three sensors: the destructive share of force by symmetry and control, and scores weighted by force.
+
+    Adds ``destr_multiplier, dest_grf, const_grf, session_duration`` and
+    ``session_grf_elapsed`` (running shares of time and force).
+    """
+    grf = F.abs(force) / scale
+    off = lambda c: (1 - F.col(c) / 100) ** 2
+    out = df.withColumn("destr_multiplier", (off(symmetry) + off(control)) / 2).withColumn("_grf", grf)
+    out = out.withColumns({"dest_grf": F.col("_grf") * F.col("destr_multiplier"), "session_duration": cumulative_share(elapsed, key, seq), "session_grf_elapsed": cumulative_share("_grf", key, seq)})
+    out = out.withColumn("const_grf", F.col("_grf") - F.col("dest_grf"))
+    return out.withColumns({c: F.col(c) * F.col("_grf") for c in dict.fromkeys((symmetry, *scores))}).drop("_grf")
+
+
+def weighted_of_one(df: DataFrame, control: str, elapsed: str, key: str = "session_id", seq: str = "seq") -> DataFrame:
+    """Score combination of one sensor: control alone makes the destructive share; there is no force."""
+    return df.withColumn("destr_multiplier", (1 - F.col(control) / 100) ** 2).withColumn("session_duration", cumulative_share(elapsed, key, seq))
+
+
 def smoothing_spline(x: np.ndarray, y: np.ndarray, weight: np.ndarray, stress: float) -> tuple[np.ndarray, np.ndarray]:
     """Knots' values and second derivatives of the cubic spline with the least curvature whose weighted squared residuals sum to ``stress`` at most.
 

@@ -198,16 +198,19 @@ def histogram_percent(spark, sf_dir):
     return b.select("session_id", "bin", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("session_id")), 6).alias("pct"))
 
 
-@query("""WITH l AS (SELECT label, vec_id, unnest(range(1, 65)) AS i, unnest(embedding) AS x FROM embeddings), m AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS m FROM l GROUP BY label, i),
+_SPEARMAN = """WITH l AS (SELECT label, vec_id, unnest(range(1, 65)) AS i, unnest(embedding) AS x FROM embeddings), m AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS m FROM l GROUP BY label, i),
 x AS (SELECT vec_id, i, rank() OVER (PARTITION BY vec_id ORDER BY x) + (count(*) OVER (PARTITION BY vec_id, x) - 1) / 2.0 AS rx FROM l), p AS (SELECT label, i, rank() OVER (PARTITION BY label ORDER BY m) AS rm FROM m),
 c AS (SELECT vec_id, label, round(corr(rx, rm), 6) AS rho FROM x JOIN p USING (i) GROUP BY vec_id, label)
-SELECT vec_id, label, rho, row_number() OVER (PARTITION BY vec_id ORDER BY rho DESC, label) AS place FROM c""")
+SELECT vec_id, label, rho, row_number() OVER (PARTITION BY vec_id ORDER BY rho DESC, label) AS place FROM c"""
+
+
+@query(_SPEARMAN)
 def spearman_rank(spark, sf_dir):
     """Every recording against every mean profile."""
     return spearman_rank_all(spark, sf_dir)
 
 
-@query()
+@query(_SPEARMAN)
 def spearman_rank_all(spark, sf_dir):
     """Conditions ranked by Spearman correlation with their mean profiles, for every recording.
 

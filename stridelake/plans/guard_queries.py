@@ -270,9 +270,13 @@ def landings(spark, sf_dir):
     return met.select("session_id", "lf_seq", "rf_seq", ((F.col("rf_at") - F.col("lf_at")) / 1000).alias("land_time_ms"), "lf_pattern", "rf_pattern")
 
 
-
-
-@query()
+@query(S.replace("WITH s", "WITH RECURSIVE s", 1) + """, g AS (SELECT session_id, seq AS start, seq + seq * 7 % 5 + 3 AS stop, row_number() OVER (PARTITION BY session_id ORDER BY seq) AS i FROM s WHERE phase = 0),
+p AS (SELECT session_id, seq AS spot, signal AS pitch, row_number() OVER (PARTITION BY session_id ORDER BY seq) - 1 AS k FROM s WHERE event_type IN ('click', 'purchase')),
+c AS (SELECT g.session_id, g.i, g.start, g.stop, count(p.spot) AS gone FROM g LEFT JOIN p ON p.session_id = g.session_id AND p.spot < g.start GROUP BY ALL),
+q(session_id, i, head, start, stop, spot, pitch) AS (SELECT DISTINCT session_id, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE) FROM g
+UNION ALL SELECT q.session_id, q.i + 1, greatest(q.head, c.gone) + CASE WHEN p.spot <= c.stop THEN 1 ELSE 0 END, c.start, c.stop, CASE WHEN p.spot <= c.stop THEN p.spot END, p.pitch
+FROM q JOIN c ON c.session_id = q.session_id AND c.i = q.i + 1 LEFT JOIN p ON p.session_id = q.session_id AND p.k = greatest(q.head, c.gone))
+SELECT session_id, start, stop AS "end", spot AS "at", pitch FROM q WHERE spot IS NOT NULL""")
 def queue_match(spark, sf_dir):
     """A queue of points of one foot, purged and consumed by (overlapping) ranges of the other, in order."""
     s = samples(spark, sf_dir)

@@ -63,7 +63,12 @@ def decoded_records(spark, sf_dir):
     return records.decode(records.distinct_parts(recording_parts(spark, sf_dir)))
 
 
-@query()
+_UUID = "sha1('\\x6b\\xa7\\xb8\\x11\\x9d\\xad\\x11\\xd1\\x80\\xb4\\x00\\xc0\\x4f\\xd4\\x30\\xc8'::BLOB || CAST(name AS BLOB))"
+
+
+@query(f"""WITH n AS (SELECT o_orderkey, 'http://session.example.com/acc' || o_custkey || '_' || array_to_string(list_sort([o_orderpriority, o_orderstatus]), ',') || '_' || CASE WHEN o_custkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'None' END || '_' || strftime(o_orderdate, '%Y-%m-%d') AS name FROM orders),
+h AS (SELECT o_orderkey, {_UUID} AS h FROM n)
+SELECT o_orderkey, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || substr('89ab', (strpos('0123456789abcdef', h[17]) - 1) % 4 + 1, 1) || h[18:20] || '-' || h[21:32] AS session_id FROM h""")
 def session_ids(spark, sf_dir):
     """Name-based ids."""
     o = table(spark, sf_dir, "orders")
