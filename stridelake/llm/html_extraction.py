@@ -21,8 +21,10 @@ importance of its branch: menus, headers, footers, sidebars, notices, adverts, f
 get UNIMPORTANT, which no entropy can make up for.  The page's main element (the article or
 main element with most text) and the elements that hold it never get it, whatever their words.
 Prose that stands in a main element without a box of its own (a div or section, or anything
-with a class) is important by its presentation: a sentence that many articles share is no
-boilerplate.  Boxes inside the main element are judged like all other branches.
+with a class) has PROSE parts of its importance from there and 1 - PROSE parts from the
+tree: a sentence that many articles share is no boilerplate, but one that nearly all pages
+of a large host show in one place is.  Boxes inside the main element are judged like all
+other branches.
 
 Counts are aggregated map-side by host, path and content, and marks meet pages by host and
 page digest, so that a host with a third of all pages is no group: nothing is grouped by host alone.
@@ -46,7 +48,7 @@ from pyspark.sql import functions as F
 
 from stridelake.llm import htmltokens, tables
 
-MIN_IMPORTANCE, UNIMPORTANT, TRUST, GAMMA = 0.3, 0.2, 4.0, 0.9
+MIN_IMPORTANCE, UNIMPORTANT, PROSE, TRUST, GAMMA = 0.3, 0.2, 0.29, 4.0, 0.9
 _MAIN = {"article", "main"}
 _UNIMPORTANT = {"nav", "header", "footer", "aside", "form", "dialog", "menu", "template", "button", "select", "fieldset"}
 _BOXES = {"div", "section", "details"}
@@ -243,6 +245,11 @@ def _shrunk(own: Column, m: Column, prior: Column) -> Column:
     return ((m - 1) * own + TRUST * prior) / (m - 1 + TRUST)
 
 
+def _placed(importance: Column) -> Column:
+    """The importance of a node or content, with the part that prose has from its place."""
+    return F.when(F.col("path").bitwiseAND(F.lit(2)) == 2, PROSE + (1 - PROSE) * importance).otherwise(importance)
+
+
 def style_tree(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Branches (``host, path, m, importance``) and contents (``host, path, content, importance``) of each host."""
     nodes = features.select("host", F.explode("nodes").alias("k")).select("host", "k.path", "k.style")
@@ -262,12 +269,12 @@ def style_tree(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = branch.join(mean, ["host", "path"]).select("host", "path", "m", (GAMMA * F.col("mean") + (1 - GAMMA) * F.col("style_entropy")).alias("own"))
     over_all = known.where(F.col("host") == ALL).select("path", _shrunk(F.col("own"), F.col("m"), F.lit(1.0)).alias("_all"))
     factor = F.when(F.col("path").bitwiseAND(F.lit(1)) == 1, F.lit(UNIMPORTANT)).otherwise(F.lit(1.0))
-    shrunk = F.when(F.col("path").bitwiseAND(F.lit(2)) == 2, F.lit(1.0)).otherwise(_shrunk(F.col("own"), F.col("m"), F.col("_all")))
+    shrunk = _placed(_shrunk(F.col("own"), F.col("m"), F.col("_all")))
     branches = known.where(F.col("host") != ALL).join(over_all, "path").select("host", "path", "m", (factor * shrunk).alias("importance"))
 
     n, m = F.col("n").cast("double"), F.col("m").cast("double")
     told = contents.join(pages_of, ["host", "path"])
-    said = told.select("host", "path", "content", _shrunk(F.when(m > 1, F.log(m / n) / F.log(m)).otherwise(F.lit(1.0)), m, F.lit(1.0)).alias("importance"))
+    said = told.select("host", "path", "content", _placed(_shrunk(F.when(m > 1, F.log(m / n) / F.log(m)).otherwise(F.lit(1.0)), m, F.lit(1.0))).alias("importance"))
     return branches, said
 
 
@@ -298,8 +305,7 @@ def extract(pages: DataFrame) -> DataFrame:
     branches, contents = style_tree(features)
     low = F.col("importance") < MIN_IMPORTANCE
     # A marked branch is under the bound whatever its entropy (at most UNIMPORTANT): each page drops it by itself.
-    # Prose is never under it.
-    unmarked = F.col("path").bitwiseAND(F.lit(3)) == 0
+    unmarked = F.col("path").bitwiseAND(F.lit(1)) == 0
     low_branches = tables.cut(branches.where(low & unmarked).select("host", "path"))
     low_contents = tables.cut(contents.where(low & unmarked).select("host", "path", "content"))
     node = features.select("host", "digest", F.explode("nodes.path").alias("path")).where(unmarked)

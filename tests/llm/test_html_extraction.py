@@ -4,7 +4,10 @@ import math
 import random
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from stridelake.llm import html_extraction as he
+from tests.conftest import DATA
 
 
 def text_of(html):
@@ -66,6 +69,9 @@ def plain_tree(pages):
     def shrunk(own, m, prior):
         return ((m - 1) * own + he.TRUST * prior) / (m - 1 + he.TRUST)
 
+    def placed(b, importance):
+        return he.PROSE + (1 - he.PROSE) * importance if b & 2 else importance
+
     known = {}
     distinct = {(url.split("/")[2], html) for _, url, html in pages}
     for host in {h for h, _ in distinct} | {None}:
@@ -89,7 +95,7 @@ def plain_tree(pages):
         for b, w in below.items():
             mean = sum(k * said[n] for n, k in w.items()) / sum(w.values())
             known[host, b] = (he.GAMMA * mean + (1 - he.GAMMA) * entropy(styles[b], m[b]), m[b])
-    return {(h, b): (he.UNIMPORTANT if b & 1 else 1.0) * (1.0 if b & 2 else shrunk(*x, shrunk(*known[None, b], 1.0))) for (h, b), x in known.items() if h}
+    return {(h, b): (he.UNIMPORTANT if b & 1 else 1.0) * placed(b, shrunk(*x, shrunk(*known[None, b], 1.0))) for (h, b), x in known.items() if h}
 
 
 def test_tree_equals_loops(spark):
@@ -115,7 +121,7 @@ def test_repeated_null_and_long_rows(spark):
     assert got == [(0, "three"), (1, "one"), (1, "one"), (1, "two"), (2, texts[0]), (3, texts[1])]
 
 
-def test_prose_of_articles_stays_whatever_it_repeats(spark):
+def test_prose_of_articles_stays_though_it_repeats(spark):
     rows = [(i, f"https://h.example.com/{i}", f"<article><h1>Same title</h1><p>Same words</p><p>own {i}</p><p class=note2>Same note</p></article>") for i in range(30)]
     got = {r["page_id"]: r["text"] for r in he.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {i: f"Same title\n\nSame words\n\nown {i}" for i in range(30)}
@@ -125,3 +131,24 @@ def test_main_element_decides_over_words():
     html = "<form><div class=sidebar><main id=content><p>long enough text</p><aside>gone</aside></main></div></form><article class=comments><p>hi</p></article>"
     assert text_of(html) == "long enough text"
     assert text_of("<div role=main class=menu><p>a</p></div><p>b</p>") == "a\n\nb"
+
+
+def test_entropy_wins_over_the_place_on_a_large_host(spark):
+    """In the article a line of nearly all pages goes, one of a third of them stays, and so does what differs."""
+    rows = [(i, f"https://h.example.com/{i}", f"<article><h1>title {i}</h1><p>Always the same</p><p>{'now and then' if i % 3 == 0 else f'own {i}'}</p></article>") for i in range(400)]
+    got = {r["page_id"]: r["text"] for r in he.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"title {i}\n\n" + ("now and then" if i % 3 == 0 else f"own {i}") for i in range(400)}
+
+
+def test_most_blocks_of_the_test_pages_are_left_to_the_tree(spark):
+    """No fixed rule decides them: they are unmarked, and their importance comes from entropies, prose or not."""
+    pages = spark.read.parquet(f"{DATA}/pages.parquet").select("page_id", "url", "html")
+    ruled = told = 0
+    for row in pages.collect():
+        page = he.Page(row["html"] or "")
+        marked = sum(e >= 0 and page.marked[e] for e, _ in page.blocks)
+        ruled, told = ruled + marked, told + len(page.blocks) - marked
+    assert told > ruled
+    branches, _ = he.style_tree(he.page_features(pages))
+    found = branches.where(F.col("path").bitwiseAND(F.lit(1)) == 0).agg(F.count_distinct("importance").alias("n"), F.max("importance").alias("top"), F.min("importance").alias("low")).first()
+    assert found["n"] >= 10 and found["low"] < found["top"] <= 1
