@@ -164,8 +164,11 @@ SELECT CAST(o_orderkey AS BIGINT) AS block_id, count(*) AS n_units, CAST(sum(n)
 def nested_blocks(spark, sf_dir):
     """Blocks of unit blocks of steps as nested arrays, measured on the nested form."""
     t = steps(spark, sf_dir).withColumn("side", F.coalesce("side", F.lit("none")))
-    units = t.groupBy("block_id", "side").agg(F.sort_array(F.collect_list(F.struct("step", "force", "accel"))).alias("steps"))
-    nested = units.groupBy("block_id").agg(F.sort_array(F.collect_list(F.struct("side", "steps"))).alias("units"))
+    # One grouping: a block's steps sorted by side and step, split where the side changes.
+    ordered = t.groupBy("block_id").agg(F.sort_array(F.collect_list(F.struct("side", "step", "force", "accel"))).alias("all"))
+    own = lambda s: F.transform(F.filter("all", lambda x: x["side"] == s), lambda x: F.struct(x["step"].alias("step"), x["force"].alias("force"), x["accel"].alias("accel")))
+    units = F.transform(F.array_distinct(F.transform("all", lambda x: x["side"])), lambda s: F.struct(s.alias("side"), own(s).alias("steps")))
+    nested = ordered.select("block_id", units.alias("units"))
     blocks = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("block_id")).join(nested, "block_id")
     flat = F.flatten(F.transform("units", lambda u: u["steps"]))
     return blocks.select("block_id", F.size("units").cast("long").alias("n_units"), F.size(flat).cast("long").alias("n_steps"), F.aggregate(flat, F.lit(0.0), lambda a, s: a + s["force"]).alias("total"))

@@ -191,7 +191,13 @@ def blocks(samples: DataFrame) -> DataFrame:
 
 def nested(block: DataFrame, step: DataFrame) -> DataFrame:
     """Blocks with their steps of either side as nested arrays, one document a block."""
-    inside = step.join(block.select("session_id", "block", F.col("start_ms").alias("_a"), F.col("end_ms").alias("_b")), "session_id").where("start_ms >= _a AND start_ms <= _b")
     body = F.struct(*(c for c in step.columns if c != "session_id"))
-    sides = inside.groupBy("session_id", "block").agg(*(F.sort_array(F.collect_list(F.when(F.col("side") == s, body))).alias(f"steps_{s.lower()}") for s in ("LF", "RF")))
+    # Blocks of a session do not overlap, so the last one that begins before a step is the only one that can hold it:
+    # one window over both, no pairs.
+    own = step.select("session_id", "side", F.col("start_ms").alias("at"), F.lit(1).alias("kind"), body.alias("body"))
+    begun = block.select("session_id", F.col("start_ms").alias("at"), F.lit(0).alias("kind"), "block", F.col("end_ms").alias("_b"))
+    w = Window.partitionBy("session_id").orderBy("at", "kind")
+    placed = own.unionByName(begun, allowMissingColumns=True).withColumns({c: F.last(c, True).over(w) for c in ("block", "_b")})
+    inside = placed.where("kind = 1 AND block IS NOT NULL AND at <= _b")
+    sides = inside.groupBy("session_id", "block").agg(*(F.sort_array(F.collect_list(F.when(F.col("side") == s, F.col("body")))).alias(f"steps_{s.lower()}") for s in ("LF", "RF")))
     return block.join(sides, ["session_id", "block"], "left")
