@@ -187,7 +187,25 @@ def _feet(spark, sf_dir):
     return s.select("session_id", "seq", "micros", "phase", "active", (x / 20).alias("acc_hip_z"), F.sin(x).alias("acc_hip_x"), (x / 10).alias("total_accel"), (x / 30 - 1).alias("acc_lf_z"), (2 - x / 25).alias("acc_rf_z"), (x * 2).alias("grf_lf"), (x * (F.col("phase") % 2)).alias("grf_rf"))
 
 
-@query()
+def _contact_sql() -> str:
+    """The same clean-up by windows: runs are numbered by their changes."""
+    w = "(PARTITION BY session_id ORDER BY seq)"
+    number = lambda flag, before, name: f"sum(CASE WHEN {flag} = {before} THEN 0 ELSE 1 END) OVER {w} AS {name}"
+    out = S + f""", a AS (SELECT session_id, seq, signal * 2 AS l, signal * (phase % 2) AS r, signal * 2 + signal * (phase % 2) AS t, max(seq) OVER (PARTITION BY session_id) + 1 AS n FROM s),
+b AS (SELECT session_id, seq, n, CASE WHEN t <= 40 THEN 0 ELSE t END AS t, CASE WHEN l <= 20 THEN 0 ELSE l END AS l, CASE WHEN r <= 20 THEN 0 ELSE r END AS r FROM a),
+c AS (SELECT *, lag(t <> 0) OVER {w} AS before FROM b), d AS (SELECT *, {number('(t <> 0)', 'before', 'run')} FROM c),
+x0 AS (SELECT session_id, seq, n, CASE WHEN t <> 0 AND max(t) OVER (PARTITION BY session_id, run) < 100 THEN 0 ELSE t END AS t, l, r FROM d)"""
+    for k, side in enumerate("lr"):
+        out += f""", p{k} AS (SELECT *, lag({side} > 0.01) OVER {w} AS before FROM x{k}), q{k} AS (SELECT * EXCLUDE (before), {number(f'({side} > 0.01)', 'before', 'run')} FROM p{k}),
+e{k} AS (SELECT *, max(seq) OVER u + 1 - CASE WHEN max(seq) OVER u + 1 = n THEN 1 ELSE 0 END AS stop, min(seq) OVER u AS start FROM q{k} WINDOW u AS (PARTITION BY session_id, run)),
+f{k} AS (SELECT * EXCLUDE (run, stop, start), CASE WHEN {side} > 0.01 AND NOT (seq < stop AND (stop - start < 10 OR stop - start < 15 AND max(CASE WHEN seq < stop THEN {side} END) OVER (PARTITION BY session_id, run) < 100)) THEN 1 ELSE 0 END AS i{side} FROM e{k}),
+g{k} AS (SELECT *, lag(i{side} = 0) OVER {w} AS before FROM f{k}), h{k} AS (SELECT * EXCLUDE (before), {number(f'(i{side} = 0)', 'before', 'run')} FROM g{k}),
+j{k} AS (SELECT *, max(seq) OVER u + 1 - CASE WHEN max(seq) OVER u + 1 = n THEN 1 ELSE 0 END AS stop, min(seq) OVER u AS start FROM h{k} WINDOW u AS (PARTITION BY session_id, run)),
+x{k + 1} AS (SELECT * EXCLUDE (run, stop, start, i{side}), CASE WHEN i{side} = 0 AND seq < stop AND stop - start < 5 THEN 1 ELSE i{side} END AS i{side} FROM j{k})"""
+    return out + " SELECT session_id, seq, t * 1000 AS grf, l * 1000 AS grf_lf, r * 1000 AS grf_rf, CAST(il AS INTEGER) AS lf_ind, CAST(ir AS INTEGER) AS rf_ind FROM x2"
+
+
+@query(_contact_sql())
 def contact_cleanup(spark, sf_dir):
     """Forces thresholded by weight, weak contacts dropped, gaps bridged."""
     s = _feet(spark, sf_dir).withColumn("grf", F.col("grf_lf") + F.col("grf_rf"))
