@@ -34,6 +34,7 @@ not carried.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,8 @@ WIDTH = 5
 SMALL_GROUP = 16
 #: Pairs whose texts a task holds as arrays at the same time.
 VERIFIED_AT_ONCE = 200
+#: Pairs of a cell whose texts, or whose sketches, meet in a task.
+VERIFIED_IN_CELL, SKETCHED_IN_CELL = 500, 20_000
 #: Members of a key that a task compares with each other; a larger key is cut into cells of so many on either side.
 CELL = 4096
 BATCH_BYTES, BUCKET_BYTES = 4 << 20, 6 << 20
@@ -103,12 +106,41 @@ def too_far(left: list[bytes], right: list[bytes], sizes: np.ndarray) -> np.ndar
     return out
 
 
-def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, w) that their sketches (sa, sb) and sizes (na, nb) do not rule out."""
-    for batch in batches:
-        sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-        keep = ~too_far(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), sizes)
-        yield batch.select(["a", "b", "w"]).filter(pa.array(keep))
+def _combined(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each pair and each row of its two documents: the pair, and the two rows; ``doc`` is sorted."""
+    la, ha, lb, hb = (np.searchsorted(doc, x, side) for x in (a, b) for side in ("left", "right"))
+    na, nb = ha - la, hb - lb
+    pair = np.repeat(np.arange(len(a)), na * nb)
+    k = textbytes.ragged(np.zeros(len(a), np.int64), na * nb)
+    return pair, la[pair] + k // np.maximum(nb[pair], 1), lb[pair] + k % np.maximum(nb[pair], 1)
+
+
+def _plausible(pairs: pa.Table, held: pa.Table) -> pa.Table:
+    """Pairs (a, b, w) that sizes and sketches of their documents do not rule out."""
+    held = held.sort_by("doc_id")
+    doc, size, sketch = held.column("doc_id").to_numpy(), held.column("n_shingles").to_numpy(), held.column("sketch").to_pylist()
+    pair, x, y = _combined(doc, pairs.column("a").to_numpy(), pairs.column("b").to_numpy())
+    near = ~too_far([sketch[i] for i in x], [sketch[i] for i in y], size[x] + size[y]) if len(pair) else np.zeros(0, bool)
+    keep = np.zeros(len(pairs), bool)
+    keep[pair[near]] = True
+    return pairs.select(["a", "b", "w"]).filter(pa.array(keep))
+
+
+def meet(pairs: DataFrame, docs: DataFrame, kernel, schema: str, a_cell: int) -> DataFrame:
+    """``kernel(pairs, documents)`` over cells of about ``a_cell`` pairs and the rows of ``docs`` (by ``doc_id``) that they name.
+
+    Pairs are dealt by both of their ids, so documents that have many partners among each
+    other travel to a few cells, not to every pair.  A cell that is larger nevertheless is
+    dealt again by its pairs.  ``pairs`` is read three times; hand in a checkpoint.
+    """
+    side = max(1, math.isqrt(pairs.count() // a_cell))
+    dealt = pairs.withColumn("cell", tables.block_of(F.col("a"), side).cast("long") * side + tables.block_of(F.col("b"), side))
+    large = tables.cut(dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 4 * a_cell))
+    part = F.coalesce(F.pmod(F.xxhash64("a", "b"), F.ceil(F.col("_n") / a_cell)), F.lit(0)).cast("int")
+    dealt = tables.skewed_join(dealt, large, ["cell"], how="left").withColumn("part", part).drop("_n")
+    named = dealt.select(F.col("cell").alias("cell"), F.col("part").alias("part"), F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    held = tables.skewed_join(named, docs, ["doc_id"])
+    return dealt.groupBy("cell", "part").cogroup(held.groupBy("cell", "part")).applyInArrow(tables.lean(kernel), schema)
 
 
 def _describe(width: int):
@@ -315,22 +347,24 @@ def _cross(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(pairs[:, 0].astype(np.int64)), pa.array(pairs[:, 1].astype(np.int64))], names=["a", "b"])
 
 
-def _verify(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for begin in range(0, whole.num_rows, VERIFIED_AT_ONCE):
-                batch = whole.slice(begin, VERIFIED_AT_ONCE)
-                ids = np.concatenate([batch.column(c).to_numpy() for c in ("a", "b")])
-                _, first, which = np.unique(ids, return_index=True, return_inverse=True)
-                texts = pa.concat_arrays([batch.column("ta"), batch.column("tb")]).take(pa.array(first))
-                data, offsets = textbytes.buffer_of(texts)
-                row, name = text_shingles(data, offsets, width)
-                at = np.searchsorted(row, np.arange(len(first) + 1))
-                n = batch.num_rows
-                a, b = which[:n], which[n:]
-                both = np.array([len(np.intersect1d(name[at[x] : at[x + 1]], name[at[y] : at[y + 1]], assume_unique=True)) for x, y in zip(a, b)], np.int64)
-                size = np.diff(at)
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both), pa.array((size[a] + size[b] - both).astype(np.int64))], ["a", "b", "shared", "together"])
+def _verify(width: int, percent: int):
+    def run(pairs: pa.Table, held: pa.Table) -> pa.Table:
+        held, pairs = held.sort_by("doc_id"), pairs.sort_by([("a", "ascending"), ("b", "ascending")])
+        doc, texts = held.column("doc_id").to_numpy(), held.column("text").combine_chunks()
+        linked = np.zeros(len(pairs), bool)
+        for begin in range(0, len(pairs), VERIFIED_AT_ONCE):
+            some = pairs.slice(begin, VERIFIED_AT_ONCE)
+            pair, x, y = _combined(doc, some.column("a").to_numpy(), some.column("b").to_numpy())
+            rows, which = np.unique(np.concatenate((x, y)), return_inverse=True)
+            data, offsets = textbytes.buffer_of(texts.take(pa.array(rows)))
+            row, name = text_shingles(data, offsets, width)
+            at = np.searchsorted(row, np.arange(len(rows) + 1))
+            size = np.diff(at)
+            i, j = which[: len(x)], which[len(x) :]
+            both = np.array([len(np.intersect1d(name[at[p] : at[p + 1]], name[at[q] : at[q + 1]], assume_unique=True)) for p, q in zip(i, j)], np.int64)
+            good = both * 100 >= (size[i] + size[j] - both) * percent
+            linked[begin + pair[good]] = True
+        return pairs.select(["a", "b"]).filter(pa.array(linked))
 
     return run
 
@@ -338,15 +372,10 @@ def _verify(width: int):
 def verify(pairs: DataFrame, docs: DataFrame, percent: int, width: int = WIDTH) -> DataFrame:
     """Links among ``pairs`` (``a``, ``b``): those whose sets are similar enough, cut."""
     pairs = tables.cut(pairs.select("a", "b"))
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     few = pairs.count() * 2 <= BROADCAST_IDS  # at most twice as many ids as pairs
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    salted = pairs.withColumn("_salt", tables.block_of(F.col("b"), 16))
-    left = salted.select("a", "_salt").distinct().join(texts, F.col("a") == F.col("doc_id")).select("a", "_salt", F.col("text").alias("ta"))
-    right = salted.join(texts, F.col("b") == F.col("doc_id")).select("a", "b", "_salt", F.col("text").alias("tb"))
-    met = right.join(left, ["a", "_salt"]).select("a", "b", "ta", "tb")
-    found = met.mapInArrow(tables.lean_batches(_verify(width)), "a long, b long, shared long, together long")
-    return tables.cut(found.where(F.col("shared") * 100 >= F.col("together") * percent).select("a", "b"))
+    return tables.cut(meet(pairs, texts, _verify(width, percent), "a long, b long", VERIFIED_IN_CELL))
 
 
 def similar(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame:
@@ -374,12 +403,8 @@ def similar(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame
 
     pairs = node(node(found.where("kind < 2").groupBy("a", "b").agg(F.sum("key").alias("w")), "a"), "b")
     pairs = pairs.where("a != b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("w").alias("w"))
-    sketches = sets.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
-
-    def sketched(df: DataFrame, column: str, size: str, out: str) -> DataFrame:
-        return df.join(sketches.select(F.col("doc_id").alias(column), F.col("n_shingles").alias(size), F.col("sketch").alias(out)), column)
-
-    pairs = tables.cut(sketched(sketched(pairs, "a", "na", "sa"), "b", "nb", "sb").mapInArrow(tables.lean_batches(_plausible), "a long, b long, w long"))
+    sketches = sets.select("doc_id", "n_shingles", "sketch")
+    pairs = tables.cut(meet(tables.cut(pairs), sketches, _plausible, "a long, b long, w long", SKETCHED_IN_CELL))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("w", -F.col("a"))).alias("a")).select("a", "b")
     first = verify(best, docs, percent, width)
     labels = components.components(first)
@@ -399,7 +424,7 @@ def similar(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame
         transform(sequence(0, _i - 1), x -> struct(x AS i, cast(pmod(xxhash64(doc), _j) AS int) AS j, false AS left, true AS right)),
         transform(IF(searched, sequence(0, _j - 1), array()), x -> struct(cast(pmod(xxhash64(doc, 1), _i) AS int) AS i, x AS j, true AS left, false AS right))) END)""")
     kept = tables.skewed_join(labelled, mixed, ["key"]).select("key", "doc", "size", "component", "searched", cell.alias("cell")).select("key", "cell.*", "doc", "size", "component", "searched")
-    kept = kept.join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
+    kept = kept.join(sketches.select(F.col("doc_id").alias("doc"), "sketch").dropDuplicates(["doc"]), "doc")
     cross = kept.groupBy("key", "i", "j").applyInArrow(tables.lean(_cross), "a long, b long")
     rest = open_pairs.unionByName(cross).distinct().join(best, ["a", "b"], "left_anti")
     second = verify(rest, docs, percent, width)
