@@ -48,7 +48,7 @@ def _decoded_sql() -> str:
     signed = lambda e: f"((({e}) % 8192) - CASE WHEN ({e}) % 8192 >= 4096 THEN 8192 ELSE 0 END) * 8"
     acc = ", ".join(f"CAST({signed(a if i else f'{a} + {k * 1000}')} * CASE WHEN event_id % 16 & 10 = 2 THEN 4 ELSE 1 END AS DOUBLE) AS acc_{k}_{c}" for k in range(3) for i, (a, c) in enumerate(zip(_ACC, "xyz")))
     turn = ", ".join(f"{signed(e)} / 32767.0 AS q{c}" for e, c in zip(_TURN, "xyz"))
-    quat = ", ".join(f"CASE WHEN n > 1 THEN {'0.0' if c == 'w' else f'q{c} / sqrt(n)'} ELSE {'sqrt(greatest(1 - n, 0))' if c == 'w' else f'q{c}'} END AS quat_{k}_{c}" for k in range(3) for c in "wxyz")
+    quat = ", ".join(f"round(CASE WHEN n > 1 THEN {'0.0' if c == 'w' else f'q{c} / sqrt(n)'} ELSE {'sqrt(greatest(1 - n, 0))' if c == 'w' else f'q{c}'} END, 9) AS quat_{k}_{c}" for k in range(3) for c in "wxyz")
     still = ", ".join(f"CAST(event_id % 2 AS INTEGER) AS static_{k}" for k in range(3))
     return S + f""", r AS (SELECT session_id, seq, event_id, {_MS} AS ms, {acc}, {turn}, {still} FROM s),
 t AS (SELECT *, qx * qx + qy * qy + qz * qz AS n, ms - lag(ms) OVER w AS d, lag(ms) OVER w AS a, lead(ms) OVER w AS b FROM r WINDOW w AS (PARTITION BY session_id ORDER BY seq)),
@@ -60,7 +60,8 @@ SELECT session_id, seq, CASE WHEN d < 0 AND b IS NOT NULL THEN (a + b) // 2 ELSE
 @query(_decoded_sql())
 def decoded_records(spark, sf_dir):
     """Samples as 40-byte records in parts that split them, read back with repaired times."""
-    return records.decode(records.distinct_parts(recording_parts(spark, sf_dir)))
+    out = records.decode(records.distinct_parts(recording_parts(spark, sf_dir)))
+    return out.select(*(F.round(c, 9).alias(c) if c.startswith("quat") else c for c in out.columns))
 
 
 _UUID = "sha1('\\x6b\\xa7\\xb8\\x11\\x9d\\xad\\x11\\xd1\\x80\\xb4\\x00\\xc0\\x4f\\xd4\\x30\\xc8'::BLOB || CAST(name AS BLOB))"

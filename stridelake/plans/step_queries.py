@@ -57,7 +57,34 @@ def movement_planes(spark, sf_dir):
     return out.select("session_id", "seq", "lateral", "vertical", "horizontal")
 
 
-@query()
+def _stance_sql() -> str:
+    """The rule by windows, one numbering of runs after the other (half a second is 10 samples, the pad none)."""
+    w = "(PARTITION BY session_id ORDER BY seq)"
+    out = S + ", v0 AS (SELECT session_id, seq, phase AS l, event_id * 7 % 4 AS r, signal / 20 > 2.5 AS hot, max(seq) OVER (PARTITION BY session_id) + 1 AS n FROM s)"
+    last = 0
+
+    def numbered(flag: str) -> str:
+        nonlocal out, last
+        out += f", a{last} AS (SELECT *, ({flag}) AS f, lag({flag}) OVER {w} AS g FROM v{last}), b{last} AS (SELECT * EXCLUDE (g), sum(CASE WHEN f = g THEN 0 ELSE 1 END) OVER {w} AS run FROM a{last})"
+        last += 1
+        return f"b{last - 1}"
+
+    for name, flag in (("lb", "l = 0 AND r <> 0"), ("rb", "r = 0 AND l <> 0"), ("db", "l = 0 AND r = 0")):
+        source = numbered(flag)
+        out += f", v{last} AS (SELECT * EXCLUDE (f, run), CASE WHEN f AND count(*) OVER (PARTITION BY session_id, run) > 10 AND NOT hot THEN 1 ELSE 0 END AS {name} FROM {source})"
+    for name in ("lb", "rb", "db"):
+        source = numbered(f"{name} = 0")
+        out += f", c{last} AS (SELECT *, max(seq) OVER u + 1 - CASE WHEN max(seq) OVER u + 1 = n THEN 1 ELSE 0 END AS stop, min(seq) OVER u AS start FROM {source} WINDOW u AS (PARTITION BY session_id, run))"
+        out += f", v{last} AS (SELECT * EXCLUDE (f, run, stop, start, {name}), CASE WHEN f AND seq < stop AND stop - start < 10 THEN 1 ELSE {name} END AS {name} FROM c{last})"
+    for name, phase in (("di", 2), ("dt", 3)):
+        for own, other in (("l", "r"), ("r", "l")):
+            source = numbered(f"{own} = {phase}")
+            out += f", v{last} AS (SELECT * EXCLUDE (f, run), f AND bool_or({other} = {phase}) OVER (PARTITION BY session_id, run) AS {name}{own} FROM {source})"
+    return out + f""" SELECT session_id, seq, CASE WHEN l = 1 AND r = 1 THEN 1 WHEN dil OR dir OR dtl OR dtr THEN 3 WHEN l IN (2, 3) OR r IN (2, 3) THEN 2 WHEN db = 1 THEN 5 WHEN l = 0 AND r = 0 THEN 3 WHEN lb = 1 OR rb = 1 THEN 4
+WHEN (l = 0) <> (r = 0) THEN 2 ELSE 0 END AS stance FROM v{last}"""
+
+
+@query(_stance_sql())
 def stance_enumeration(spark, sf_dir):
     """stances from the phases of both feet."""
     s = samples(spark, sf_dir).select("session_id", "seq", "phase", "signal", ((F.col("event_id") * 7) % 4).cast("int").alias("phase_rf"))
