@@ -11,6 +11,17 @@ from stridelake.operators.windows import average_rank
 CHI2_95, MEDIAN_RATIO, MEDIAN_DIFFERENCE = 3.841458820694124, 1.15, 0.15
 
 
+def ieee_ratio(a: Column, b: Column) -> Column:
+    """a / b of doubles as floating point has it: infinite or NaN over zero, in place of an error."""
+    over_zero = F.when((a == 0) | F.isnan(a), float("nan")).when(a > 0, float("inf")).when(a < 0, float("-inf"))
+    return F.when(b == 0, over_zero).otherwise(a / b)
+
+
+def ieee_log(x: Column) -> Column:
+    """ln(x) as floating point has it: -infinite at zero, NaN below, in place of null."""
+    return F.when(x == 0, float("-inf")).when(x < 0, float("nan")).otherwise(F.log(x))
+
+
 def kruskal(df: DataFrame, keys: list[str], side: str, value: str) -> DataFrame:
     """Kruskal-Wallis of two sides in each group: ``h``, ``significant`` and the medians.
 

@@ -146,12 +146,12 @@ def fatigue_crosstab(spark, sf_dir):
 m AS (SELECT session_id, avg(ln(abs(signal) / abs(y0)) / ((micros - t0) / 1e9)) AS decay FROM d WHERE k > 5 AND micros > t0 GROUP BY session_id)
 SELECT session_id, round(decay, 6) AS decay, abs((decay - avg(decay) OVER ()) / stddev_pop(decay) OVER ()) > 2 AS outlier FROM m""")
 def decay_outliers(spark, sf_dir):
-    """Mean log decay from the sixth value on, outliers across blocks."""
+    """Mean log decay from the sixth value on, outliers across blocks; zeros give infinite decays, as floating point has them."""
     w = by_seq()
     d = samples(spark, sf_dir).select("*", F.first("signal").over(w).alias("y0"), F.first("micros").over(w).alias("t0"), F.row_number().over(w).alias("k")).where("k > 5 AND micros > t0")
-    m = d.groupBy("session_id").agg(F.avg(F.log(F.abs("signal") / F.abs("y0")) / ((F.col("micros") - F.col("t0")) / 1e9)).alias("decay"))
+    m = d.groupBy("session_id").agg(F.avg(H.ieee_log(H.ieee_ratio(F.abs("signal"), F.abs("y0"))) / ((F.col("micros") - F.col("t0")) / 1e9)).alias("decay"))
     stats = m.agg(F.avg("decay").alias("_m"), F.stddev_pop("decay").alias("_s"))  # one row
-    return m.join(F.broadcast(stats)).select("session_id", F.round("decay", 6).alias("decay"), (F.abs((F.col("decay") - F.col("_m")) / F.col("_s")) > 2).alias("outlier"))
+    return m.join(F.broadcast(stats)).select("session_id", F.round("decay", 6).alias("decay"), (F.abs(H.ieee_ratio(F.col("decay") - F.col("_m"), F.col("_s"))) > 2).alias("outlier"))
 
 
 @query(S + ", n AS (SELECT *, count(*) OVER (PARTITION BY session_id) AS n FROM s) SELECT session_id, seq, CAST(least(ceil((seq + 1) / (n / 4.0)), 4) AS BIGINT) AS quarter FROM n")
