@@ -228,13 +228,16 @@ def dickey_fuller(y: np.ndarray) -> tuple[float, float]:
 def per_session(df: DataFrame, function, schema: str, key: str = KEY, seq: str = SEQ, types: dict[str, pa.DataType] | None = None) -> DataFrame:
     """Runs ``function(columns: dict of arrays) -> dict of columns`` on each session in order.
 
-    ``types`` has the Arrow types of columns that may be all null or nested.
+    ``types`` has the Arrow types of nested columns.  A plain column that is empty or all
+    null (a session without a single step) takes the type that the schema names.
     """
-    names = [c.split()[0] for c in schema.split(", ")]
+    plain = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
+    kinds = {c.split()[0]: plain.get(c.split()[1]) for c in schema.split(", ")} | (types or {})
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by(seq)
         out = function({c: table.column(c).to_numpy() for c in table.column_names})
-        return pa.table({n: pa.array(out[n], types[n]) if types and n in types else out[n] for n in names})
+        # Lists without a value would become columns of nulls.
+        return pa.table({n: pa.array(out[n], k) if k is not None and isinstance(out[n], list) else out[n] for n, k in kinds.items()})
 
     return df.groupBy(key).applyInArrow(run, schema)

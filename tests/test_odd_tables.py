@@ -44,3 +44,12 @@ def test_decay_of_zeros(spark, tmp_path):
     # Without spread across sessions.
     same(spark, tmp_path, "decay_outliers", events=events(plain, plain))
     same(spark, tmp_path, "decay_outliers", events=events(plain))
+
+
+def test_session_without_steps(spark, tmp_path):
+    """A session whose samples are all of the phase between contacts has no step, and the others keep theirs."""
+    pq.write_table(events([float(k % 40) for k in range(30)]), tmp_path / "events.parquet")
+    (step,) = catalog.QUERIES["step_cmes"](spark, str(tmp_path)).collect()
+    assert (step["start"], step["end"]) == (0, 29)
+    pq.write_table(events([float(k % 40) for k in range(30)], kind="error"), tmp_path / "events.parquet")
+    assert catalog.QUERIES["step_cmes"](spark, str(tmp_path)).collect() == []
