@@ -22,6 +22,12 @@ def ieee_log(x: Column) -> Column:
     return F.when(x == 0, float("-inf")).when(x < 0, float("nan")).otherwise(F.log(x))
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """x to so many digits as SQL's round(x, d) on doubles has it: the scaled double is rounded, not its shortest text (64.225 gives 64.22)."""
+    scale = 10.0**digits
+    return F.round(x * scale, 0) / scale
+
+
 def kruskal(df: DataFrame, keys: list[str], side: str, value: str) -> DataFrame:
     """Kruskal-Wallis of two sides in each group: ``h``, ``significant`` and the medians.
 

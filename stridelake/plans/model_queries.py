@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stridelake.functions import table_functions
 from stridelake.functions.lineage import new_folder
 from stridelake.operators import force, payloads, scores
+from stridelake.operators.statistics import rounded
 from stridelake.plans import guard_queries as GQ
 from stridelake.plans import session
 from stridelake.plans.range_queries import EXACT, RUNS
@@ -108,15 +109,16 @@ m AS (SELECT session_id, measure, quantile_cont(l, 0.5) AS l, quantile_cont(r, 0
 def _sessions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """(sessions with their heads and maps, time blocks) from steps; every third session has no pattern."""
     t = steps(spark, sf_dir).where("side IS NOT NULL").withColumn("session_id", F.floor(F.col("block_id") / 50)).withColumn("time_block", F.floor(F.col("block_id") % 50 / 10).cast("int"))
-    each = t.select("session_id", "time_block", "side", F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), F.expr(e).cast("double").alias("v")) for m, e in _MEASURED.items()))).alias("x")).select("session_id", "time_block", "side", "x.*")
-    own = lambda s: F.round(F.median(F.when(F.col("side") == s, F.col("v"))), 2)
-    blocks = each.groupBy("session_id", "time_block", "measure").agg(own("LF").alias("left"), own("RF").alias("right"))
+    own = lambda m, s: rounded(F.median(F.when(F.col("side") == s, F.expr(_MEASURED[m]).cast("double"))), 2)
+    # Steps move once, to their session; what follows groups and joins by it where they are.
+    wide = t.repartition("session_id").groupBy("session_id", "time_block").agg(*(F.struct(F.lit(m).alias("measure"), own(m, "LF").alias("left"), own(m, "RF").alias("right")).alias(m) for m in _MEASURED))
+    blocks = wide.select("session_id", "time_block", F.explode(F.array(*_MEASURED)).alias("x")).select("session_id", "time_block", "x.*")
     blocks = blocks.select("*", F.concat(F.lit("t"), "time_block").alias("start_time"), F.concat(F.lit("u"), "time_block").alias("end_time"), F.coalesce(F.abs(F.col("left") - F.col("right")) > 4, F.lit(False)).alias("significant"))
-    fits = t.where("session_id % 3 > 0").select("session_id", F.explode(F.array(*map(F.lit, payloads.PATTERNS))).alias("pattern"), F.when(F.col("side") == "LF", 1).otherwise(2).alias("side"), "step", "force", "accel")
-    fits = fits.groupBy("session_id", "pattern", "side", F.col("step").alias("cadence")).agg(F.round(F.avg("force"), 0).alias("elasticity"), F.count("*").alias("obs"))
+    fits = t.where("session_id % 3 > 0").select("session_id", F.when(F.col("side") == "LF", 1).otherwise(2).alias("side"), "step", "force").repartition("session_id")
+    fits = fits.groupBy("session_id", "side", F.col("step").alias("cadence")).agg(F.round(F.avg("force"), 0).alias("elasticity"), F.count("*").alias("obs")).withColumn("pattern", F.explode(F.array(*map(F.lit, payloads.PATTERNS))))
     stats = fits.select("session_id", "pattern", "side", "cadence", "elasticity", (F.col("cadence") - 3.0).alias("elasticity_t"), F.lit(0.5).alias("elasticity_se"), (F.col("obs") + 90).alias("obs"), (F.col("cadence") * 2.0).alias("adf"), F.lit(7.0).alias("adf_critical"))
-    heads = t.select("session_id").distinct().select("session_id", F.concat(F.lit("user"), "session_id").alias("user_id"), F.lit("2024-01-01").alias("event_date"), F.when(F.col("session_id") % 2 == 0, "2024-01-02").alias("end_date"), (F.col("session_id") * 10).alias("seconds_duration"))
-    return heads.join(payloads.summaries(blocks), "session_id").join(payloads.time_blocks(blocks), "session_id").join(payloads.pattern_stats(stats), "session_id", "left"), blocks
+    heads = payloads.summaries(blocks).select("session_id", F.concat(F.lit("user"), "session_id").alias("user_id"), F.lit("2024-01-01").alias("event_date"), F.when(F.col("session_id") % 2 == 0, "2024-01-02").alias("end_date"), (F.col("session_id") * 10).alias("seconds_duration"), "asymmetry")
+    return heads.join(payloads.time_blocks(blocks), "session_id").join(payloads.pattern_stats(stats), "session_id", "left"), blocks
 
 
 _VERSION = "['4_3', '4_4', '4_5', '4_6', '4_7'][CAST(session_id % 5 AS INTEGER) + 1]"

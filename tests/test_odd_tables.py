@@ -53,3 +53,22 @@ def test_session_without_steps(spark, tmp_path):
     assert (step["start"], step["end"]) == (0, 29)
     pq.write_table(events([float(k % 40) for k in range(30)], kind="error"), tmp_path / "events.parquet")
     assert catalog.QUERIES["step_cmes"](spark, str(tmp_path)).collect() == []
+
+
+def test_payload_of_broken_ties(spark, tmp_path):
+    """Medians that end in 5 at the third digit are rounded as doubles, up or down by what they hold."""
+    pairs = [(64_210.0, 64_240.0), (1_000.0, 1_010.0), (64_220.0, 64_230.0), (2_670.0, 2_680.0), (8_030.0, 8_040.0)]
+    rows = [(50 * k + o, 1 + line, "AR"[o % 2], 10.0 + o, p[line], 0.01 * (o % 5), 0.07) for k, p in enumerate(pairs) for o in range(50) for line in range(2)]
+    names = ("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    kinds = (pa.int64(), pa.int32(), pa.string(), *[pa.float64()] * 4)
+    table = pa.table({n: pa.array(v, k) for n, k, v in zip(names, kinds, zip(*rows))} | {"l_linestatus": pa.array(["F"] * len(rows)), "l_shipdate": pa.array([dt.datetime(2024, 1, 1)] * len(rows), pa.timestamp("us"))})
+    bodies = same(spark, tmp_path, "payload_bodies", lineitem=table)
+    assert len(bodies) == len(pairs)
+
+
+def test_payload_steps_move_once(spark, tmp_path):
+    """Steps reach their session by two exchanges (blocks, regressions); no later grouping or join moves them."""
+    from tests.conftest import DATA
+
+    plan = catalog.QUERIES["payload_records"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") <= 3 and "REPARTITION_BY_COL" in plan
