@@ -24,6 +24,8 @@ LEAST_VALUES, LEAST_SPREAD, FULL, NONE, MAP_POINTS, BANDWIDTH = 5, 1e-4, 0.05, 0
 FINE, MOST_CELLS = 8, 65_536
 #: Rounds of the mixture at most, and the growth of its mean log-likelihood that ends them.
 ROUNDS, TOLERANCE = 100, 1e-3
+#: Different values of a group that one task takes, and about as many in a bucket of groups.
+MOST_VALUES = 131_072
 
 
 def clipped(score: Column) -> Column:
@@ -55,25 +57,115 @@ def consistency(df: DataFrame, keys: Sequence[str], value: str, name: str = "con
 def mixture(df: DataFrame, keys: Sequence[str], value: str, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """Two normal components of each group by expectation maximisation: ``share, low, low_var, high, high_var, loglik, n``.
 
-    ``share`` is that of the lower component.  Equal values are counted once in advance; a
-    round is one sum over them (weights, first and second moments of both components), so
-    only one row a group and partition moves.  It starts from the values below and above the
-    mean, and ends when no group's mean log-likelihood grows by more than the tolerance.
-    Groups of under five values, or without spread, are left out.
+    ``share`` is that of the lower component.  Equal values are counted once in advance.  It
+    starts from the values below and above the mean, and ends when no group's mean
+    log-likelihood grows by more than the tolerance.  Groups of under five values, or without
+    spread, are left out.
+
+    Groups of up to :data:`MOST_VALUES` different values move to a bucket of many groups, which
+    a kernel runs through all rounds at once: first to learn in which rounds one of them
+    still grows, then as far as the whole table goes.  A round of larger groups is one sum over
+    their values (weights, first and second moments of both components).
     """
     values = df.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*keys, F.col(value).cast("double").alias("_x")).agg(F.count(F.lit(1)).cast("double").alias("_w"))
     values = cut(values)
-    whole = values.groupBy(*keys).agg(F.sum("_w").alias("_n"), (F.sum(F.col("_w") * F.col("_x")) / F.sum("_w")).alias("_mean"))
-    spread = _by(values, cut(whole), keys).withColumn("_d", F.col("_x") - F.col("_mean"))
+    whole = values.groupBy(*keys).agg(F.sum("_w").alias("_n"), (F.sum(F.col("_w") * F.col("_x")) / F.sum("_w")).alias("_mean"), F.count(F.lit(1)).alias("_many"))
+    spread = cut(_by(values, whole, keys).where(F.col("_n") >= LEAST_VALUES).withColumn("_d", F.col("_x") - F.col("_mean")))
+    small, large = spread.where(F.col("_many") <= MOST_VALUES), spread.where(F.col("_many") > MOST_VALUES)
+    buckets = small.count() // MOST_VALUES + 1
+    small = small.select(*keys, "_d", "_w", "_mean", F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"))
+    types = dict(df.dtypes)
+    key_schema = "".join(f"`{k}` {types[k]}, " for k in keys)
+
+    def growing(table: pa.Table) -> pa.Table:
+        group, _, d, w = _grouped(table, keys)
+        grows = _rounds(group, d, w, rounds, tolerance)[1]
+        return pa.table({"_round": pa.array(np.flatnonzero(grows), pa.int64())})
+
+    # At most one row a round.
+    still = {r[0] for r in small.groupBy("_bucket").applyInArrow(growing, "_round long").distinct().collect()} if rounds else set()
+    done = next((r + 1 for r in range(rounds) if r not in still), rounds)
+    state = None
+    if not large.isEmpty():
+        state, done = _large_rounds(large, keys, rounds, tolerance, still)
+
+    def run(table: pa.Table) -> pa.Table:
+        group, first, d, w = _grouped(table, keys)
+        fit = _rounds(group, d, w, done, tolerance)[0]
+        kept = pa.array(first[fit.pop("at")])
+        rows = table.take(kept)
+        return pa.table({k: rows.column(k) for k in keys} | {"mean": rows.column("_mean")} | {n: pa.array(v, pa.float64()) for n, v in fit.items()})
+
+    found = small.groupBy("_bucket").applyInArrow(run, key_schema + "mean double, " + ", ".join(f"{n} double" for n in _FITTED))
+    state = found if state is None else found.unionByName(state.select(found.columns))
+    swap = F.col("low") > F.col("high")
+    pick = lambda a, b: F.when(swap, b).otherwise(a)
+    m, low, high = F.col("mean"), F.col("low"), F.col("high")
+    return state.select(*keys, pick(F.col("share"), 1 - F.col("share")).alias("share"), (m + pick(low, high)).alias("low"), pick(F.col("low_var"), F.col("high_var")).alias("low_var"), (m + pick(high, low)).alias("high"), pick(F.col("high_var"), F.col("low_var")).alias("high_var"), "loglik", F.col("n").cast("long").alias("n"))
+
+
+#: Columns of a fitted group beside its keys and mean; low and high are distances from the mean.
+_FITTED = ("n", "share", "low", "low_var", "high", "high_var", "loglik")
+
+
+def _grouped(table: pa.Table, keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number of each row's group (nulls are a key like others), a row of each group, and the rows' deviations and weights."""
+    group = np.zeros(len(table), np.int64)
+    for k in keys:
+        code = table.column(k).combine_chunks().dictionary_encode(null_encoding="encode")
+        group = np.unique(group * (len(code.dictionary) + 1) + code.indices.to_numpy(), return_inverse=True)[1]
+    first = np.unique(group, return_index=True)[1]
+    return group, first, table.column("_d").to_numpy(), table.column("_w").to_numpy()
+
+
+def _rounds(group: np.ndarray, d: np.ndarray, w: np.ndarray, rounds: int, tolerance: float) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The parameters of all groups after so many rounds (``at``: numbers of the groups with spread), and whether one grew in each."""
+    order = np.argsort(group, kind="stable")
+    group, d, w = group[order], d[order], w[order]
+    size = np.bincount(group)
+    floor = np.bincount(group, w * d * d) / np.bincount(group, w)
+    at = np.flatnonzero(floor > 0)
+    keep = np.repeat(floor > 0, size)
+    d, w, floor, size = d[keep], w[keep], floor[at], size[at]
+    grows = np.zeros(rounds, bool)
+    if not len(at):
+        return {"at": at, **{n: np.zeros(0) for n in _FITTED}}, grows
+    starts = np.concatenate(([0], np.cumsum(size)[:-1]))
+    sums = lambda v: np.add.reduceat(v, starts)
+    n = sums(w)
+
+    def maximised(low_w: np.ndarray) -> tuple[np.ndarray, ...]:
+        out = []
+        for part in (low_w, w - low_w):
+            total, one = sums(part), part * d
+            mean, square = sums(one) / np.maximum(total, 1e-300), sums(one * d) / np.maximum(total, 1e-300)
+            out += [mean, np.maximum(square - mean * mean, floor * 1e-6), total]
+        return (np.clip(out[2] / n, 1e-12, 1 - 1e-12), out[0], out[1], out[3], out[4])
+
+    state, loglik = maximised(np.where(d < 0, w, 0.0)), np.full(len(at), -np.inf)
+    for r in range(rounds):
+        share, low, low_var, high, high_var = state
+        a, b = (np.repeat(np.log(p / np.sqrt(2 * np.pi * v)), size) - (d - np.repeat(m, size)) ** 2 / np.repeat(2 * v, size) for p, m, v in ((share, low, low_var), (1 - share, high, high_var)))
+        top = np.maximum(a, b)
+        total = top + np.log1p(np.exp(np.minimum(a, b) - top))
+        before, loglik = loglik, sums(w * total) / n
+        grows[r] = bool((loglik - before > tolerance).any())
+        state = maximised(w * np.exp(a - total))
+    return {"at": at, "n": n, **dict(zip(_FITTED[1:], (*state, loglik)))}, grows
+
+
+def _large_rounds(spread: DataFrame, keys: Sequence[str], rounds: int, tolerance: float, still: set[int]) -> tuple[DataFrame, int]:
+    """The parameters of groups of any size and the rounds they took: as many as one of them, or of ``still``, grows in."""
     below = F.when(F.col("_d") < 0, F.col("_w")).otherwise(0.0)
-    sums = spread.where(F.col("_n") >= LEAST_VALUES).groupBy(*keys).agg(
+    sums = spread.groupBy(*keys).agg(
         F.first("_n").alias("n"), F.first("_mean").alias("mean"), (F.sum(F.col("_w") * F.col("_d") ** 2) / F.first("_n")).alias("floor"),
         F.sum(below).alias("w"), F.sum(below * F.col("_d")).alias("a1"), F.sum(below * F.col("_d") ** 2).alias("a2"),
         F.sum(F.col("_w") - below).alias("v"), F.sum((F.col("_w") - below) * F.col("_d")).alias("b1"), F.sum((F.col("_w") - below) * F.col("_d") ** 2).alias("b2"), F.lit(float("-inf")).alias("loglik"), F.lit(None).cast("double").alias("before"),
     ).where("floor > 0")
-    state = cut(_maximised(sums, keys))
-    for _ in range(rounds):
-        met = _by(values, state, keys).where("n IS NOT NULL").withColumn("_d", F.col("_x") - F.col("mean"))
+    state, done = cut(_maximised(sums, keys)), rounds
+    values = spread.select(*keys, "_d", "_w")
+    for r in range(rounds):
+        met = _by(values, state, keys).where("n IS NOT NULL")
         low, high = (_density(F.col("_d"), F.col(m), F.col(s), w) for m, s, w in (("low", "low_var", F.col("share")), ("high", "high_var", 1 - F.col("share"))))
         top = F.greatest(low, high)
         total = top + F.log(F.exp(low - top) + F.exp(high - top))
@@ -85,12 +177,10 @@ def mixture(df: DataFrame, keys: Sequence[str], value: str, rounds: int = ROUNDS
             F.sum("_q").alias("v"), F.sum(F.col("_q") * d).alias("b1"), F.sum(F.col("_q") * d * d).alias("b2"), (F.sum(F.col("_w") * total) / F.first("n")).alias("loglik"), F.first("loglik").alias("before"),
         )
         state = cut(_maximised(sums, keys))
-        if state.where(F.col("loglik") - F.col("before") > tolerance).isEmpty():
+        if r not in still and state.where(F.col("loglik") - F.col("before") > tolerance).isEmpty():
+            done = r + 1
             break
-    swap = F.col("low") > F.col("high")
-    pick = lambda a, b: F.when(swap, b).otherwise(a)
-    m, low, high = F.col("mean"), F.col("low"), F.col("high")
-    return state.select(*keys, pick(F.col("share"), 1 - F.col("share")).alias("share"), (m + pick(low, high)).alias("low"), pick(F.col("low_var"), F.col("high_var")).alias("low_var"), (m + pick(high, low)).alias("high"), pick(F.col("high_var"), F.col("low_var")).alias("high_var"), "loglik", F.col("n").cast("long").alias("n"))
+    return state, done
 
 
 def _density(d: Column, mean: Column, var: Column, weight: Column) -> Column:

@@ -169,3 +169,19 @@ def test_linear_weights_give_the_density():
     np.add.at(weights, at + 1, part)
     nodes = first + step * np.arange(len(weights))
     assert np.abs(C.densities(weights, step, 500, width) - whole_density(nodes, v, width)).max() < 2e-3
+
+
+def test_mixture_rounds_in_buckets(spark, monkeypatch):
+    """Groups in buckets take as many rounds as groups of any size, and write nothing in a round."""
+    rng = np.random.default_rng(7)
+    rows = [(g, float(v)) for g in "abcde" for v in np.concatenate((rng.normal(0, 1, 60), rng.normal(ord(g) - 95, 2, 40))).round(2)] + [("even", 3.0)] * 9 + [(None, float(k)) for k in range(12)]
+    df, cuts, cut = frame(spark, rows), [], C.cut
+    monkeypatch.setattr(C, "cut", lambda d: cuts.append(1) or cut(d))
+    small = {r["g"]: r for r in C.mixture(df, ["g"], "x").collect()}
+    assert len(cuts) <= 3
+    for most in (0, 90):  # all groups, and those of over 90 values, by sums
+        monkeypatch.setattr(C, "MOST_VALUES", most or 1)
+        large = {r["g"]: r for r in C.mixture(df, ["g"], "x").collect()}
+        assert small.keys() == large.keys() == {*"abcde", None}
+        for g, r in small.items():
+            assert np.allclose([*r][1:], [*large[g]][1:], rtol=1e-7)
