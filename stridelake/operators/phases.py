@@ -6,6 +6,8 @@ look at whole runs of samples, are numpy inside one grouped Arrow function.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from stridelake.operators.windows import forward_fill
 
 #: Phases of a foot.
 GROUND, AIR, IMPACT, TAKEOFF = 0, 1, 2, 3
+#: Fixed value: samples of a deviation.
+DEVIATION = 100
 
 
 def standing(df: DataFrame, pitch: str, low: float = -np.pi / 4, high: float = np.pi / 2, longer: int = 50, bridge: int = 200, key: str = KEY, seq: str = SEQ) -> DataFrame:
@@ -73,24 +77,34 @@ def foot_phase(acc_z: np.ndarray, contact: np.ndarray, hip_x: np.ndarray, hip_z:
     a movement count as ground.  A contact that starts in the air is an impact: its start is
     moved to the hip's trough (or between trough and upward crossing, if they are near) and
     its end to the late maximum of the hip.  The second half of an impact that leads to the
-    air is take-off.  A session of 15 samples or fewer is all ground.
+    air is take-off.  A session of under 100 samples is all ground.
     """
     n = len(acc_z)
-    if n <= 15:  # too short for the filters
+    if n < DEVIATION:  # nothing moves without one deviation, and 15 samples are too few for the filters
         return np.zeros(n, int)
-    smooth = filter_data(acc_z, "low", high=12, rate=rate)
+    return _foot(filter_data(acc_z, "low", high=12, rate=rate), contact, lambda: _hips(hip_x, hip_z, hip, rate), rate)
+
+
+def _hips(hip_x: np.ndarray, hip_z: np.ndarray, hip: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return filter_data(hip_x, "low", high=40, rate=rate), filter_data(hip_z, "low", high=6, rate=rate), filter_data(hip, "low", high=15, rate=rate)
+
+
+def _foot(smooth: np.ndarray, contact: np.ndarray, hips, rate: float) -> np.ndarray:
+    """The phases of a foot from its filtered acceleration; the hip's filters run only where it moves."""
+    n = len(smooth)
     moving = np.zeros(n, bool)
-    if n >= 100:
-        spread = np.lib.stride_tricks.sliding_window_view(smooth, 100).std(1, ddof=1)
-        moving[50 : 50 + len(spread)] = spread >= 1.5
+    spread = np.lib.stride_tricks.sliding_window_view(smooth, DEVIATION).std(1, ddof=1)
+    moving[DEVIATION // 2 : DEVIATION // 2 + len(spread)] = spread >= 1.5
     edges = np.flatnonzero(np.diff(np.concatenate(([0], moving.astype(int), [0]))))
     spans = list(zip(edges[::2], edges[1::2]))
     phase = moving.astype(int)
+    if not spans:
+        return phase
     margin = int(0.30 * rate)
     for a, b in spans:
         phase[a : a + margin] = GROUND
         phase[max(b - margin, 0) : b] = GROUND
-    hip_x, hip_z, hip = filter_data(hip_x, "low", high=40, rate=rate), filter_data(hip_z, "low", high=6, rate=rate), filter_data(hip, "low", high=15, rate=rate)
+    hip_x, hip_z, hip = hips()
     shortest, least = int(0.16 * rate), int(0.1 * rate)
     for a, b in spans:
         if b - a < shortest:
@@ -129,7 +143,13 @@ def phases(df: DataFrame, rate: float = 97.5, key: str = KEY, seq: str = SEQ) ->
     from stridelake.operators.signal import per_session
 
     def run(c):
-        feet = {f"phase_{s}": foot_phase(c[f"acc_{s}_z"], c[f"{s}_ind"], c["acc_hip_x"], c["acc_hip_z"], c["total_accel"], rate) for s in ("lf", "rf")}
+        n = len(c[seq])
+        if n < DEVIATION:
+            return {key: c[key], seq: c[seq], **{f"phase_{s}": np.zeros(n, int) for s in ("lf", "rf")}}
+        # One pass filters both feet; the hip is filtered once, if one of them moves.
+        smooth = filter_data(np.stack([c["acc_lf_z"], c["acc_rf_z"]], 1), "low", high=12, rate=rate)
+        hips = cache(lambda: _hips(c["acc_hip_x"], c["acc_hip_z"], c["total_accel"], rate))
+        feet = {f"phase_{s}": _foot(smooth[:, i], c[f"{s}_ind"], hips, rate) for i, s in enumerate(("lf", "rf"))}
         return {key: c[key], seq: c[seq], **feet}
 
     kind = dict(df.dtypes)[key]

@@ -78,3 +78,14 @@ def test_standing(spark):
     df = spark.createDataFrame([(1, i, p) for i, p in enumerate(pitch)], "session_id long, seq long, p double")
     got = [r["standing"] for r in P.standing(df, "p").orderBy("seq").collect()]
     assert got == [1] * 240 + [0] * 330
+
+
+def test_filters_run_where_a_foot_moves(spark, monkeypatch):
+    """Short and still sessions never reach the hip's filters, and results are as with all of them."""
+    calls, plain = [], P.filter_data
+    monkeypatch.setattr(P, "filter_data", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    t = np.arange(400)
+    hip = (np.sin(t / 5.0), np.cos(t / 7.0), np.abs(np.sin(t / 9.0)))
+    assert not P.foot_phase(9 * np.sin(t[:99] / 4.0), t[:99] % 2, *(h[:99] for h in hip)).any() and not calls
+    assert not P.foot_phase(np.sin(t / 4.0) / 9, t % 2, *hip).any() and len(calls) == 1
+    assert P.foot_phase(9 * np.sin(t / 4.0), t // 30 % 2, *hip).any() and len(calls) == 5
