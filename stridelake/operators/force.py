@@ -48,8 +48,8 @@ def smoothed(found: DataFrame, high: float = 6.0, key: str = KEY, seq: str = SEQ
 
     def run(c: dict) -> dict:
         x = np.stack([c[f] for f in FEATURES], 1)
-        y = filter_data(x, "low", high=high) if len(x) > 15 else x
-        return {key: c[key], seq: c[seq], **{f: y[:, i] for i, f in enumerate(FEATURES)}, "mass": c["mass"]}
+        x = filter_data(x, "low", high=high) if len(x) > 15 else x
+        return {key: c[key], seq: c[seq], **{f: x[:, i] for i, f in enumerate(FEATURES)}, "mass": c["mass"]}
 
     kinds = dict(found.dtypes)
     return per_session(found, run, f"{key} {kinds[key]}, {seq} {kinds[seq]}, " + ", ".join(f"{f} double" for f in FEATURES) + ", mass double", key, seq)

@@ -40,16 +40,16 @@ def butterworth(order: int, low: float | None, high: float | None, rate: float)
 
 
 def _recursive(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray) -> np.ndarray:
-    """Direct form II transposed over the rows of ``x`` (samples x signals)."""
-    out, z = np.empty_like(x), state.copy()
+    """Direct form II transposed over the rows of ``x`` (samples x signals), in place."""
+    z = state.copy()
     tail_b, tail_a = b[1:, None], a[1:, None]
     for i, now in enumerate(x):
         y = b[0] * now + z[0]
         z[:-1] = z[1:]
         z[-1] = 0
         z += tail_b * now - tail_a * y
-        out[i] = y
-    return out
+        x[i] = y
+    return x
 
 
 def forward_backward(b: np.ndarray, a: np.ndarray, x: np.ndarray, pad: int | None = None) -> np.ndarray:

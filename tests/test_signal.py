@@ -96,3 +96,16 @@ def test_step_measures():
     acc[[5, 45]] = 1
     medial, lateral = C.hip_rotation(0, 40, acc, np.radians(np.where(np.arange(60) < 20, 1.0, -1.0)), "LF", 40)
     assert abs(medial - 15) < 1e-9 and abs(lateral - 25) < 1e-9
+
+
+def test_filter_holds_one_copy():
+    """Both passes of the filter run in place of one padded copy; the input stays."""
+    import tracemalloc
+
+    x = np.random.default_rng(9).normal(size=(4000, 30))
+    before = x.copy()
+    tracemalloc.start()
+    G.filter_data(x, "low", high=6.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * x.nbytes and np.array_equal(x, before)
