@@ -26,6 +26,8 @@ FINE, MOST_CELLS = 8, 65_536
 ROUNDS, TOLERANCE = 100, 1e-3
 #: Different values of a group that one task takes, and about as many in a bucket of groups.
 MOST_VALUES = 131_072
+#: Cells of histograms in a bucket of groups, about; trials of a spline in a round, and numbers of a band of the splines that are solved at once.
+CELLS_TOGETHER, TRIALS, SIDE_BY_SIDE = 32_768, 24, 1 << 16
 
 
 def clipped(score: Column) -> Column:
@@ -109,13 +111,17 @@ _FITTED = ("n", "share", "low", "low_var", "high", "high_var", "loglik")
 
 
 def _grouped(table: pa.Table, keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Number of each row's group (nulls are a key like others), a row of each group, and the rows' deviations and weights."""
+    """As :func:`_numbered`, with the rows' deviations and weights."""
+    return *_numbered(table, keys), table.column("_d").to_numpy(), table.column("_w").to_numpy()
+
+
+def _numbered(table: pa.Table, keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each row's group (nulls are a key like others) and a row of each group."""
     group = np.zeros(len(table), np.int64)
     for k in keys:
         code = table.column(k).combine_chunks().dictionary_encode(null_encoding="encode")
         group = np.unique(group * (len(code.dictionary) + 1) + code.indices.to_numpy(), return_inverse=True)[1]
-    first = np.unique(group, return_index=True)[1]
-    return group, first, table.column("_d").to_numpy(), table.column("_w").to_numpy()
+    return group, np.unique(group, return_index=True)[1]
 
 
 def _rounds(group: np.ndarray, d: np.ndarray, w: np.ndarray, rounds: int, tolerance: float) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -233,43 +239,80 @@ def weighted_of_one(df: DataFrame, control: str, elapsed: str, key: str = "sessi
 
 
 def smoothing_spline(x: np.ndarray, y: np.ndarray, weight: np.ndarray, stress: float) -> tuple[np.ndarray, np.ndarray]:
-    """Knots' values and second derivatives of the cubic spline with the least curvature whose weighted squared residuals sum to ``stress`` at most.
+    """As :func:`smoothing_splines`, for one curve."""
+    return smoothing_splines([(x, y, weight, stress)])[0]
+
+
+def smoothing_splines(curves: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray, float]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each curve (x, y, weight, stress) the knots' values and second derivatives of the cubic spline with the least curvature whose weighted squared residuals sum to ``stress`` at most.
 
     ``x`` ascends strictly.  The weight of the curvature is searched on a grid of its
     logarithm that narrows four times; each trial is a symmetric system of five bands (the
-    widths' three and the smoothing's five), so the work is linear in the points.
+    widths' three and the smoothing's five), so the work is linear in the points.  Curves of
+    about as many points are solved side by side, :data:`SIDE_BY_SIDE` numbers at once.
     """
-    n = len(x)
-    if n < 3:
-        return y.astype(float).copy(), np.zeros(n)
-    h = np.diff(x)
-    right = np.diff(np.diff(y) / h)
+    out = [(y.astype(float), np.zeros(len(y))) for _, y, _, _ in curves]
+    order = sorted((i for i, c in enumerate(curves) if len(c[0]) >= 3), key=lambda i: -len(curves[i][0]))
+    while order:
+        together = max(1, SIDE_BY_SIDE // (TRIALS * len(curves[order[0]][0])))
+        for i, found in zip(order, _splines_of_a_size([curves[i] for i in order[:together]])):
+            out[i] = found
+        order = order[together:]
+    return out
+
+
+def _splines_of_a_size(curves: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray, float]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Splines of curves (the longest first), one a column; shorter ones are filled up by points that hold nothing."""
+    sizes, stress = np.array([len(c[0]) for c in curves]), np.array([c[3] for c in curves])
+    n, k = int(sizes[0]), len(curves)
+    x, y, weight = np.repeat(np.arange(n, dtype=float)[:, None], k, 1), np.zeros((n, k)), np.ones((n, k))
+    for j, (own, *rest, _) in enumerate(curves):
+        x[: len(own), j], x[len(own) :, j] = own, own[-1] + np.arange(1, n - len(own) + 1)
+        y[: len(own), j], weight[: len(own), j] = rest
+    h = np.diff(x, axis=0)
+    right = np.diff(np.diff(y, axis=0) / h, axis=0)
     # Columns of Q hold 1/h[i], -1/h[i] - 1/h[i+1], 1/h[i+1]; Q' diag(1/w) Q has five bands.
     a, b, c = 1 / h[:-1], -1 / h[:-1] - 1 / h[1:], 1 / h[1:]
     v = 1 / weight
-    bands = (a * a * v[:-2] + b * b * v[1:-1] + c * c * v[2:], b[:-1] * a[1:] * v[1:-2] + c[:-1] * b[1:] * v[2:-1], c[:-2] * a[2:] * v[2:-2])
-    widths = ((h[:-1] + h[1:]) / 3, h[1:-1] / 6)
-    scale = widths[0].mean() / bands[0].mean()
-
-    def fits(smooth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values and second derivatives for several weights at once, one column each."""
-        gamma = _five_bands(widths[0][:, None] + smooth * bands[0][:, None], widths[1][:, None] + smooth * bands[1][:, None], smooth * bands[2][:, None], right)
-        bend = np.zeros((n, len(smooth)))
-        bend[:-2] += a[:, None] * gamma
-        bend[1:-1] += b[:, None] * gamma
-        bend[2:] += c[:, None] * gamma
-        return y[:, None] - smooth * v[:, None] * bend, gamma
-
-    low, high = -40.0, 40.0
+    bands = [a * a * v[:-2] + b * b * v[1:-1] + c * c * v[2:], b[:-1] * a[1:] * v[1:-2] + c[:-1] * b[1:] * v[2:-1], c[:-2] * a[2:] * v[2:-2]]
+    widths = [(h[:-1] + h[1:]) / 3, h[1:-1] / 6]
+    scale = np.array([widths[0][: m - 2, j].mean() / bands[0][: m - 2, j].mean() for j, m in enumerate(sizes.tolist())])
+    # A system of m - 2 rows ends there: what follows is the unit matrix with nothing on the right.
+    row = np.arange(n - 2)[:, None]
+    right[row >= sizes - 2] = 0.0
+    for parts in (bands, widths):
+        for far, part in enumerate(parts):
+            part[row[: len(part)] + far >= sizes - 2] = 0.0
+    widths[0][row >= sizes - 2] = 1.0
+
+    def fits(smooth: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values and second derivatives of the curves ``at`` for several weights each (curves by weights)."""
+        main, near, far = (q[:, at, None] * smooth for q in bands)
+        main += widths[0][:, at, None]
+        near += widths[1][:, at, None]
+        flat = lambda q: q.reshape(len(q), q.shape[1] * q.shape[2])
+        gamma = _five_bands(flat(main), flat(near), flat(far), np.repeat(right[:, at], smooth.shape[1], 1)).reshape(main.shape)
+        bend = np.zeros((n, *smooth.shape))
+        bend[:-2] += a[:, at, None] * gamma
+        bend[1:-1] += b[:, at, None] * gamma
+        bend[2:] += c[:, at, None] * gamma
+        return y[:, at, None] - smooth * v[:, at, None] * bend, gamma
+
+    low, high, at = np.full(k, -40.0), np.full(k, 40.0), np.arange(k)
+    found, curved = np.zeros((n, k)), np.zeros((n, k))
     for _ in range(4):
-        trials = np.linspace(low, high, 24)
-        values, gamma = fits(scale * np.exp(trials))
-        good = (weight[:, None] * (y[:, None] - values) ** 2).sum(0) <= stress
-        best = int(np.flatnonzero(good)[-1]) if good.any() else 0
-        if best == len(trials) - 1:
+        trials = np.linspace(low[at], high[at], TRIALS).T
+        values, gamma = fits(scale[at, None] * np.exp(trials), at)
+        good = (weight[:, at, None] * (y[:, at, None] - values) ** 2).sum(0) <= stress[at, None]
+        best = np.where(good.any(1), TRIALS - 1 - good[:, ::-1].argmax(1), 0)
+        own = np.arange(len(at))
+        found[:, at], curved[1:-1, at] = values[:, own, best], gamma[:, own, best]
+        narrows = best < TRIALS - 1
+        own, best, at = own[narrows], best[narrows], at[narrows]
+        if not len(at):
             break
-        low, high = trials[best], trials[best + 1]
-    return values[:, best], np.concatenate(([0.0], gamma[:, best], [0.0]))
+        low[at], high[at] = trials[own, best], trials[own, best + 1]
+    return [(found[:m, j].copy(), curved[:m, j].copy()) for j, m in enumerate(sizes.tolist())]
 
 
 def _five_bands(main: np.ndarray, near: np.ndarray, far: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -289,17 +332,22 @@ def _five_bands(main: np.ndarray, near: np.ndarray, far: np.ndarray, right: np.n
     return out[:n]
 
 
-def _spline_at(x: Column, spline: Column) -> Column:
-    """The spline's value in the piece that holds x; straight on beyond the ends."""
-    step = spline["step"]
-    at = F.greatest(F.least(F.floor((x - spline["first"]) / step).cast("int"), F.size(spline["y"]) - 2), F.lit(0))
-    y0, y1, g0, g1 = (F.get(spline[c], at + k) for c in ("y", "g") for k in (0, 1))
-    t = (x - spline["first"]) / step - at
-    inside = F.greatest(F.least(t, F.lit(1.0)), F.lit(0.0))
-    s, r = inside, 1 - inside
+def _spline_at(df: DataFrame, x: Column, name: str) -> DataFrame:
+    """``df`` with the value of its ``_spline`` in the piece that holds x, straight on beyond the ends, in place of the spline.
+
+    Each step is a projection of its own: as one expression it would be longer than the JVM compiles.
+    """
+    spline, t, s, r, step = F.col("_spline"), F.col("_t"), F.col("_s"), 1 - F.col("_s"), F.col("_step")
+    y0, y1, g0, g1 = (F.col(c) for c in ("_y0", "_y1", "_g0", "_g1"))
+    keep = [c for c in df.columns if c != "_spline"]
+    out = df.withColumn("_from", (x - spline["first"]) / spline["step"])
+    out = out.withColumn("_at", F.greatest(F.least(F.floor("_from").cast("int"), F.size(spline["y"]) - 2), F.lit(0)))
+    held = [F.get(spline[c], F.col("_at") + k).alias(f"_{c}{k}") for c in ("y", "g") for k in (0, 1)]
+    out = out.select(*keep, (F.col("_from") - F.col("_at")).alias("_t"), spline["step"].alias("_step"), *held)
+    out = out.withColumn("_s", F.greatest(F.least(t, F.lit(1.0)), F.lit(0.0)))
     curve = r * y0 + s * y1 - step * step / 6 * (s * r * ((1 + r) * g0 + (1 + s) * g1))
     slope = F.when(t < 0, (y1 - y0) - step * step / 6 * (2 * g0 + g1)).when(t > 1, (y1 - y0) + step * step / 6 * (g0 + 2 * g1)).otherwise(0.0)
-    return curve + (t - inside) * slope
+    return out.select(*keep, (curve + (t - s) * slope).alias(name))
 
 
 def densities(weights: np.ndarray, step: float, n: float, width: float) -> np.ndarray:
@@ -311,27 +359,39 @@ def densities(weights: np.ndarray, step: float, n: float, width: float) -> np.nd
     return np.maximum(full[reach : reach + len(weights)], 0.0)
 
 
-def symmetry_maps(cells: dict[str, tuple[np.ndarray, np.ndarray]], first: float, step: float, sides: dict[str, dict[str, float]]) -> dict[str, tuple[float, float, np.ndarray, np.ndarray]]:
-    """Per side: first point, distance of points, values and second derivatives of the map from a value to its score.
+Sides = dict[str, dict[str, float]]
+Cells = dict[str, tuple[np.ndarray, np.ndarray]]
+Maps = dict[str, tuple[float, float, np.ndarray, np.ndarray]]
+
+
+def symmetry_maps(cells: Cells, first: float, step: float, sides: Sides) -> Maps:
+    """As :func:`maps_of_groups`, for one group."""
+    return maps_of_groups([(cells, first, step, sides)])[0]
+
+
+def maps_of_groups(groups: Sequence[tuple[Cells, float, float, Sides]]) -> list[Maps]:
+    """For each group (cells, first node, distance of nodes, sides) and side: first point, distance of points, values and second derivatives of the map from a value to its score.
 
     ``cells`` has each side's cell numbers and weights; ``sides`` its ``n``, ``std``, ``min`` and ``max``.
     """
-    length = 1 + max(int(at.max()) for at, _ in cells.values())
-    nodes, dense = first + step * np.arange(length), {}
-    for side, (at, w) in cells.items():
-        weights = np.zeros(length)
-        np.add.at(weights, at.astype(int), w)
-        own = sides[side]
-        # Silverman's rule on as many values as the smaller side has.
-        dense[side] = densities(weights, step, own["n"], BANDWIDTH * own["std"] * min(s["n"] for s in sides.values()) ** -0.2)
-    out = {}
-    for side, own in sides.items():
-        points = np.linspace(own["min"], own["max"], int(min(own["n"], MAP_POINTS)))
-        left, right = (np.interp(points, nodes, dense[s]) for s in ("LF", "RF"))
-        score = (1 - np.abs(left - right) / max(left.max(), right.max())) * 100
-        y, g = smoothing_spline(points, score, np.ones(len(points)), float(len(points)))
-        out[side] = (float(points[0]), float(points[1] - points[0]), y, g)
-    return out
+    curves, spots = [], []
+    for cells, first, step, sides in groups:
+        length = 1 + max(int(at.max()) for at, _ in cells.values())
+        nodes, dense = first + step * np.arange(length), {}
+        for side, (at, w) in cells.items():
+            weights = np.zeros(length)
+            np.add.at(weights, at.astype(int), w)
+            own = sides[side]
+            # Silverman's rule on as many values as the smaller side has.
+            dense[side] = densities(weights, step, own["n"], BANDWIDTH * own["std"] * min(s["n"] for s in sides.values()) ** -0.2)
+        for own in sides.values():
+            points = np.linspace(own["min"], own["max"], int(min(own["n"], MAP_POINTS)))
+            left, right = (np.interp(points, nodes, dense[s]) for s in ("LF", "RF"))
+            score = (1 - np.abs(left - right) / max(left.max(), right.max())) * 100
+            curves.append((points, score, np.ones(len(points)), float(len(points))))
+            spots.append((float(points[0]), float(points[1] - points[0])))
+    found = iter([(*spot, *spline) for spot, spline in zip(spots, smoothing_splines(curves))])
+    return [{side: next(found) for side in sides} for *_, sides in groups]
 
 
 def symmetry(df: DataFrame, keys: Sequence[str], side: str, value: str, name: str = "symmetry") -> DataFrame:
@@ -352,26 +412,37 @@ def symmetry(df: DataFrame, keys: Sequence[str], side: str, value: str, name: st
     place = (F.col(value) - F.col("_first")) / F.col("_step")
     inside = _by(clean.select(*keys, side, value), stats, keys).where("_step IS NOT NULL").withColumn("_cell", F.floor(place).cast("int")).withColumn("_part", place - F.floor(place))
     cells = inside.groupBy(*keys, F.col(side).alias("_side"), "_cell").agg(F.count(F.lit(1)).cast("double").alias("_count"), F.sum("_part").alias("_upper"))
-    # At most two times MOST_CELLS rows a group reach one task.
-    joined = _by(cells, stats, keys)
+    # Groups move to buckets of many; at most two times MOST_CELLS rows a group, however large it is.
+    span = (high - low) / F.col("_step") + 2
+    many = stats.agg(F.sum(sum(F.least(F.col(f"n_{s}"), span) for s in ("LF", "RF")))).first()[0] or 0
+    joined = _by(cells, stats, keys).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(int(many) // CELLS_TOGETHER + 1)))
     numbers = [f"{n}_{s}" for s in ("LF", "RF") for n in ("n", "std", "min", "max")]
     types = dict(df.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", _side string, _spline struct<first: double, step: double, y: array<double>, g: array<double>>"
+    schema = "".join(f"`{k}` {types[k]}, " for k in keys) + "_side string, _spline struct<first: double, step: double, y: array<double>, g: array<double>>"
 
     def run(table: pa.Table) -> pa.Table:
-        head = table.slice(0, 1).to_pylist()[0]
-        which, cell, count, upper = (table.column(c).to_numpy() for c in ("_side", "_cell", "_count", "_upper"))
-        weights = {}
-        for s in ("LF", "RF"):
-            m = which == s
-            weights[s] = np.concatenate((cell[m], cell[m] + 1)), np.concatenate(((count - upper)[m], upper[m]))
-        sides = {s: {n: float(head[f"{n}_{s}"]) for n in ("n", "std", "min", "max")} for s in ("LF", "RF")}
-        maps = symmetry_maps(weights, head["_first"], head["_step"], sides)
-        rows = [{"first": a, "step": b, "y": y.tolist(), "g": g.tolist()} for a, b, y, g in maps.values()]
-        kind = pa.struct([("first", pa.float64()), ("step", pa.float64()), ("y", pa.list_(pa.float64())), ("g", pa.list_(pa.float64()))])
-        keep = {k: pa.array([head[k]] * len(rows), table.schema.field(k).type) for k in keys}
-        return pa.table(keep | {"_side": pa.array(list(maps), pa.string()), "_spline": pa.array(rows, kind)})
-
-    maps = cut(joined.select(*keys, "_side", "_cell", "_count", "_upper", "_first", "_step", *numbers).groupBy(*keys).applyInArrow(run, schema))
+        group, heads = _numbered(table, keys)
+        right = table.column("_side").to_numpy() == "RF"
+        order = np.lexsort((right, group))
+        # Rows of a group's left side, then of its right side; both have rows.
+        edges = np.searchsorted(2 * group[order] + right[order], np.arange(2 * len(heads) + 1))
+        cell, count, upper = (table.column(c).to_numpy()[order] for c in ("_cell", "_count", "_upper"))
+        at, weight = (cell, cell + 1), (count - upper, upper)
+        few = table.take(pa.array(heads))
+        first, step = (few.column(c).to_numpy() for c in ("_first", "_step"))
+        known = {s: {n: few.column(f"{n}_{s}").to_numpy().astype(float) for n in ("n", "std", "min", "max")} for s in ("LF", "RF")}
+        groups = []
+        for i in range(len(heads)):
+            parts = {s: slice(edges[2 * i + j], edges[2 * i + j + 1]) for j, s in enumerate(("LF", "RF"))}
+            weights = {s: tuple(np.concatenate([x[p] for x in pair]) for pair in (at, weight)) for s, p in parts.items()}
+            groups.append((weights, float(first[i]), float(step[i]), {s: {n: float(x[i]) for n, x in known[s].items()} for s in known}))
+        found = [m for maps in maps_of_groups(groups) for m in maps.values()]
+        lists = lambda c: pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(m[c]) for m in found]))).astype(np.int32), np.concatenate([m[c] for m in found]))
+        spline = pa.StructArray.from_arrays([pa.array([m[0] for m in found]), pa.array([m[1] for m in found]), lists(2), lists(3)], ["first", "step", "y", "g"])
+        rows = few.take(pa.array(np.repeat(np.arange(len(heads)), 2)))
+        return pa.table({k: rows.column(k) for k in keys} | {"_side": pa.array(["LF", "RF"] * len(heads)), "_spline": spline})
+
+    maps = cut(joined.select(*keys, "_bucket", "_side", "_cell", "_count", "_upper", "_first", "_step", *numbers).groupBy("_bucket").applyInArrow(run, schema))
     met = _by(df.withColumn("_side", F.col(side)), maps, [*keys, "_side"])
-    return met.select(*df.columns, F.when(known, clipped(_spline_at(F.col(value).cast("double"), F.col("_spline")))).alias(name))
+    scored = _spline_at(met.select(*df.columns, "_spline"), F.col(value).cast("double"), "_score")
+    return scored.select(*df.columns, F.when(known, clipped(F.col("_score"))).alias(name))

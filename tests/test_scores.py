@@ -185,3 +185,29 @@ def test_mixture_rounds_in_buckets(spark, monkeypatch):
         assert small.keys() == large.keys() == {*"abcde", None}
         for g, r in small.items():
             assert np.allclose([*r][1:], [*large[g]][1:], rtol=1e-7)
+
+
+def test_splines_of_many_groups_are_solved_together(spark, monkeypatch):
+    """Groups of a bucket take a few systems in all, not some for each, with the results of each alone."""
+    rng = np.random.default_rng(8)
+    curves = []
+    for n in (3, 1, 60, 4, 2, 35, 60, 200, 5):
+        x = np.sort(rng.uniform(0, 10, n))
+        curves.append((x, np.sin(x) + rng.normal(0, 0.3, n), rng.uniform(0.5, 2, n), 0.05 * n))
+    for (x, y, w, stress), (values, gamma) in zip(curves, C.smoothing_splines(curves)):
+        alone = C.smoothing_spline(x, y, w, stress)
+        assert np.array_equal(values, alone[0]) and np.array_equal(gamma, alone[1]) and (w * (y - values) ** 2).sum() <= stress * (1 + 1e-9)
+    solved, bands = [], C._five_bands
+    monkeypatch.setattr(C, "_five_bands", lambda *a: solved.append(1) or bands(*a))
+    cells = {s: (np.arange(40), rng.uniform(0, 3, 40)) for s in ("LF", "RF")}
+    C.maps_of_groups([(cells, 0.0, 1.0, {s: {"n": 30.0 + i, "std": 9.0, "min": 0.0, "max": 39.0} for s in ("LF", "RF")}) for i in range(30)])
+    assert len(solved) <= 24
+    # Keys that are null, buckets of one and of many groups: the scores of each group alone.
+    rows = [(g, k, s, float(v)) for g, k in (("a", 1), ("a", None), (None, 1), ("b", 2)) for s in ("LF", "RF") for v in rng.normal(0, 1 + ord(s[0]) % 3, 25 + (k or 7))]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "g string, k int, side string, x double, at int")
+    one = {r["at"]: r["symmetry"] for r in C.symmetry(df, ["g", "k"], "side", "x").collect()}
+    assert len(one) == len(rows) and None not in one.values()
+    monkeypatch.setattr(C, "CELLS_TOGETHER", 1)
+    split = {r["at"]: r["symmetry"] for r in C.symmetry(df, ["g", "k"], "side", "x").collect()}
+    alone = {r["at"]: r["symmetry"] for r in C.symmetry(df.where("g IS NULL"), ["g", "k"], "side", "x").collect()}
+    assert all(abs(one[i] - split[i]) < 1e-9 for i in one) and all(abs(one[i] - v) < 1e-9 for i, v in alone.items())
