@@ -247,14 +247,15 @@ def smoothing_splines(curves: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray,
     """For each curve (x, y, weight, stress) the knots' values and second derivatives of the cubic spline with the least curvature whose weighted squared residuals sum to ``stress`` at most.
 
     ``x`` ascends strictly.  The weight of the curvature is searched on a grid of its
-    logarithm that narrows four times; each trial is a symmetric system of five bands (the
-    widths' three and the smoothing's five), so the work is linear in the points.  Curves of
-    about as many points are solved side by side, :data:`SIDE_BY_SIDE` numbers at once.
+    logarithm that narrows four times, by halves, so about 21 of its 96 weights are tried; each
+    trial is a symmetric system of five bands (the widths' three and the smoothing's five), so
+    the work is linear in the points.  Curves of about as many points are solved side by side,
+    :data:`SIDE_BY_SIDE` numbers at once.
     """
     out = [(y.astype(float), np.zeros(len(y))) for _, y, _, _ in curves]
     order = sorted((i for i, c in enumerate(curves) if len(c[0]) >= 3), key=lambda i: -len(curves[i][0]))
     while order:
-        together = max(1, SIDE_BY_SIDE // (TRIALS * len(curves[order[0]][0])))
+        together = max(1, SIDE_BY_SIDE // len(curves[order[0]][0]))
         for i, found in zip(order, _splines_of_a_size([curves[i] for i in order[:together]])):
             out[i] = found
         order = order[together:]
@@ -286,32 +287,45 @@ def _splines_of_a_size(curves: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray
     widths[0][row >= sizes - 2] = 1.0
 
     def fits(smooth: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values and second derivatives of the curves ``at`` for several weights each (curves by weights)."""
-        main, near, far = (q[:, at, None] * smooth for q in bands)
-        main += widths[0][:, at, None]
-        near += widths[1][:, at, None]
-        flat = lambda q: q.reshape(len(q), q.shape[1] * q.shape[2])
-        gamma = _five_bands(flat(main), flat(near), flat(far), np.repeat(right[:, at], smooth.shape[1], 1)).reshape(main.shape)
-        bend = np.zeros((n, *smooth.shape))
-        bend[:-2] += a[:, at, None] * gamma
-        bend[1:-1] += b[:, at, None] * gamma
-        bend[2:] += c[:, at, None] * gamma
-        return y[:, at, None] - smooth * v[:, at, None] * bend, gamma
+        """Values and second derivatives of the curves ``at``, each for its weight."""
+        main, near, far = (q[:, at] * smooth for q in bands)
+        main += widths[0][:, at]
+        near += widths[1][:, at]
+        gamma = _five_bands(main, near, far, right[:, at])
+        bend = np.zeros((n, len(at)))
+        bend[:-2] += a[:, at] * gamma
+        bend[1:-1] += b[:, at] * gamma
+        bend[2:] += c[:, at] * gamma
+        return y[:, at] - smooth * v[:, at] * bend, gamma
 
     low, high, at = np.full(k, -40.0), np.full(k, 40.0), np.arange(k)
     found, curved = np.zeros((n, k)), np.zeros((n, k))
+
+    def good(smooth: np.ndarray, tried: np.ndarray) -> np.ndarray:
+        """Which of the curves ``tried`` keep their stress; those keep the trial, as later ones are smoother."""
+        values, gamma = fits(scale[tried] * smooth, tried)
+        kept = (weight[:, tried] * (y[:, tried] - values) ** 2).sum(0) <= stress[tried]
+        found[:, tried[kept]], curved[1:-1, tried[kept]] = values[:, kept], gamma[:, kept]
+        return kept
+
+    at = at[~good(np.exp(high), at)]
+    holds = np.zeros(k, bool)
     for _ in range(4):
-        trials = np.linspace(low[at], high[at], TRIALS).T
-        values, gamma = fits(scale[at, None] * np.exp(trials), at)
-        good = (weight[:, at, None] * (y[:, at, None] - values) ** 2).sum(0) <= stress[at, None]
-        best = np.where(good.any(1), TRIALS - 1 - good[:, ::-1].argmax(1), 0)
-        own = np.arange(len(at))
-        found[:, at], curved[1:-1, at] = values[:, own, best], gamma[:, own, best]
-        narrows = best < TRIALS - 1
-        own, best, at = own[narrows], best[narrows], at[narrows]
         if not len(at):
             break
+        trials = np.linspace(low[at], high[at], TRIALS).T
+        weights = np.exp(trials)
+        # The residuals grow with the weight, so the last trial that keeps the stress lies between one that does and one that does not.
+        best, fails = np.where(holds[at], 0, -1), np.full(len(at), TRIALS - 1)
+        while len(own := np.flatnonzero(fails - best > 1)):
+            middle = (best[own] + fails[own]) // 2
+            kept = good(weights[own, middle], at[own])
+            best[own[kept]], fails[own[~kept]] = middle[kept], middle[~kept]
+        holds[at], best, own = best >= 0, np.maximum(best, 0), np.arange(len(at))
         low[at], high[at] = trials[own, best], trials[own, best + 1]
+    least = at[~holds[at]]
+    if len(least):
+        found[:, least], curved[1:-1, least] = fits(scale[least] * np.exp(low[least]), least)
     return [(found[:m, j].copy(), curved[:m, j].copy()) for j, m in enumerate(sizes.tolist())]
 
 

@@ -211,3 +211,36 @@ def test_splines_of_many_groups_are_solved_together(spark, monkeypatch):
     split = {r["at"]: r["symmetry"] for r in C.symmetry(df, ["g", "k"], "side", "x").collect()}
     alone = {r["at"]: r["symmetry"] for r in C.symmetry(df.where("g IS NULL"), ["g", "k"], "side", "x").collect()}
     assert all(abs(one[i] - split[i]) < 1e-9 for i in one) and all(abs(one[i] - v) < 1e-9 for i, v in alone.items())
+
+
+def test_spline_weights_are_searched_by_halves(monkeypatch):
+    """The last weight of the whole grid that keeps the stress, from about a fifth of its systems; a straight line takes one."""
+    rng = np.random.default_rng(9)
+    curves = []
+    for n in (3, 4, 30, 120, 300):
+        x = np.linspace(0, n / 7, n)
+        curves += [(x, 50 + 50 * np.sin(x) + rng.normal(0, 2, n), np.ones(n), stress) for stress in (float(n), 0.1 * n, 0.0)]
+    solved, bands = [], C._five_bands
+    monkeypatch.setattr(C, "_five_bands", lambda *a: solved.append(a[0].shape[1]) or bands(*a))
+    found = C.smoothing_splines(curves)
+    assert sum(solved) <= 24 * len(curves)
+    for (x, y, w, stress), (values, _) in zip(curves, found):
+        h = np.diff(x)
+        q = np.zeros((len(x), len(x) - 2))
+        for i in range(len(x) - 2):
+            q[i : i + 3, i] = 1 / h[i], -1 / h[i] - 1 / h[i + 1], 1 / h[i + 1]
+        widths = np.diag((h[:-1] + h[1:]) / 3) + np.diag(h[1:-1] / 6, 1) + np.diag(h[1:-1] / 6, -1)
+        scale = (np.trace(widths) / np.trace(q.T @ q)) if len(x) > 2 else 1
+        low, high, best = -40.0, 40.0, y
+        for _ in range(4):
+            trials = np.linspace(low, high, C.TRIALS)
+            fits = [y - s * q @ np.linalg.solve(widths + s * q.T @ q, q.T @ y) for s in scale * np.exp(trials)]
+            at = max((i for i, v in enumerate(fits) if (w * (y - v) ** 2).sum() <= stress), default=0)
+            best = fits[at]
+            if at == C.TRIALS - 1:
+                break
+            low, high = trials[at], trials[at + 1]
+        assert np.abs(values - best).max() < 1e-6 * (1 + np.abs(y).max())
+    solved.clear()
+    C.smoothing_splines([(np.arange(9.0), np.arange(9.0), np.ones(9), 9.0)])
+    assert solved == [1]
