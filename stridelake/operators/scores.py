@@ -26,8 +26,10 @@ FINE, MOST_CELLS = 8, 65_536
 ROUNDS, TOLERANCE = 100, 1e-3
 #: Different values of a group that one task takes, and about as many in a bucket of groups.
 MOST_VALUES = 131_072
-#: Cells of histograms in a bucket of groups, about; trials of a spline in a round, and numbers of a band of the splines that are solved at once.
+#: Cells of histograms in a bucket of groups, about; trials of a spline's weight on a step of its grid, and numbers of a band of the splines that are solved at once.
 CELLS_TOGETHER, TRIALS, SIDE_BY_SIDE = 32_768, 24, 1 << 16
+#: Parts of a step of that grid, and of the whole in four steps; logarithm of the first weight tried, and the trials by secants before halves take turns.
+STEPS, WEIGHTS, FIRST_GUESS, GUESSES = TRIALS - 1, (TRIALS - 1) ** 4, 0.0, 8
 
 
 def clipped(score: Column) -> Column:
@@ -247,7 +249,7 @@ def smoothing_splines(curves: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray,
     """For each curve (x, y, weight, stress) the knots' values and second derivatives of the cubic spline with the least curvature whose weighted squared residuals sum to ``stress`` at most.
 
     ``x`` ascends strictly.  The weight of the curvature is searched on a grid of its
-    logarithm that narrows four times, by halves, so about 21 of its 96 weights are tried; each
+    logarithm that narrows four times, where secants lead (halves, if those take long); each
     trial is a symmetric system of five bands (the widths' three and the smoothing's five), so
     the work is linear in the points.  Curves of about as many points are solved side by side,
     :data:`SIDE_BY_SIDE` numbers at once.
@@ -298,37 +300,48 @@ def _splines_of_a_size(curves: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray
         bend[2:] += c[:, at] * gamma
         return y[:, at] - smooth * v[:, at] * bend, gamma
 
-    low, high, at = np.full(k, -40.0), np.full(k, 40.0), np.arange(k)
-    found, curved = np.zeros((n, k)), np.zeros((n, k))
-
-    def good(smooth: np.ndarray, tried: np.ndarray) -> np.ndarray:
-        """Which of the curves ``tried`` keep their stress; those keep the trial, as later ones are smoother."""
-        values, gamma = fits(scale[tried] * smooth, tried)
-        kept = (weight[:, tried] * (y[:, tried] - values) ** 2).sum(0) <= stress[tried]
-        found[:, tried[kept]], curved[1:-1, tried[kept]] = values[:, kept], gamma[:, kept]
+    found, curved, at = np.zeros((n, k)), np.zeros((n, k)), np.arange(k)
+    # Numbers of the last weight that is known to keep the stress and of the first that does not; the last two trials and their logarithms of residuals over stress.
+    best, fails = np.full(k, -1), np.full(k, WEIGHTS)
+    here, gap, before, past = np.full(k, 40.0), np.zeros(k), np.full(k, np.nan), np.full(k, np.nan)
+
+    def tried(smooth: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which of the curves ``at`` keep their stress; those keep the trial, as later ones are smoother."""
+        values, gamma = fits(scale[at] * np.exp(smooth), at)
+        left = (weight[:, at] * (y[:, at] - values) ** 2).sum(0)
+        kept = left <= stress[at]
+        found[:, at[kept]], curved[1:-1, at[kept]] = values[:, kept], gamma[:, kept]
+        before[at], past[at], here[at], gap[at] = here[at], gap[at], smooth, np.log(np.maximum(left, 1e-300)) - np.log(np.maximum(stress[at], 1e-300))
         return kept
 
-    at = at[~good(np.exp(high), at)]
-    holds = np.zeros(k, bool)
-    for _ in range(4):
-        if not len(at):
-            break
-        trials = np.linspace(low[at], high[at], TRIALS).T
-        weights = np.exp(trials)
-        # The residuals grow with the weight, so the last trial that keeps the stress lies between one that does and one that does not.
-        best, fails = np.where(holds[at], 0, -1), np.full(len(at), TRIALS - 1)
-        while len(own := np.flatnonzero(fails - best > 1)):
-            middle = (best[own] + fails[own]) // 2
-            kept = good(weights[own, middle], at[own])
-            best[own[kept]], fails[own[~kept]] = middle[kept], middle[~kept]
-        holds[at], best, own = best >= 0, np.maximum(best, 0), np.arange(len(at))
-        low[at], high[at] = trials[own, best], trials[own, best + 1]
-    least = at[~holds[at]]
+    at, guess, trial = at[~tried(here[at], at)], np.full(k, FIRST_GUESS), 0
+    while len(at):
+        number = np.floor((guess[at] + 40) / 80 * WEIGHTS)
+        if trial >= GUESSES and trial % 2:
+            number = (best[at] + fails[at]) // 2
+        number = np.clip(np.nan_to_num(number), best[at] + 1, fails[at] - 1).astype(int)
+        kept = tried(_weight_of(number), at)
+        best[at[kept]], fails[at[~kept]], trial = number[kept], number[~kept], trial + 1
+        # By their logarithms residuals grow with the weight, at most squared: a secant of such a slope leads to the next guess.
+        slope = (gap[at] - past[at]) / (here[at] - before[at]) if trial > 1 else np.full(len(at), 1.0)
+        guess[at] = here[at] - gap[at] / np.clip(slope, 0.05, 2.0)
+        at = at[fails[at] - best[at] > 1]
+    least = np.flatnonzero((best < 0) & (fails == 0))
     if len(least):
-        found[:, least], curved[1:-1, least] = fits(scale[least] * np.exp(low[least]), least)
+        found[:, least], curved[1:-1, least] = fits(scale[least] * np.exp(-40.0), least)
     return [(found[:m, j].copy(), curved[:m, j].copy()) for j, m in enumerate(sizes.tolist())]
 
 
+def _weight_of(number: np.ndarray) -> np.ndarray:
+    """Logarithms of the weights so numbered: four times a step of the grid is divided as the whole was."""
+    low, high = np.full(len(number), -40.0), np.full(len(number), 40.0)
+    for inner in (WEIGHTS // STEPS**k for k in range(1, 5)):
+        own, number = np.divmod(number, inner)
+        step = (high - low) / STEPS
+        low, high = own * step + low, np.where(own + 1 == STEPS, high, (own + 1) * step + low)
+    return low
+
+
 def _five_bands(main: np.ndarray, near: np.ndarray, far: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Solutions of symmetric positive systems (one a column) with two bands on either side, by their LDL' factors."""
     n, k = main.shape

@@ -244,3 +244,27 @@ def test_spline_weights_are_searched_by_halves(monkeypatch):
     solved.clear()
     C.smoothing_splines([(np.arange(9.0), np.arange(9.0), np.ones(9), 9.0)])
     assert solved == [1]
+
+
+def test_secants_find_the_weights_of_splines(monkeypatch):
+    """Agreements of densities take some eight systems each, a curve on which secants crawl no more than halves take in turn, and numbers name the weights of the nested grid."""
+    rng, curves = np.random.default_rng(10), []
+    for n in range(70, 130):
+        points = np.linspace(1, 50, n)
+        left, right = (whole_density(points, rng.integers(1, 51, n), 6.0) for _ in range(2))
+        curves.append((points, (1 - np.abs(left - right) / max(left.max(), right.max())) * 100, np.ones(n), float(n)))
+    solved, bands = [], C._five_bands
+    monkeypatch.setattr(C, "_five_bands", lambda *a: solved.append(a[0].shape[1]) or bands(*a))
+    C.smoothing_splines(curves)
+    assert sum(solved) <= 10 * len(curves)
+    solved.clear()
+    line = np.linspace(0, 9, 30)
+    wave = np.sin(line)
+    rest = float(((wave - np.polyval(np.polyfit(line, wave, 1), line)) ** 2).sum())
+    C.smoothing_splines([(line, wave, np.ones(30), rest * (1 - 1e-6)), (line, wave * 1e-9, np.ones(30), 1e-30), (line, wave, np.ones(30), 0.0)])
+    assert len(solved) <= 2 + C.GUESSES + 2 * 19
+    low, high, number = -40.0, 40.0, 0
+    for at in (11, 22, 0, 7):
+        trials = np.linspace(low, high, C.TRIALS)
+        low, high, number = trials[at], trials[at + 1], number * C.STEPS + at
+    assert C._weight_of(np.array([number, 0])).tolist() == [low, -40.0]
